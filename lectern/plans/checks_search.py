@@ -72,7 +72,7 @@ def q_hybrid_topn(spark, sf):
 
 
 _PAGE_COLS = (
-    "CAST(b.isbn AS VARCHAR) AS isbn, b.title, b.author, CAST(b.publish_year AS INTEGER) AS year, "
+    "CAST(b.isbn AS VARCHAR) AS isbn, b.title, b.author, CAST(b.publish_year AS VARCHAR) AS year, "
     f"{q.text_or_empty('b.description')} AS description, '' AS cover, "
     "CASE WHEN round(r.sim * 100.0, 2) > 80 THEN 'green' WHEN round(r.sim * 100.0, 2) > 50 THEN 'orange' "
     "ELSE 'red' END AS band"
@@ -86,4 +86,5 @@ _PAGE_COLS = (
 def q_result_page(spark, sf):
     """First page (10 hits) per query with the served columns, percent similarity and relevance band."""
     books, post, vec, qvec, queries = _inputs(spark, sf)
-    return result_page(queries, post, vec, books, qvec, page_size=PAGE_SIZE)
+    page = result_page(queries, post, vec, books, qvec, page_size=PAGE_SIZE)
+    return page.withColumn("year", F.col("year").cast("string"))
