@@ -1 +1,118 @@
-"""Checked queries (filled in as operators land)."""
+"""Checked queries for catalogue changes (S10, M1-M8, J7, J8, R6, U4) and the change stream.
+
+Nullable ids are shown as text in checked outputs so both engines hand over the same values.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lectern.operators.changes import apply_requests, route_requests
+from lectern.operators.postings import build_postings
+from lectern.plans import sqltext as q
+from lectern.plans.registry import register
+from lectern.plans.standins import (SQL_BOOKS, SQL_CHANGE_ROWS, books_from_documents, change_requests_from_events,
+                                    table)
+from lectern.schemas import BOOK_FIELDS
+from lectern.sources.readers import parse_change_requests
+
+
+def _requests(spark, sf, kinds=None):
+    ev = table(spark, sf, "events")
+    if kinds is not None:
+        ev = ev.where(F.col("event_type").isin(kinds))
+    return parse_change_requests(change_requests_from_events(ev))
+
+
+def _books(spark, sf):
+    return books_from_documents(table(spark, sf, "documents"))
+
+
+def _out(books):
+    return books.select("book_id", *[F.col(f).cast("string").alias(f) if f == "publish_year" else f
+                                     for f in BOOK_FIELDS])
+
+
+def _sql_apply(kinds: tuple[str, ...]) -> str:
+    ks = ", ".join(f"'{k}'" for k in kinds)
+    return f"""
+WITH books AS ({SQL_BOOKS}),
+ch AS (SELECT * FROM ({SQL_CHANGE_ROWS}) WHERE action IN ({ks})),
+adds AS (SELECT (SELECT max(book_id) FROM books) + row_number() OVER (ORDER BY ord) AS book_id,
+                coalesce(title, '') AS title, coalesce(author, '') AS author, coalesce(description, '') AS description,
+                '0' AS isbn, 0 AS publish_year, '' AS genre FROM ch WHERE action = 'add'),
+tgt AS (SELECT * FROM ch WHERE action IN ('edit', 'delete') AND book_id IN (SELECT book_id FROM books)),
+fd AS (SELECT book_id, min(ord) AS first_del FROM tgt WHERE action = 'delete' GROUP BY book_id),
+app AS (SELECT t.* FROM tgt t LEFT JOIN fd USING (book_id) WHERE fd.first_del IS NULL OR t.ord <= fd.first_del),
+ed AS (SELECT book_id, arg_max(title, ord) FILTER (WHERE title IS NOT NULL) AS title,
+              arg_max(author, ord) FILTER (WHERE author IS NOT NULL) AS author,
+              arg_max(description, ord) FILTER (WHERE description IS NOT NULL) AS description
+       FROM app WHERE action = 'edit' GROUP BY book_id),
+final AS (SELECT b.book_id, coalesce(ed.title, b.title) AS title, coalesce(ed.author, b.author) AS author,
+                 coalesce(ed.description, b.description) AS description, b.isbn, b.publish_year, b.genre
+          FROM books b LEFT JOIN ed USING (book_id) WHERE b.book_id NOT IN (SELECT book_id FROM fd)
+          UNION ALL SELECT * FROM adds)"""
+
+
+def _final_sql(kinds):
+    return _sql_apply(kinds) + """
+SELECT book_id, title, author, description, isbn, CAST(publish_year AS VARCHAR) AS publish_year, genre FROM final"""
+
+
+@register("change_requests", sql=f"""
+SELECT seq, CAST(pos AS INTEGER) AS pos, action, CAST(book_id AS VARCHAR) AS book_id, title, author, description
+FROM ({SQL_CHANGE_ROWS})""")
+def q_change_requests(spark, sf):
+    """S10 + M7 + J8: JSON admin requests parsed, routed and paired into per-book change rows."""
+    rows, _ = route_requests(_requests(spark, sf))
+    return rows.select("seq", "pos", "action", F.col("book_id").cast("string").alias("book_id"), "title", "author",
+                       "description")
+
+
+@register("apply_adds", sql=_final_sql(("add",)))
+def q_apply_adds(spark, sf):
+    """M1 + R6 + P3: add requests appended with ids after the largest existing id and default fields."""
+    return _out(apply_requests(_books(spark, sf), _requests(spark, sf, ["signup"])).books)
+
+
+@register("apply_updates", sql=_final_sql(("edit",)))
+def q_apply_updates(spark, sf):
+    """M3 + P4 + J7: partial edits, the latest given value per field winning; unknown ids rejected."""
+    return _out(apply_requests(_books(spark, sf), _requests(spark, sf, ["purchase"])).books)
+
+
+@register("apply_deletes", sql=_final_sql(("delete",)))
+def q_apply_deletes(spark, sf):
+    """M4 + J7: deleted ids removed; repeated deletes of an id rejected."""
+    return _out(apply_requests(_books(spark, sf), _requests(spark, sf, ["error"])).books)
+
+
+@register("apply_batch", sql=_final_sql(("add", "edit", "delete")))
+def q_apply_batch(spark, sf):
+    """M8 + M7: the whole request feed folded per id in arrival order and applied as one batch."""
+    return _out(apply_requests(_books(spark, sf), _requests(spark, sf)).books)
+
+
+@register("batch_rejections", sql=_sql_apply(("add", "edit", "delete")) + """
+SELECT CAST(event_id AS BIGINT) AS seq, -1 AS pos, event_type AS action, CAST(NULL AS VARCHAR) AS book_id,
+       'invalid action' AS reason FROM events WHERE event_type NOT IN ('signup', 'purchase', 'error', 'view')
+UNION ALL
+SELECT t.seq, t.pos, t.action, CAST(t.book_id AS VARCHAR), 'after delete' AS reason FROM tgt t JOIN fd USING (book_id)
+WHERE t.ord > fd.first_del
+UNION ALL
+SELECT seq, pos, action, CAST(book_id AS VARCHAR), 'unknown id' AS reason FROM ch
+WHERE action IN ('edit', 'delete') AND book_id NOT IN (SELECT book_id FROM books)""")
+def q_batch_rejections(spark, sf):
+    """M7 + J7: rejected requests and rows with their reason (unknown action, unknown id, after delete)."""
+    rej = apply_requests(_books(spark, sf), _requests(spark, sf)).rejected
+    return rej.select("seq", F.coalesce("pos", F.lit(-1)).alias("pos"), "action",
+                      F.col("book_id").cast("string").alias("book_id"), "reason")
+
+
+@register("batch_postings", sql=_sql_apply(("add", "edit", "delete")) + f"""
+SELECT DISTINCT unnest({q.tokens(q.compose())}) AS token, book_id FROM final""")
+def q_batch_postings(spark, sf):
+    """U4 + D1: postings updated incrementally for touched ids only; equals postings rebuilt from the result."""
+    books = _books(spark, sf)
+    out = apply_requests(books, _requests(spark, sf), postings=build_postings(books))
+    return out.postings

@@ -70,3 +70,37 @@ SQL_RAW_CATALOGUE = (
     "CAST(nullif(p_size % 5, 0) AS INTEGER) AS publish_year, p_type AS genre, "
     "CAST(p_partkey AS VARCHAR) AS isbn, concat_ws(' ', p_name, p_type) AS description FROM part"
 )
+
+
+def change_requests_from_events(events: DataFrame) -> DataFrame:
+    """``events`` as a feed of admin requests ``(seq, json)``: signup = add, purchase = edit (title always,
+    description for even k), error = delete, view = view_books, click = an unknown action; user_id = target id."""
+    k = F.get_json_object("props", "$.k")
+    uid = F.col("user_id").cast("string")
+    et = F.col("event_type")
+    add = F.struct(F.lit("add_book").alias("action"), F.array(F.struct(
+        F.concat(F.lit("Book "), k).alias("title"), F.concat(F.lit("User "), uid).alias("author"),
+        F.concat(F.lit("Signup "), k, F.lit(" by user "), uid).alias("description"))).alias("book_data"))
+    edit = F.struct(F.lit("edit_book").alias("action"), F.array(uid).alias("book_ids"), F.array(F.struct(
+        F.concat(F.lit("Title "), k).alias("title"),
+        F.when(k.cast("long") % 2 == 0, F.concat(F.lit("Edited "), k)).alias("description"))).alias("book_data"))
+    delete = F.struct(F.lit("delete_book").alias("action"), F.array(uid).alias("book_ids"))
+    view = F.struct(F.lit("view_books").alias("action"))
+    other = F.struct(et.alias("action"))
+    js = (F.when(et == "signup", F.to_json(add)).when(et == "purchase", F.to_json(edit))
+          .when(et == "error", F.to_json(delete)).when(et == "view", F.to_json(view)).otherwise(F.to_json(other)))
+    return events.select(F.col("event_id").cast("long").alias("seq"), js.alias("json"))
+
+
+# The same feed as per-book change rows, in SQL.
+SQL_CHANGE_ROWS = (
+    "SELECT CAST(event_id AS BIGINT) AS seq, 0 AS pos, CAST(event_id AS BIGINT) << 20 AS ord, "
+    "CASE event_type WHEN 'signup' THEN 'add' WHEN 'purchase' THEN 'edit' ELSE 'delete' END AS action, "
+    "CASE WHEN event_type IN ('purchase', 'error') THEN CAST(user_id AS BIGINT) END AS book_id, "
+    "CASE event_type WHEN 'signup' THEN 'Book ' || k WHEN 'purchase' THEN 'Title ' || k END AS title, "
+    "CASE WHEN event_type = 'signup' THEN 'User ' || user_id END AS author, "
+    "CASE WHEN event_type = 'signup' THEN 'Signup ' || k || ' by user ' || user_id "
+    "WHEN event_type = 'purchase' AND k % 2 = 0 THEN 'Edited ' || k END AS description "
+    "FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) "
+    "WHERE event_type IN ('signup', 'purchase', 'error')"
+)
