@@ -104,3 +104,64 @@ SQL_CHANGE_ROWS = (
     "FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) "
     "WHERE event_type IN ('signup', 'purchase', 'error')"
 )
+
+
+def _allowed_by(idx):
+    from lectern.operators.catalog import ALLOWED_GENRES
+    return F.element_at(F.array(*[F.lit(g) for g in ALLOWED_GENRES]), (idx % 20 + 1).cast("int"))
+
+
+def replies_from_part(part: DataFrame) -> DataFrame:
+    """``part`` rows as model replies ``(query_id, attempt, reply)``; ``p_size`` picks the reply's flaws."""
+    s = F.col("p_size")
+    title = F.when(s % 7 == 0, F.lit("1. Book title: Not provided")).otherwise(F.concat(F.lit("1. Book title: "), "p_name"))
+    author = F.concat(F.when(s % 9 == 0, F.lit("2. Author name ")).otherwise(F.lit("2. Author name: ")), "p_brand")
+    genres = F.when(s % 10 == 0, F.concat(F.lit("3. Genres "), F.lower("p_type"))).otherwise(
+        F.concat(F.lit("3. Genres: "), F.lower("p_type"), F.lit(", "), _allowed_by(F.col("p_partkey")), F.lit(", ")))
+    kw = F.when(s % 13 == 0, F.concat(F.lit("4. "), "p_name")).otherwise(
+        F.concat(F.lit("4. Keywords: "), "p_name", F.lit(" "), F.lower("p_type")))
+    extra = F.when(s % 11 == 0, F.lit(" книга")).otherwise(F.lit(""))
+    body = F.concat_ws("\n", title, author, genres, kw)
+    reply = F.when(s == 1, F.lit("  ")).otherwise(F.concat(body, extra))
+    return part.select(F.col("p_partkey").cast("long").alias("query_id"), F.lit(1).alias("attempt"), reply.alias("reply"))
+
+
+def replies_from_conversations(conversations: DataFrame) -> DataFrame:
+    """Conversation turns as reply attempts ``(query_id = conv_id, attempt = turn + 1, reply)``: turn % 3 = 0 is
+    free text, 1 a well-formed reply, 2 a reply whose title line lacks ": "."""
+    t = F.col("turn")
+    fmt = lambda sep: F.concat(F.lit("1. Book title"), F.lit(sep), first_line("text"), F.lit("\n2. Author name: "),
+                               F.col("role"), F.lit("\n3. Genres: "), _allowed_by(F.col("conv_id")),
+                               F.lit("\n4. Keywords: "), F.coalesce(F.col("text"), F.lit("")))
+    reply = F.when(t % 3 == 0, F.col("text")).when(t % 3 == 1, fmt(": ")).otherwise(fmt(" "))
+    return conversations.select(F.col("conv_id").cast("long").alias("query_id"), (t + 1).cast("int").alias("attempt"),
+                                reply.alias("reply"))
+
+
+def _sql_allowed(idx: str) -> str:
+    from lectern.operators.catalog import ALLOWED_GENRES
+    from lectern.plans.sqltext import sql_str_list
+    return f"list_extract({sql_str_list(ALLOWED_GENRES)}, CAST({idx} % 20 + 1 AS INTEGER))"
+
+
+SQL_REPLIES_PART = (
+    "SELECT CAST(p_partkey AS BIGINT) AS query_id, 1 AS attempt, CASE WHEN p_size = 1 THEN '  ' ELSE "
+    "(CASE WHEN p_size % 7 = 0 THEN '1. Book title: Not provided' ELSE '1. Book title: ' || p_name END) || chr(10) || "
+    "(CASE WHEN p_size % 9 = 0 THEN '2. Author name ' ELSE '2. Author name: ' END) || p_brand || chr(10) || "
+    "(CASE WHEN p_size % 10 = 0 THEN '3. Genres ' || lower(p_type) ELSE '3. Genres: ' || lower(p_type) || ', ' || "
+    f"{_sql_allowed('p_partkey')} || ', ' END) || chr(10) || "
+    "(CASE WHEN p_size % 13 = 0 THEN '4. ' || p_name ELSE '4. Keywords: ' || p_name || ' ' || lower(p_type) END) || "
+    "(CASE WHEN p_size % 11 = 0 THEN ' книга' ELSE '' END) END AS reply FROM part"
+)
+
+
+def _sql_conv_fmt(sep: str) -> str:
+    return (f"'1. Book title{sep}' || split_part(text, chr(10), 1) || chr(10) || '2. Author name: ' || role || chr(10) "
+            f"|| '3. Genres: ' || {_sql_allowed('conv_id')} || chr(10) || '4. Keywords: ' || coalesce(text, '')")
+
+
+SQL_REPLIES_CONV = (
+    "SELECT CAST(conv_id AS BIGINT) AS query_id, CAST(turn + 1 AS INTEGER) AS attempt, "
+    f"CASE WHEN turn % 3 = 0 THEN text WHEN turn % 3 = 1 THEN {_sql_conv_fmt(': ')} ELSE {_sql_conv_fmt(' ')} END "
+    "AS reply FROM conversations"
+)
