@@ -28,10 +28,17 @@ STOP_WORDS = (
 WORD_PATTERN = r"(\p{L}+)"
 
 
+NON_WORD_PATTERN = r"[^\p{L}]+"
+
+
 def words(text: Column | str) -> Column:
-    """T1 + T3: lower-case, then every maximal run of letters, in order, duplicates kept."""
+    """T1 + T3: lower-case, then every maximal run of letters, in order, duplicates kept.
+
+    Splitting on runs of non-letters and dropping the empty ends gives exactly the runs of letters, and is
+    cheaper than extracting every match.
+    """
     text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD_PATTERN), 1)
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NON_WORD_PATTERN), "")
 
 
 def drop_stop_words(tokens: Column, stop_words=STOP_WORDS) -> Column:
@@ -50,11 +57,18 @@ def tokens(text: Column | str, stop_words=STOP_WORDS) -> Column:
     return drop_stop_words(words(text), stop_words)
 
 
+def distinct_tokens(text: Column | str, stop_words=STOP_WORDS) -> Column:
+    """The set of ``tokens(text)``: one built-in ``array_except`` removes stop words and repeats together."""
+    stop = list(stop_words)
+    return F.array_except(words(text), F.array(*[F.lit(w) for w in stop]).cast("array<string>"))
+
+
 def is_missing(c: Column | str) -> Column:
     """A value counts as missing when it is null, NaN, or prints as "nan" in any case."""
     c = F.col(c) if isinstance(c, str) else c
     s = c.cast("string")
-    return c.isNull() | (F.lower(F.trim(s)) == F.lit("nan"))
+    # The length test runs first, so a long text is never lower-cased just to be compared with "nan".
+    return c.isNull() | ((F.length(s) == 3) & (F.lower(s) == F.lit("nan")))
 
 
 def text_or_empty(c: Column | str, null_text: str = "") -> Column:

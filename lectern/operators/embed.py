@@ -1,8 +1,8 @@
 """Text vectors (T7 a/b/c, T8, T9), vector coverage (J9, A9) and gap-only re-embedding (M6).
 
 T7c, the built-in embedder, is signed feature hashing: every analysed token adds +1 or -1 to one of ``dim``
-buckets chosen by its md5, and the count vector is L2-normalised. Hashing runs in the JVM; the per-row count
-is a small numpy helper inside an Arrow-batched pandas UDF, so no token ever crosses a shuffle.
+buckets chosen by its md5, and the count vector is L2-normalised. The md5 of each token is taken in the JVM; the
+per-row bucket count is a small numpy helper inside an Arrow-batched pandas UDF, so no token ever crosses a shuffle.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import STOP_WORDS, compose_text, tokens
+from lectern.operators.joins import spread
 
 DEFAULT_DIM = 768
 MODEL_MAX_TOKENS = 510  # T8: a 512-token model input minus its two marker tokens
@@ -25,26 +26,22 @@ def token_hash(t: Column) -> Column:
     return F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long")
 
 
-def signed_codes(toks: Column, dim: int) -> Column:
-    """Per token ``(bucket + 1) * sign`` with bucket = h mod dim and sign from the next bit of h div dim."""
-    def code(t):
-        h = token_hash(t)
-        bucket = h % F.lit(dim)
-        sign = F.when(F.floor(h / F.lit(dim)) % 2 == 0, F.lit(1)).otherwise(F.lit(-1))
-        return ((bucket + 1) * sign).cast("int")
-    return F.transform(toks, code)
+def token_hashes(toks: Column) -> Column:
+    return F.transform(toks, token_hash)
 
 
 def _count_codes(dim: int):
+    """Per row: bucket = h mod dim, sign = +1 when (h div dim) is even else -1; add, then L2-normalise."""
     @F.pandas_udf("array<double>")
-    def count(codes: pd.Series) -> pd.Series:
-        n = len(codes)
-        lengths = codes.map(lambda a: 0 if a is None else len(a)).to_numpy()
+    def count(hashes: pd.Series) -> pd.Series:
+        n = len(hashes)
+        lengths = hashes.map(lambda a: 0 if a is None else len(a)).to_numpy()
         out = np.zeros((n, dim), dtype=np.float64)
         if lengths.sum():
-            flat = np.concatenate([np.asarray(a, dtype=np.int64) for a in codes if a is not None and len(a)])
+            h = np.concatenate([np.asarray(a, dtype=np.int64) for a in hashes if a is not None and len(a)])
             rows = np.repeat(np.arange(n), lengths)
-            np.add.at(out, (rows, np.abs(flat) - 1), np.sign(flat).astype(np.float64))
+            sign = np.where((h // dim) % 2 == 0, 1.0, -1.0)
+            np.add.at(out, (rows, h % dim), sign)
         norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
         out = np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
         return pd.Series(list(out))
@@ -61,8 +58,8 @@ def hashed_vectors(df: DataFrame, id_col: str = "book_id", text: Column | None =
     toks = tokens(text, stop_words)
     if max_tokens is not None:
         toks = F.slice(toks, 1, max_tokens)
-    codes = df.select(F.col(id_col).alias("book_id"), signed_codes(toks, dim).alias("codes"))
-    return codes.select("book_id", _count_codes(dim)("codes").alias("embedding"))
+    hashed = spread(df).select(F.col(id_col).alias("book_id"), token_hashes(toks).alias("h"))
+    return hashed.select("book_id", _count_codes(dim)("h").alias("embedding"))
 
 
 def embed_with(df: DataFrame, make_model: Callable[[], Callable[[list[str]], np.ndarray]],

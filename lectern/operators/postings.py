@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import STOP_WORDS, compose_text, tokens
+from lectern.functions.text import STOP_WORDS, compose_text, distinct_tokens
+from lectern.operators.joins import spread
 
 # Largest number of ids one array-view row holds; a token's list is split by ``book_id div POSTING_BLOCK``.
 POSTING_BLOCK = 4096
@@ -23,8 +24,8 @@ def build_postings(books: DataFrame, text: Column | None = None, id_col: str = "
     Requires ``id_col`` to be a key of ``books`` (one row per book), which the catalogue guarantees.
     """
     text = compose_text() if text is None else text
-    return books.select(
-        F.explode(F.array_distinct(tokens(text, stop_words))).alias("token"),
+    return spread(books).select(
+        F.explode(distinct_tokens(text, stop_words)).alias("token"),
         F.col(id_col).cast("long").alias("book_id"),
     )
 
