@@ -17,9 +17,15 @@ HASH_DIM = 64
 
 
 def _long_form(vectors, id_col="book_id"):
-    """Vector rows as (id, dim_index, value rounded to 6 decimals) so both engines compare numbers."""
-    return vectors.select(id_col, F.posexplode("embedding").alias("dim_index", "x")).select(
-        id_col, F.col("dim_index").cast("long").alias("dim_index"), F.round(F.col("x").cast("double"), 6).alias("value"))
+    """Vector rows as (id, dim_index, value rounded to 6 decimals) so both engines compare numbers.
+
+    ``posexplode_outer`` plus an explicit filter: a plain ``posexplode`` lets Catalyst infer a non-empty-array
+    predicate on the vector and push it below the exchange, which would evaluate the embedder twice.
+    """
+    return (vectors.select(id_col, F.posexplode_outer("embedding").alias("dim_index", "x"))
+            .where(F.col("dim_index").isNotNull())
+            .select(id_col, F.col("dim_index").cast("long").alias("dim_index"),
+                    F.round(F.col("x").cast("double"), 6).alias("value")))
 
 
 SQL_HASHED = f"""

@@ -26,5 +26,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from lectern.plans import (checks_catalogue, checks_changes, checks_index, checks_replies,  # noqa: F401
-                               checks_search, checks_vectors)
+    from lectern.plans import (checks_catalogue, checks_changes, checks_fuzzy, checks_index,  # noqa: F401
+                               checks_replies, checks_search, checks_vectors)
