@@ -128,9 +128,10 @@ def replies_from_part(part: DataFrame) -> DataFrame:
 
 def replies_from_conversations(conversations: DataFrame) -> DataFrame:
     """Conversation turns as reply attempts ``(query_id = conv_id, attempt = turn + 1, reply)``: turn % 3 = 0 is
-    free text, 1 a well-formed reply, 2 a reply whose title line lacks ": "."""
+    free text, 1 a well-formed reply (title = the text's first sentence, author = role, keywords = the whole
+    text), 2 the same reply with a title line that lacks ": "."""
     t = F.col("turn")
-    fmt = lambda sep: F.concat(F.lit("1. Book title"), F.lit(sep), first_line("text"), F.lit("\n2. Author name: "),
+    fmt = lambda sep: F.concat(F.lit("1. Book title"), F.lit(sep), F.substring_index("text", ".", 1), F.lit("\n2. Author name: "),
                                F.col("role"), F.lit("\n3. Genres: "), _allowed_by(F.col("conv_id")),
                                F.lit("\n4. Keywords: "), F.coalesce(F.col("text"), F.lit("")))
     reply = F.when(t % 3 == 0, F.col("text")).when(t % 3 == 1, fmt(": ")).otherwise(fmt(" "))
@@ -156,7 +157,7 @@ SQL_REPLIES_PART = (
 
 
 def _sql_conv_fmt(sep: str) -> str:
-    return (f"'1. Book title{sep}' || split_part(text, chr(10), 1) || chr(10) || '2. Author name: ' || role || chr(10) "
+    return (f"'1. Book title{sep}' || split_part(text, '.', 1) || chr(10) || '2. Author name: ' || role || chr(10) "
             f"|| '3. Genres: ' || {_sql_allowed('conv_id')} || chr(10) || '4. Keywords: ' || coalesce(text, '')")
 
 

@@ -55,10 +55,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="lectern-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the written copy (lineage cut).
+
+    Used for small derived tables that several later steps read, so they are computed once and survive the
+    loss of an executor.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one written table."""
     root = checkpoint_root(spark).rstrip("/")
