@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from lectern.operators.catalog import BOOK_DEFAULTS, BOOK_TYPES
 from lectern.operators.ids import sequential_ids
 from lectern.operators.postings import build_postings
-from lectern.schemas import BOOK_FIELDS
+from lectern.schemas import BOOK_DATA, BOOK_FIELDS
+from lectern.session import materialize
 
 POS_BITS = 20  # up to 2**20 books in one request; (seq, pos) packs into one ordering integer
 
@@ -62,17 +63,19 @@ def route_requests(reqs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(a.isin("add_book", "edit_book", "delete_book"), F.lit("missing data"))
          .otherwise(F.lit("invalid action")).alias("reason"))
 
-    fields = [_field(f, "d") for f in BOOK_FIELDS]
-    adds = (r.where(F.col("_kind") == "add").select("seq", F.posexplode("book_data").alias("pos", "d"))
-            .select("seq", "pos", F.lit("add").alias("action"), F.lit(None).cast("long").alias("book_id"), *fields))
+    # One pass: every routed request becomes an array of (pos, action, id text, fields) items.
+    none_id = F.lit(None).cast("string")
+    none_data = F.lit(None).cast(BOOK_DATA.simpleString())
+    item = lambda p, act, i, d: F.struct(p.alias("pos"), F.lit(act).alias("action"), i.alias("i"), d.alias("d"))
     pairs = F.slice(F.arrays_zip(F.col("book_ids").alias("i"), F.col("book_data").alias("d")), 1, F.least(n_ids, n_data))
-    edits = (r.where(F.col("_kind") == "edit").select("seq", F.posexplode(pairs).alias("pos", "p"))
-             .select("seq", "pos", F.lit("edit").alias("action"), F.trim("p.i").cast("long").alias("book_id"),
-                     *[_field(f, "p.d") for f in BOOK_FIELDS]))
-    deletes = (r.where(F.col("_kind") == "delete").select("seq", F.posexplode("book_ids").alias("pos", "i"))
-               .select("seq", "pos", F.lit("delete").alias("action"), F.trim("i").cast("long").alias("book_id"),
-                       *[F.lit(None).cast(BOOK_TYPES[f]).alias(f) for f in BOOK_FIELDS]))
-    rows = adds.unionByName(edits).unionByName(deletes)
+    items = (F.when(F.col("_kind") == "add", F.transform("book_data", lambda d, p: item(p, "add", none_id, d)))
+             .when(F.col("_kind") == "edit", F.transform(pairs, lambda x, p: item(p, "edit", x["i"], x["d"])))
+             .when(F.col("_kind") == "delete", F.transform("book_ids", lambda x, p: item(p, "delete", x, none_data))))
+    # explode_outer + a filter on the generated item: a filter on the request itself would be pushed below an
+    # upstream repartition and evaluated twice.
+    rows = (r.select("seq", F.explode_outer(items).alias("it")).where(F.col("it").isNotNull())
+            .select("seq", F.col("it.pos").alias("pos"), F.col("it.action").alias("action"),
+                    F.trim("it.i").cast("long").alias("book_id"), *[_field(f, "it.d") for f in BOOK_FIELDS]))
     rows = rows.withColumn("ord", F.shiftleft(F.col("seq").cast("long"), POS_BITS) + F.col("pos"))
     return rows, rejected
 
@@ -115,7 +118,8 @@ def apply_changes(books: DataFrame, changes: DataFrame, postings: DataFrame | No
               .when(~alive, F.lit("unknown id"))
               .when(F.col("first_del").isNotNull() & (F.col("ord") > F.col("first_del")), F.lit("after delete"))
               .otherwise(F.lit("applied")))
-    tgt = tgt.withColumn("status", status)
+    # The folded rows feed the rejects, the final rows and the touched ids; written once (batch-sized).
+    tgt = materialize(tgt.withColumn("status", status), "folded-changes")
     rejected_rows = tgt.where(F.col("status") != "applied").select(
         "seq", "pos", "action", "book_id", F.col("status").alias("reason"))
 
@@ -161,6 +165,9 @@ def apply_requests(books: DataFrame, requests: DataFrame, postings: DataFrame |
                    vectors: DataFrame | None = None, embed=None, text=None) -> Applied:
     """M7 + M8: route a table of requests and apply it; request-level and row-level rejects are combined."""
     rows, rejected_requests = route_requests(requests)
+    # The batch's change rows are read by several steps; writing them once (bounded by the batch size) also
+    # makes a replayed batch start from the same rows.
+    rows = materialize(rows)
     out = apply_changes(books, rows, postings, vectors, embed, text)
     out.rejected = rejected_requests.unionByName(out.rejected)
     return out

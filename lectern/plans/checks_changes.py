@@ -14,6 +14,7 @@ from lectern.plans.registry import register
 from lectern.plans.standins import (SQL_BOOKS, SQL_CHANGE_ROWS, books_from_documents, change_requests_from_events,
                                     table)
 from lectern.schemas import BOOK_FIELDS
+from lectern.session import materialize
 from lectern.sources.readers import parse_change_requests
 
 
@@ -25,7 +26,8 @@ def _requests(spark, sf, kinds=None):
 
 
 def _books(spark, sf):
-    return books_from_documents(table(spark, sf, "documents"))
+    """The catalogue before the batch: a stored table, as it is between batches."""
+    return materialize(books_from_documents(table(spark, sf, "documents")))
 
 
 def _out(books):

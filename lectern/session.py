@@ -60,14 +60,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and continue from the written copy (lineage cut).
+def materialize(df, name: str = "table"):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and continue from the written copy.
 
-    Used for small derived tables that several later steps read, so they are computed once and survive the
-    loss of an executor.
+    A lineage cut for derived tables that several later steps read: they are computed once (a reliable
+    ``checkpoint()`` without a cache would compute them twice) and survive the loss of an executor.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.vectors import from_wide, parse_vector_text
+from lectern.operators.joins import spread
 from lectern.operators.postings import parse_postings
 from lectern.schemas import CHANGE_REQUEST, GENRES, POSTINGS_TEXT, RAW_CATALOGUE, SEARCH_REQUEST, VECTORS_TEXT
 
@@ -102,7 +103,7 @@ def union_ingests(*frames: DataFrame) -> DataFrame:
 
 def parse_change_requests(df: DataFrame, json_col: str = "json") -> DataFrame:
     """``{action, book_data[], book_ids[]}`` request bodies to typed columns."""
-    return df.withColumn("req", F.from_json(F.col(json_col), CHANGE_REQUEST)).select(
+    return spread(df).withColumn("req", F.from_json(F.col(json_col), CHANGE_REQUEST)).select(
         "*", F.col("req.action").alias("action"), F.col("req.book_data").alias("book_data"),
         F.col("req.book_ids").alias("book_ids")).drop("req")
 
