@@ -151,11 +151,11 @@ def apply_changes(books: DataFrame, changes: DataFrame, postings: DataFrame | No
 
     new_post = None
     if postings is not None:
-        new_post = (postings.join(all_touched, "book_id", "left_anti")
+        new_post = (postings.join(all_touched, "book_id", "left_anti").select("token", "book_id")
                     .unionByName(build_postings(changed_rows, text)))
     new_vec = None
     if vectors is not None and embed is not None:
-        new_vec = (vectors.join(all_touched, "book_id", "left_anti")
+        new_vec = (vectors.join(all_touched, "book_id", "left_anti").select(*vectors.columns)
                    .unionByName(embed(changed_rows), allowMissingColumns=True))
     rejected = rejected_rows
     return Applied(new_books, new_post, new_vec, rejected, all_touched)

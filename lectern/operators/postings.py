@@ -73,4 +73,4 @@ def vocabulary_filter(tokens_df: DataFrame, vocab: DataFrame, token_col: str = "
 def prune_postings(postings: DataFrame, live_books: DataFrame, id_col: str = "book_id") -> DataFrame:
     """Postings of books that still exist; empty tokens vanish with their last posting (A4)."""
     live = live_books.select(F.col(id_col).cast("long").alias("book_id"))
-    return postings.join(live, "book_id", "left_semi")
+    return postings.join(live, "book_id", "left_semi").select("token", "book_id")
