@@ -50,6 +50,23 @@ def dedupe_books(raw: DataFrame, pos: str = "pos", keys=("title", "author", "pub
     return sequential_ids(flat, "first_pos", "book_id", **kw)
 
 
+def book_genres(raw: DataFrame, deduped: DataFrame, pos: str = "pos", keys=("title", "author", "publish_year"),
+                genre: str = "genre") -> DataFrame:
+    """A1 in long form: ``(book_id, pos, genre)`` for every raw row of a surviving book.
+
+    The joined genre string of ``dedupe_books`` is one value whose size grows with its group; this table holds
+    the same information one row per raw row, so a key that repeats millions of times costs no single large row.
+    """
+    k = raw.select(F.col(pos).alias("pos"), F.col(genre).alias("genre"),
+                   *[_key(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+    ids = deduped.select("book_id", *[_key(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+    on = [k[f"_k{i}"].eqNullSafe(ids[f"_k{i}"]) for i in range(len(keys))]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return k.join(ids, cond).select("book_id", "pos", "genre")
+
+
 def fill_defaults(df: DataFrame, keep=()) -> DataFrame:
     """Exactly the six known fields, a missing or null field taking its default; other columns dropped."""
     cols = []

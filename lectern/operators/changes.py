@@ -106,8 +106,13 @@ def apply_changes(books: DataFrame, changes: DataFrame, postings: DataFrame | No
     # Targeted rows: edits, deletes and upserts (adds with an id), folded per id.
     tgt = (changes.where((F.col("action") != "add") | F.col("book_id").isNotNull())
            .withColumn("action", F.when(F.col("action") == "add", F.lit("upsert")).otherwise(F.col("action"))))
-    w = Window.partitionBy("book_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    tgt = tgt.withColumn("run", F.sum(F.when(F.col("action") == "upsert", 1).otherwise(0)).over(w))
+    if tgt.where(F.col("action") == "upsert").isEmpty():
+        # No upserts: every row is in run 0, and the fold below is aggregates and joins only (combined map-side,
+        # skew-split by AQE), with no per-id ordered pass.
+        tgt = tgt.withColumn("run", F.lit(0).cast("long"))
+    else:
+        w = Window.partitionBy("book_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+        tgt = tgt.withColumn("run", F.sum(F.when(F.col("action") == "upsert", 1).otherwise(0)).over(w).cast("long"))
     tgt = tgt.join(book_ids.withColumn("_exists", F.lit(True)), "book_id", "left")
     runs = tgt.groupBy("book_id", "run").agg(
         F.min(F.when(F.col("action") == "delete", F.col("ord"))).alias("first_del"))

@@ -34,3 +34,11 @@ def test_fill_defaults(spark):
     df = spark.createDataFrame([("T", None, "x")], "title string, publish_year int, unknown string")
     got = fill_defaults(df).first().asDict()
     assert got == {"title": "T", "author": "", "description": "", "isbn": "0", "publish_year": 0, "genre": ""}
+
+
+def test_book_genres_long_form(spark):
+    from lectern.operators.catalog import book_genres
+    raw = spark.createDataFrame([(0, "A", "x", None, "g1"), (1, "A", "x", None, "g2"), (2, "B", "y", 1, "g3")],
+                                "pos long, title string, author string, publish_year int, genre string")
+    d = dedupe_books(raw)
+    assert rows(book_genres(raw, d)) == [(0, 0, "g1"), (0, 1, "g2"), (1, 2, "g3")]
