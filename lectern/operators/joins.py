@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # Rows a broadcast side may hold. Sides in this library that are broadcast are narrow (ids, a token, a vector),
 # so this keeps a broadcast well under the default 8 GB hard limit and typically under a few hundred MB.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 DEFAULT_SALT = 32
 
 
@@ -41,6 +42,16 @@ def measured_rows(df: DataFrame) -> int:
     return df.count()
 
 
+def broadcast_vectors_if_bounded(df: DataFrame, vec_col: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool, int]:
+    """Like ``broadcast_if_bounded`` for a side that carries a vector: rows and the longest vector are measured
+    in one job, and the side is broadcast only if ``rows * (8 * longest + 64)`` bytes also fit ``max_bytes``."""
+    n, longest = df.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(vec_col)), F.lit(0))).first()
+    if n <= max_rows and n * (8 * max(longest, 0) + 64) <= max_bytes:
+        return F.broadcast(df), True, n
+    return df, False, n
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                          rows: int | None = None) -> tuple[DataFrame, bool, int]:
     """Return ``(df or broadcast(df), broadcast?, rows)`` after measuring the row count."""
