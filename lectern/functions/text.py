@@ -31,14 +31,37 @@ WORD_PATTERN = r"(\p{L}+)"
 NON_WORD_PATTERN = r"[^\p{L}]+"
 
 
-def words(text: Column | str) -> Column:
+def _accent_table() -> tuple[str, str]:
+    """Latin letters with diacritics (U+00C0-U+024F) and their base letters, derived by Unicode decomposition."""
+    import unicodedata
+    src, dst = [], []
+    for cp in range(0xC0, 0x250):
+        ch = chr(cp)
+        base = unicodedata.normalize("NFD", ch)[0]
+        if base != ch and base.isascii() and base.isalpha():
+            src.append(ch)
+            dst.append(base)
+    return "".join(src), "".join(dst)
+
+
+def strip_accents(text: Column) -> Column:
+    """Map accented Latin letters to their base letter (one ``translate`` over a table built from Unicode)."""
+    src, dst = _accent_table()
+    return F.translate(text, src, dst)
+
+
+def words(text: Column | str, accents: bool = True) -> Column:
     """T1 + T3: lower-case, then every maximal run of letters, in order, duplicates kept.
 
     Splitting on runs of non-letters and dropping the empty ends gives exactly the runs of letters, and is
-    cheaper than extracting every match.
+    cheaper than extracting every match. ``accents=False`` strips diacritics first (as an uncased word-piece
+    tokeniser does); the default keeps them.
     """
     text = F.col(text) if isinstance(text, str) else text
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NON_WORD_PATTERN), "")
+    text = F.lower(F.coalesce(text, F.lit("")))
+    if not accents:
+        text = strip_accents(text)
+    return F.array_remove(F.split(text, NON_WORD_PATTERN), "")
 
 
 def drop_stop_words(tokens: Column, stop_words=STOP_WORDS) -> Column:
@@ -52,15 +75,15 @@ def drop_stop_words(tokens: Column, stop_words=STOP_WORDS) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(stop))
 
 
-def tokens(text: Column | str, stop_words=STOP_WORDS) -> Column:
+def tokens(text: Column | str, stop_words=STOP_WORDS, accents: bool = True) -> Column:
     """T6 without lemmas: lower-cased letter runs with stop words removed, as an ordered list."""
-    return drop_stop_words(words(text), stop_words)
+    return drop_stop_words(words(text, accents), stop_words)
 
 
-def distinct_tokens(text: Column | str, stop_words=STOP_WORDS) -> Column:
+def distinct_tokens(text: Column | str, stop_words=STOP_WORDS, accents: bool = True) -> Column:
     """The set of ``tokens(text)``: one built-in ``array_except`` removes stop words and repeats together."""
     stop = list(stop_words)
-    return F.array_except(words(text), F.array(*[F.lit(w) for w in stop]).cast("array<string>"))
+    return F.array_except(words(text, accents), F.array(*[F.lit(w) for w in stop]).cast("array<string>"))
 
 
 def is_missing(c: Column | str) -> Column:
