@@ -2,7 +2,7 @@
 
 T7c, the built-in embedder, is signed feature hashing: every analysed token adds +1 or -1 to one of ``dim``
 buckets chosen by its md5, and the count vector is L2-normalised. The md5 of each token is taken in the JVM; the
-per-row bucket count is a small numpy helper inside an Arrow-batched pandas UDF, so no token ever crosses a shuffle.
+per-row bucket count is a small numpy helper inside an Arrow-batched pandas UDF, so tokens never cross a shuffle.
 """
 
 from __future__ import annotations

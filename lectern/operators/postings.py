@@ -1,8 +1,8 @@
 """Inverted index as DataFrames (A2, A3, A4, J2, J5, K3/S5 codec).
 
 The canonical index is the long table ``postings(token string, book_id long)``: one row per distinct
-(token, book) pair. It is built without any shuffle: each catalogue row is one book, so distinct tokens of a
-row are distinct pairs. Array views are cut into id blocks so no row ever holds an unbounded posting list.
+(token, book) pair. It is built without a keyed shuffle: each catalogue row is one book, so distinct tokens of
+a row are distinct pairs (an input with fewer splits than cores is only round-robined first). Array views are cut into id blocks so no row ever holds an unbounded posting list.
 """
 
 from __future__ import annotations

@@ -88,7 +88,7 @@ def q_genre_codes(spark, sf):
 
 def _landed_json(documents):
     """Stand-in landing: one search response per document and one detail record per work key."""
-    key = F.concat(F.lit("/works/OL"), F.col("doc_id").cast("string"), F.lit("W"))
+    key = F.concat(F.lit("/works/W"), F.col("doc_id").cast("string"))
     year = F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.lit(1900) + F.col("doc_id") % 120)
     doc = F.struct(first_line("text").alias("title"), F.array("source").alias("author_name"),
                    year.cast("long").alias("first_publish_year"),
@@ -107,7 +107,7 @@ def _landed_json(documents):
 SELECT coalesce(split_part(text, chr(10), 1), 'N/A') AS title, coalesce(source, 'N/A') AS author,
        CASE WHEN doc_id % 3 = 0 THEN 'N/A' ELSE CAST(1900 + doc_id % 120 AS VARCHAR) END AS publish_year,
        CAST(doc_id AS VARCHAR) || ', ' || CAST(doc_id + 1000000 AS VARCHAR) AS isbn,
-       '/works/OL' || CAST(doc_id AS VARCHAR) || 'W' AS key, lang AS genre,
+       '/works/W' || CAST(doc_id AS VARCHAR) AS key, lang AS genre,
        CASE WHEN doc_id % 10 = 0 OR text IS NULL THEN 'N/A' ELSE text END AS description
 FROM documents""")
 def q_ingest_json(spark, sf):
