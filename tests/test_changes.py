@@ -101,3 +101,17 @@ def test_incremental_postings_equal_rebuild(spark):
     out = _apply(spark, {"action": "edit_book", "book_ids": ["2"], "book_data": [{"description": "brand new words"}]},
                  {"action": "add_book", "book_data": [BOOK]}, {"action": "delete_book", "book_ids": ["1"]})
     assert rows(out.postings) == rows(build_postings(out.books))
+
+
+def test_vectors_follow_the_batch(spark):
+    from lectern.operators.embed import hashed_vectors
+    books = _books(spark)
+    embed = lambda df: hashed_vectors(df, dim=8)
+    out = apply_requests(books, _reqs(spark, {"action": "delete_book", "book_ids": ["0"]},
+                                      {"action": "edit_book", "book_ids": ["1"], "book_data": [{"title": "New"}]},
+                                      {"action": "add_book", "book_data": [BOOK]}),
+                         vectors=embed(books), embed=embed)
+    got = {r["book_id"]: r["embedding"] for r in out.vectors.collect()}
+    assert set(got) == {1, 2, 3}
+    fresh = {r["book_id"]: r["embedding"] for r in embed(out.books).collect()}
+    assert all(max(abs(a - b) for a, b in zip(got[k], fresh[k])) < 1e-6 for k in got)
