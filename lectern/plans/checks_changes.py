@@ -120,6 +120,17 @@ def q_batch_postings(spark, sf):
     return out.postings
 
 
+@register("batch_vocabulary", sql=_sql_apply(("add", "edit", "delete")) + f""",
+post AS (SELECT DISTINCT unnest({q.tokens(q.compose())}) AS token, book_id FROM final)
+SELECT token, CAST(count(*) AS BIGINT) AS n_books FROM post GROUP BY token""")
+def q_batch_vocabulary(spark, sf):
+    """M5: the vocabulary after the batch, from the updated postings (no book text is read again)."""
+    from lectern.operators.postings import vocabulary
+    books = _books(spark, sf)
+    out = apply_requests(books, _requests(spark, sf), postings=build_postings(books))
+    return vocabulary(out.postings)
+
+
 STREAM_RUNS = 3
 
 

@@ -18,9 +18,10 @@ def build_index(spark: SparkSession, books: DataFrame, root: str, vectors: DataF
                 dim: int = DEFAULT_DIM, version: int = 0) -> dict[str, DataFrame]:
     """Write books, postings, vocabulary and vectors of one catalogue version; return them read back."""
     embed = lambda df: hashed_vectors(df, dim=dim)
-    vecs = embed(books) if vectors is None else fill_missing_vectors(books, vectors, embed).drop("computed")
     publish(books, root, "books", version)
     stored_books = read_version(spark, root, "books", version)
+    vecs = (embed(stored_books) if vectors is None
+            else fill_missing_vectors(stored_books, vectors, embed).drop("computed"))
     publish(build_postings(stored_books), root, "postings", version)
     postings = read_version(spark, root, "postings", version)
     publish(vocabulary(postings), root, "vocabulary", version)
