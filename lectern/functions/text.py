@@ -25,9 +25,6 @@ STOP_WORDS = (
 ).split()
 
 # A word is a maximal run of Unicode letters; digits, punctuation and marks separate words.
-WORD_PATTERN = r"(\p{L}+)"
-
-
 NON_WORD_PATTERN = r"[^\p{L}]+"
 
 
