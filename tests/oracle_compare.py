@@ -88,7 +88,12 @@ def main(argv):
     names = [a for a in argv[1:] if not a.startswith("/")]
     from lectern.session import local_session
     import __spark_entry__ as E
-    spark = local_session(8, 8)
+    if os.environ.get("PLAIN_SESSION"):
+        from pyspark.sql import SparkSession  # the driver's kind of session: defaults only
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = local_session(8, 8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

@@ -115,3 +115,16 @@ def test_vectors_follow_the_batch(spark):
     assert set(got) == {1, 2, 3}
     fresh = {r["book_id"]: r["embedding"] for r in embed(out.books).collect()}
     assert all(max(abs(a - b) for a, b in zip(got[k], fresh[k])) < 1e-6 for k in got)
+
+
+def test_batch_without_changes_keeps_the_catalogue(spark):
+    out = _apply(spark, {"action": "view_books"}, {"action": "nothing"})
+    assert rows(out.books) == rows(_books(spark))
+    assert rows(out.rejected, "seq", "reason") == [(1, "invalid action")]
+
+
+def test_materialize_empty_table(spark):
+    from lectern.session import materialize
+    empty = spark.createDataFrame([], "a long, b array<string>")
+    back = materialize(empty)
+    assert back.count() == 0 and back.schema == empty.schema
