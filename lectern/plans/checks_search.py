@@ -88,3 +88,45 @@ def q_result_page(spark, sf):
     books, post, vec, qvec, queries = _inputs(spark, sf)
     page = result_page(queries, post, vec, books, qvec, page_size=PAGE_SIZE)
     return page.withColumn("year", F.col("year").cast("string"))
+
+
+SESSION_DIM = 64
+
+
+@register("session_search", sql=f"""
+WITH {q.postings_cte(SQL_BOOKS)},
+ctx AS (SELECT (CAST(conv_id AS BIGINT) << 20) + CAST(turn AS BIGINT) AS query_id,
+               string_agg(text, '. ') OVER (PARTITION BY conv_id ORDER BY turn
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS text
+        FROM conversations WHERE role = 'user'),
+qt AS (SELECT DISTINCT query_id, unnest({q.tokens('text')}) AS token FROM ctx),
+cand AS (SELECT DISTINCT query_id, book_id FROM qt JOIN post USING (token)),
+{q.hashed_cte('b', f"SELECT book_id AS id, {q.compose()} AS txt FROM books", SESSION_DIM)},
+{q.hashed_cte('q', "SELECT query_id AS id, text AS txt FROM ctx", SESSION_DIM)},
+dots AS (SELECT c.query_id, c.book_id, sum(qv.v * bv.v) AS d
+         FROM cand c JOIN q_vec qv ON qv.id = c.query_id JOIN b_vec bv ON bv.id = c.book_id AND bv.bucket = qv.bucket
+         GROUP BY c.query_id, c.book_id),
+scored AS (SELECT c.query_id, c.book_id,
+                  CASE WHEN qn.n * bn.n > 0 THEN coalesce(d.d, 0.0) / (qn.n * bn.n) ELSE 0.0 END AS sim
+           FROM cand c JOIN q_norm qn ON qn.id = c.query_id JOIN b_norm bn ON bn.id = c.book_id
+           LEFT JOIN dots d ON d.query_id = c.query_id AND d.book_id = c.book_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 12) DESC, book_id) AS rank
+           FROM scored)
+SELECT query_id, rank, book_id, round(sim * 100.0, 2) AS similarity FROM ranked WHERE rank <= {PAGE_SIZE}""")
+def q_session_search(spark, sf):
+    """X5 -> P11 -> X1 -> R2 -> P7: each user turn searches its session's whole history joined with ". "
+    (hashed vectors for books and contexts); first page of hits with percent similarity. Ranking uses scores
+    rounded to 12 decimals so equal vectors tie in both engines."""
+    from lectern.operators.embed import hashed_vectors
+    from lectern.operators.present import percent
+    from lectern.operators.sessions import session_context
+    books, post = catalogue(spark, sf)
+    conv = table(spark, sf, "conversations").where(F.col("role") == "user")
+    entries = conv.select(F.col("conv_id").cast("long").alias("session_id"), F.col("turn").cast("long").alias("seq"),
+                          "text")
+    ctx = session_context(entries).select(
+        (F.shiftleft("session_id", 20) + F.col("seq")).alias("query_id"), F.col("context").alias("text"))
+    qv = hashed_vectors(ctx, "query_id", F.col("text"), dim=SESSION_DIM).withColumnRenamed("book_id", "query_id")
+    bv = hashed_vectors(books, dim=SESSION_DIM)
+    hits = hybrid_search(ctx, post, bv, books, qv, top_n_rows=PAGE_SIZE, score_decimals=12)
+    return hits.select("query_id", "rank", "book_id", percent("similarity").alias("similarity"))

@@ -17,7 +17,7 @@ from lectern.operators.retrieval import candidate_books, hydrate, query_tokens,
 def hybrid_search(queries: DataFrame, postings: DataFrame, vectors: DataFrame, books: DataFrame,
                   query_vectors: DataFrame, top_n_rows: int = 100, text_col: str = "text",
                   book_cols=("title",), metric: str = "cosine", stop_words=STOP_WORDS,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, score_decimals: int | None = None) -> DataFrame:
     """T6 -> J2/J1 -> A5 -> J3 -> V1 -> R1 -> J4 for every row of ``queries``.
 
     ``queries``: (query_id, text); ``postings``: (token, book_id); ``vectors``: (book_id, embedding);
@@ -27,7 +27,7 @@ def hybrid_search(queries: DataFrame, postings: DataFrame, vectors: DataFrame, b
     qt = query_tokens(queries, text_col, stop_words=stop_words)
     cands = candidate_books(qt, postings, max_broadcast_rows)
     scored = score_candidates(cands, vectors, query_vectors, metric, max_broadcast_rows)
-    top = top_n(scored, top_n_rows, ascending=(metric == "euclidean"))
+    top = top_n(scored, top_n_rows, ascending=(metric == "euclidean"), score_decimals=score_decimals)
     n_queries = measured_rows(queries.select("query_id"))
     return hydrate(top, books, list(book_cols), bound_rows=n_queries * top_n_rows,
                    max_broadcast_rows=max_broadcast_rows)

@@ -56,3 +56,19 @@ def candidates_cte(books_sql: str) -> str:
             f"qt AS (SELECT DISTINCT CAST(item_id AS BIGINT) AS query_id, unnest({tokens('text')}) AS token "
             "FROM benchmark), "
             "cand AS (SELECT DISTINCT query_id, book_id FROM qt JOIN post USING (token))")
+
+
+def hashed_cte(prefix: str, src_sql: str, dim: int) -> str:
+    """Signed md5 feature-hashed unit vectors in long form: ``{prefix}_vec(id, bucket, v)`` and
+    ``{prefix}_norm(id, n)`` for ``src_sql`` rows ``(id, txt)``."""
+    p = prefix
+    return (f"{p}_src AS ({src_sql}), "
+            f"{p}_tk AS (SELECT id, unnest({tokens('txt')}) AS t FROM {p}_src), "
+            f"{p}_h AS (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) AS h FROM {p}_tk), "
+            f"{p}_c AS (SELECT id, h % {dim} AS bucket, CASE WHEN (h // {dim}) % 2 = 0 THEN 1 ELSE -1 END AS s "
+            f"FROM {p}_h), "
+            f"{p}_cnt AS (SELECT id, bucket, sum(s) AS c FROM {p}_c GROUP BY id, bucket), "
+            f"{p}_raw AS (SELECT id, sqrt(sum(c * c)) AS rn FROM {p}_cnt GROUP BY id), "
+            f"{p}_vec AS (SELECT id, bucket, c / rn AS v FROM {p}_cnt JOIN {p}_raw USING (id) WHERE rn > 0 AND c <> 0), "
+            f"{p}_norm AS (SELECT s.id, coalesce(sqrt(sum(x.v * x.v)), 0.0) AS n FROM {p}_src s "
+            f"LEFT JOIN {p}_vec x USING (id) GROUP BY s.id)")
