@@ -44,10 +44,13 @@ def lemma_map(vocab: DataFrame, lexicon: DataFrame) -> DataFrame:
             .select("token", F.coalesce("lemma", "token").alias("lemma")))
 
 
-def apply_lemmas(postings: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """Map a (token, book_id) table through a lemma map; pairs stay distinct."""
-    return (postings.join(lemmas, "token", "left")
-            .select(F.coalesce("lemma", "token").alias("token"), "book_id").distinct())
+def apply_lemmas(pairs: DataFrame, lemmas: DataFrame, id_col: str = "book_id") -> DataFrame:
+    """Map a (token, id) table through a ``(token, lemma)`` map; unknown tokens stay themselves, pairs distinct.
+
+    Used for postings (id = book_id) and for query tokens (id = query_id), so both sides meet on lemmas.
+    """
+    return (pairs.join(lemmas, "token", "left")
+            .select(F.coalesce("lemma", "token").alias("token"), id_col).distinct())
 
 
 def first_pieces(words: DataFrame, pieces: DataFrame) -> DataFrame:

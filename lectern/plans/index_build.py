@@ -10,21 +10,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.operators.embed import DEFAULT_DIM, fill_missing_vectors, hashed_vectors
+from lectern.operators.lemmas import apply_lemmas, lemma_map
 from lectern.operators.postings import build_postings, vocabulary
 from lectern.sources.versioned import commit, publish, read_version
 
 
 def build_index(spark: SparkSession, books: DataFrame, root: str, vectors: DataFrame | None = None,
-                dim: int = DEFAULT_DIM, version: int = 0) -> dict[str, DataFrame]:
-    """Write books, postings, vocabulary and vectors of one catalogue version; return them read back."""
+                dim: int = DEFAULT_DIM, version: int = 0, lemmatize: bool = False) -> dict[str, DataFrame]:
+    """Write books, postings, vocabulary and vectors of one catalogue version; return them read back.
+
+    ``lemmatize=True`` adds the T5 step: a ``lemmas`` table (the corpus vocabulary as lexicon) is written and the
+    postings hold lemmas; pass that table to ``hybrid_search(lemmas=...)`` so queries are mapped the same way.
+    """
     embed = lambda df: hashed_vectors(df, dim=dim)
     publish(books, root, "books", version)
     stored_books = read_version(spark, root, "books", version)
     vecs = (embed(stored_books) if vectors is None
             else fill_missing_vectors(stored_books, vectors, embed).drop("computed"))
-    publish(build_postings(stored_books), root, "postings", version)
+    raw = build_postings(stored_books)
+    names = ["books", "postings", "vocabulary", "vectors"]
+    if lemmatize:
+        publish(raw, root, "surface_postings", version)
+        surface = read_version(spark, root, "surface_postings", version)
+        vocab = surface.select("token").distinct()
+        publish(lemma_map(vocab, vocab), root, "lemmas", version)
+        raw = apply_lemmas(surface, read_version(spark, root, "lemmas", version))
+        names.append("lemmas")
+    publish(raw, root, "postings", version)
     postings = read_version(spark, root, "postings", version)
     publish(vocabulary(postings), root, "vocabulary", version)
     publish(vecs, root, "vectors", version)
     commit(spark, root, version)
-    return {name: read_version(spark, root, name, version) for name in ("books", "postings", "vocabulary", "vectors")}
+    return {name: read_version(spark, root, name, version) for name in names}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import STOP_WORDS
 from lectern.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, measured_rows
+from lectern.operators.lemmas import apply_lemmas
 from lectern.operators.present import result_page_columns
 from lectern.operators.retrieval import candidate_books, hydrate, query_tokens, score_candidates, top_n
 
@@ -17,14 +18,19 @@ from lectern.operators.retrieval import candidate_books, hydrate, query_tokens,
 def hybrid_search(queries: DataFrame, postings: DataFrame, vectors: DataFrame, books: DataFrame,
                   query_vectors: DataFrame, top_n_rows: int = 100, text_col: str = "text",
                   book_cols=("title",), metric: str = "cosine", stop_words=STOP_WORDS,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, score_decimals: int | None = None) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, score_decimals: int | None = None,
+                  lemmas: DataFrame | None = None) -> DataFrame:
     """T6 -> J2/J1 -> A5 -> J3 -> V1 -> R1 -> J4 for every row of ``queries``.
 
+    With ``lemmas`` (a T5 map), query tokens are lemmatised the same way the postings were built.
+
     ``queries``: (query_id, text); ``postings``: (token, book_id); ``vectors``: (book_id, embedding);
     ``query_vectors``: (query_id, embedding); ``books``: (book_id, ...). A query with no indexed token
     returns no rows (D5). Output: query_id, rank, book_id, similarity and ``book_cols``.
     """
     qt = query_tokens(queries, text_col, stop_words=stop_words)
+    if lemmas is not None:
+        qt = apply_lemmas(qt, lemmas, "query_id")
     cands = candidate_books(qt, postings, max_broadcast_rows)
     scored = score_candidates(cands, vectors, query_vectors, metric, max_broadcast_rows)
     top = top_n(scored, top_n_rows, ascending=(metric == "euclidean"), score_decimals=score_decimals)

@@ -65,3 +65,18 @@ def test_result_page_projection(spark):
     first = page.orderBy("rank").first()
     assert first["cover"] == "" and first["band"] in ("green", "orange", "red")
     assert math.isclose(first["similarity"], round(first["similarity"], 2))
+
+
+def test_lemmatised_index_and_queries_meet(spark):
+    from lectern.plans.index_build import build_index
+    from lectern.session import scratch_path
+    books = spark.createDataFrame(
+        [(0, "Stories of churches", "Ann", "boxes", "1", 1, "g"), (1, "A story", "Bob", "one church box", "2", 2, "g")],
+        "book_id long, title string, author string, description string, isbn string, publish_year int, genre string")
+    idx = build_index(spark, books, scratch_path(spark, "lemma-index"), dim=16, lemmatize=True)
+    toks = {t for t, b in rows(idx["postings"]) if b == 0}
+    assert {"story", "church", "box"} <= toks and "stories" not in toks
+    q = spark.createDataFrame([(0, "churches")], "query_id long, text string")
+    qv = hashed_vectors(q, "query_id", F.col("text"), dim=16).withColumnRenamed("book_id", "query_id")
+    hits = hybrid_search(q, idx["postings"], idx["vectors"], idx["books"], qv, lemmas=idx["lemmas"])
+    assert sorted(r["book_id"] for r in hits.collect()) == [0, 1]
