@@ -96,9 +96,11 @@ def apply_changes(books: DataFrame, changes: DataFrame, postings: DataFrame | No
     the rejected rows with a reason, and the touched ids.
     """
     book_ids = books.select("book_id")
-    base_max = books.select(F.coalesce(F.max("book_id"), F.lit(-1)).cast("long")).scalar()
+    given = changes.where((F.col("action") == "add") & F.col("book_id").isNotNull()).select("book_id")
+    base_max = book_ids.unionByName(given).select(F.coalesce(F.max("book_id"), F.lit(-1)).cast("long")).scalar()
 
-    # Adds without an id, numbered in (seq, pos) order after the largest id before the batch.
+    # Adds without an id, numbered in (seq, pos) order after the largest id before the batch (or given
+    # to an upsert in it, so a fresh id never lands on an upserted one).
     fresh = changes.where((F.col("action") == "add") & F.col("book_id").isNull())
     fresh = sequential_ids(fresh, "ord", "_k").withColumn("book_id", base_max + 1 + F.col("_k"))
     new_rows = fresh.select("book_id", *_defaults())

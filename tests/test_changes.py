@@ -128,3 +128,15 @@ def test_materialize_empty_table(spark):
     empty = spark.createDataFrame([], "a long, b array<string>")
     back = materialize(empty)
     assert back.count() == 0 and back.schema == empty.schema
+
+
+def test_fresh_ids_skip_upserted_ids(spark):
+    from lectern.operators.changes import apply_changes
+    changes = spark.createDataFrame([(0, 0, "add", 10, "Given"), (1, 0, "add", None, "Fresh")],
+                                    "seq long, pos int, action string, book_id long, title string")
+    for f, t in [("author", "string"), ("description", "string"), ("isbn", "string"), ("publish_year", "int"),
+                 ("genre", "string")]:
+        changes = changes.withColumn(f, F.lit(None).cast(t))
+    changes = changes.withColumn("ord", F.shiftleft("seq", 20) + F.col("pos"))
+    got = rows(apply_changes(_books(spark), changes).books, "book_id", "title")
+    assert got[-2:] == [(10, "Given"), (11, "Fresh")]
