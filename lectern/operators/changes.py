@@ -89,15 +89,18 @@ def _defaults(src: str | None = None) -> list[F.Column]:
 
 
 def apply_changes(books: DataFrame, changes: DataFrame, postings: DataFrame | None = None,
-                  vectors: DataFrame | None = None, embed=None, text=None) -> Applied:
+                  vectors: DataFrame | None = None, embed=None, text=None, id_floor: int | None = None) -> Applied:
     """M8 (with M1-M5): apply per-book change rows from ``route_requests`` to the catalogue tables.
 
-    ``books``: (book_id, six fields). Returns the next versions of books, postings and vectors (when given),
-    the rejected rows with a reason, and the touched ids.
+    ``books``: (book_id, six fields). ``id_floor``: the highest id ever issued (new ids start above it even if
+    that book was deleted). Returns the next versions of books, postings and vectors (when given), the rejected
+    rows with a reason, and the touched ids.
     """
     book_ids = books.select("book_id")
     given = changes.where((F.col("action") == "add") & F.col("book_id").isNotNull()).select("book_id")
     base_max = book_ids.unionByName(given).select(F.coalesce(F.max("book_id"), F.lit(-1)).cast("long")).scalar()
+    if id_floor is not None:
+        base_max = F.greatest(base_max, F.lit(int(id_floor)).cast("long"))
 
     # Adds without an id, numbered in (seq, pos) order after the largest id before the batch (or given
     # to an upsert in it, so a fresh id never lands on an upserted one).
@@ -169,12 +172,12 @@ def apply_changes(books: DataFrame, changes: DataFrame, postings: DataFrame | No
 
 
 def apply_requests(books: DataFrame, requests: DataFrame, postings: DataFrame | None = None,
-                   vectors: DataFrame | None = None, embed=None, text=None) -> Applied:
+                   vectors: DataFrame | None = None, embed=None, text=None, id_floor: int | None = None) -> Applied:
     """M7 + M8: route a table of requests and apply it; request-level and row-level rejects are combined."""
     rows, rejected_requests = route_requests(requests)
     # The batch's change rows are read by several steps; writing them once (bounded by the batch size) also
     # makes a replayed batch start from the same rows.
     rows = materialize(rows)
-    out = apply_changes(books, rows, postings, vectors, embed, text)
+    out = apply_changes(books, rows, postings, vectors, embed, text, id_floor)
     out.rejected = rejected_requests.unionByName(out.rejected)
     return out

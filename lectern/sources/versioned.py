@@ -20,8 +20,21 @@ def publish(df: DataFrame, root: str, name: str, version: int) -> None:
     df.write.mode("overwrite").parquet(table_path(root, name, version))
 
 
-def commit(spark: SparkSession, root: str, version: int) -> None:
-    spark.createDataFrame([(int(version),)], "version long").write.mode("append").parquet(f"{root.rstrip('/')}/_commits")
+def commit(spark: SparkSession, root: str, version: int, max_id: int | None = None) -> None:
+    """Append the commit row of ``version``; ``max_id`` records the highest book id ever issued so far."""
+    row = [(int(version), None if max_id is None else int(max_id))]
+    spark.createDataFrame(row, "version long, max_id long").write.mode("append").parquet(f"{root.rstrip('/')}/_commits")
+
+
+def issued_ids_floor(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    """Highest book id recorded by the committed versions (so deleted ids are never issued again)."""
+    try:
+        log = spark.read.parquet(f"{root.rstrip('/')}/_commits")
+    except AnalysisException:
+        return None
+    if below is not None:
+        log = log.where(F.col("version") < below)
+    return log.agg(F.max("max_id")).first()[0]
 
 
 def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:

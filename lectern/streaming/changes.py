@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators.changes import apply_requests
 from lectern.schemas import CHANGE_REQUEST
-from lectern.sources.versioned import commit, latest_version, publish, read_version
+from lectern.sources.versioned import commit, issued_ids_floor, latest_version, publish, read_version
 
 REQUEST_RECORD = ", ".join(["seq long"] + [f"{f.name} {f.dataType.simpleString()}" for f in CHANGE_REQUEST.fields])
 INITIAL_VERSION = -1
@@ -23,7 +23,8 @@ def publish_initial(spark: SparkSession, root: str, books: DataFrame, postings:
     """Version -1: the catalogue before any change batch."""
     publish(books, root, "books", INITIAL_VERSION)
     publish(postings, root, "postings", INITIAL_VERSION)
-    commit(spark, root, INITIAL_VERSION)
+    stored = read_version(spark, root, "books", INITIAL_VERSION)
+    commit(spark, root, INITIAL_VERSION, stored.agg(F.max("book_id")).first()[0])
 
 
 def batch_writer(root: str):
@@ -33,12 +34,14 @@ def batch_writer(root: str):
         prev = latest_version(spark, root, below=batch_id)
         books = read_version(spark, root, "books", prev)
         postings = read_version(spark, root, "postings", prev)
-        out = apply_requests(books, batch, postings=postings)
+        out = apply_requests(books, batch, postings=postings, id_floor=issued_ids_floor(spark, root, below=batch_id))
         # Cut lineage to the previous version: the new version is written in full before it is committed.
         publish(out.books, root, "books", batch_id)
         publish(out.postings, root, "postings", batch_id)
         publish(out.rejected.withColumn("batch_id", F.lit(batch_id)), root, "rejected", batch_id)
-        commit(spark, root, batch_id)
+        issued = read_version(spark, root, "books", batch_id).agg(F.max("book_id")).first()[0]
+        floor = issued_ids_floor(spark, root, below=batch_id)
+        commit(spark, root, batch_id, max(x for x in (issued, floor, -1) if x is not None))
     return apply_batch
 
 

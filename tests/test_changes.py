@@ -140,3 +140,9 @@ def test_fresh_ids_skip_upserted_ids(spark):
     changes = changes.withColumn("ord", F.shiftleft("seq", 20) + F.col("pos"))
     got = rows(apply_changes(_books(spark), changes).books, "book_id", "title")
     assert got[-2:] == [(10, "Given"), (11, "Fresh")]
+
+
+def test_deleted_top_id_is_not_issued_again(spark):
+    out = _apply(spark, {"action": "delete_book", "book_ids": ["2"]})
+    again = apply_requests(out.books, _reqs(spark, {"action": "add_book", "book_data": [BOOK]}), id_floor=2)
+    assert sorted(r[0] for r in again.books.select("book_id").collect()) == [0, 1, 3]
