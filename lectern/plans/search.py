@@ -31,11 +31,12 @@ def hybrid_search(queries: DataFrame, postings: DataFrame, vectors: DataFrame, b
     qt = query_tokens(queries, text_col, stop_words=stop_words)
     if lemmas is not None:
         qt = apply_lemmas(qt, lemmas, "query_id")
-    cands = candidate_books(qt, postings, max_broadcast_rows)
+    n_qt = measured_rows(qt)
+    cands = candidate_books(qt, postings, max_broadcast_rows, q_rows=n_qt)
     scored = score_candidates(cands, vectors, query_vectors, metric, max_broadcast_rows)
     top = top_n(scored, top_n_rows, ascending=(metric == "euclidean"), score_decimals=score_decimals)
-    n_queries = measured_rows(queries.select("query_id"))
-    return hydrate(top, books, list(book_cols), bound_rows=n_queries * top_n_rows,
+    # A query with hits has at least one token row, so tokens x top_n bounds the hits.
+    return hydrate(top, books, list(book_cols), bound_rows=n_qt * top_n_rows,
                    max_broadcast_rows=max_broadcast_rows)
 
 
