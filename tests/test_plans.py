@@ -53,3 +53,11 @@ def test_top_n_plan_uses_group_limit(spark):
     s = spark.range(100).select((F.col("id") % 5).alias("query_id"), F.col("id").alias("book_id"),
                                 (F.col("id") * 0.01).alias("similarity"))
     assert "WindowGroupLimit" in plan(top_n(s, 3), "simple")
+
+
+def test_salted_semi_and_anti_joins_match_plain_joins(spark):
+    from lectern.operators.joins import salted_join
+    big = spark.createDataFrame([(i % 4, i) for i in range(40)], "k long, v long")
+    small = spark.createDataFrame([(1,), (3,), (9,)], "k long")
+    for how in ("left_semi", "left_anti", "inner"):
+        assert rows(salted_join(big, small, ["k"], how, salt=5)) == rows(big.join(small, "k", how)), how
