@@ -2,7 +2,7 @@
 
 On a cluster the session is built by the caller; nothing here overrides settings that are already present.
 The scratch folder is always the one the cluster names in ``spark.checkpoint.dir``. A folder under the
-system temp directory is created only when that setting is unset, which is the case in tests and local runs.
+system temp directory is created only in a local session where that setting is unset (tests, bench).
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or max(2, 2 * n))
     conf["spark.default.parallelism"] = str(max(2, 2 * n))
-    conf["spark.driver.memory"] = "16g"
+    conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -46,17 +46,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (tests, local runs) a folder is
-    created under the local temp directory and registered, so later ``checkpoint()`` calls use it too.
+    Reads ``spark.checkpoint.dir`` from the session, then the folder set on the context. Only in a ``local`` session
+    (tests, bench) with neither set is a folder created under the local temp directory; on a cluster that is an error,
+    since executors would each write to their own disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lectern-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
