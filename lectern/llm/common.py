@@ -46,3 +46,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def uniform(*cols: Column) -> Column:
     """A repeatable number in (0, 1) from the md5 of the columns' text (52 bits, so exact in a double)."""
     return (F.conv(F.substring(F.md5(F.concat_ws("|", *cols)), 1, 13), 16, 10).cast("double") + 0.5) / float(2 ** 52)
+
+
+def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """Add ``name``: the row's number from 0 in the given order. Rows are ranged over tasks, numbered in each, and the
+    tasks' row counts (one narrow row per task) are summed up before them; no task sees all rows."""
+    from pyspark.sql import Window as W
+    parts = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1
+    return (parts.withColumn("_in", inside).join(F.broadcast(counts), "_part")
+            .withColumn(name, (F.col("_before") + F.col("_in")).cast("long")).drop("_part", "_in", "_before"))

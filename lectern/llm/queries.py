@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from lectern.llm import chat_format, wavelet_shards
+from lectern.llm import chat_format, flow_reshard, source_mix, wavelet_shards
 
 QUERIES = {
     "op3_wavelet_shards": wavelet_shards.q_op3,
     "op4_chat_format": chat_format.q_op4,
+    "op5_flow_reshard": flow_reshard.q_op5,
+    "op10_source_mix": source_mix.q_op10,
 }
 ORACLE = {
     "op4_chat_format": chat_format.ORACLE_OP4,
+    "op10_source_mix": source_mix.ORACLE_OP10,
 }
