@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lectern.llm import chat_format, flow_reshard, outlier_rules, prefix_decontam, source_mix, wavelet_shards
+from lectern.llm import chat_format, flow_reshard, outlier_rules, prefix_decontam, source_mix, tensor_dedup, wavelet_shards
 
 QUERIES = {
     "op3_wavelet_shards": wavelet_shards.q_op3,
     "op4_chat_format": chat_format.q_op4,
     "op5_flow_reshard": flow_reshard.q_op5,
     "op6_prefix_decontam": prefix_decontam.q_op6,
+    "op7_tensor_dedup": tensor_dedup.q_op7,
     "op9_outlier_rules": outlier_rules.q_op9,
     "op10_source_mix": source_mix.q_op10,
 }
