@@ -9,7 +9,11 @@ one block and one document whatever the shard's size. From the file alone, token
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
+from array import array
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,7 +28,7 @@ from lectern.session import scratch_path
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
 SUPER = 512
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
 _POP = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint8)
 
 SCHEMA = ("shard int, block int, n_tokens long, doc_ids array<long>, doc_lens array<long>, planes array<binary>, "
@@ -133,64 +137,82 @@ class WaveletMatrix:
         return cur
 
 
+class _Pieces(dict):
+    """Number of each piece of text seen so far; ``ids`` holds their token ids in a row. A piece that ends in full stops or
+    commas after letters only is its word and its tail; a word of letters goes to the tokenizer's model in lower case, as
+    byte-level characters; anything else is encoded in full. ``plain`` says whether these short ways hold for the
+    tokenizer."""
+
+    # Byte-level characters: printable bytes stand for themselves, the others for code points from 256 on.
+    BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(range(33, 127)) | set(range(161, 173)) | set(range(174, 256)))}
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model, self.plain = tokenizer, tokenizer.model, False
+        self.empty()
+        probes = ["Hello", "aBC", "word,", "na\u00efve...", "\u00c9t\u00e9.", "z.,"]
+        full = [tokenizer.encode(w, add_special_tokens=False).ids for w in probes]
+        self.plain = True
+        self.plain = [self.of(self[w]) for w in probes] == full
+        self.empty()
+
+    def empty(self):
+        self.clear()
+        self.ids, self.first, self.length = array("I"), array("q"), array("q")
+
+    def of(self, k: int) -> list[int]:
+        return self.ids[self.first[k]:self.first[k] + self.length[k]].tolist()
+
+    def __missing__(self, piece: str) -> int:
+        core = piece.rstrip(".,") if self.plain else ""
+        if len(core) < len(piece) and core.isalpha():
+            ids = self.of(self[core]) + self.of(self[piece[len(core):]])
+        elif core.isalpha() and (core.isascii() or unicodedata.is_normalized("NFC", core) and not any(x in core for x in "\u03a3\u0130")):
+            low = piece.lower()
+            if low != piece and low.isalpha():
+                k = self[piece] = self[low]
+                return k
+            ids = [t.id for t in self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(self.BYTES))]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        k = self[piece] = len(self.first)
+        self.first.append(len(self.ids))
+        self.length.append(len(ids))
+        self.ids.extend(ids)
+        return k
+
+
 class Encoder:
-    """A tokenizer whose text is cut at blanks and line feeds first, each distinct piece being encoded once per worker
-    (at most ``MEMO_WORDS`` pieces are remembered). Meant for tokenizers that never merge across white space."""
+    """A tokenizer whose text is cut at blanks and line feeds first; each distinct piece is encoded once per worker, of
+    which at most about ``MEMO_WORDS`` are remembered. Meant for tokenizers that never merge across white space."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.width = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self._reset()
-
-    def _reset(self):
-        self.at, self.flat, self.used = {}, np.zeros(1 << 20, np.uint32), 0
-        self.first, self.length = np.zeros(MEMO_WORDS * 2, np.int64), np.zeros(MEMO_WORDS * 2, np.int64)
-
-    def _learn(self, new: list[str]):
-        """Encode unseen pieces, some thousands in one call, and cut the ids at the pieces' character offsets."""
-        base = len(self.at) - len(new)
-        if len(self.at) > len(self.first):
-            more = np.zeros(len(self.at), np.int64)
-            self.first, self.length = np.concatenate([self.first, more]), np.concatenate([self.length, more])
-        for lo in range(0, len(new), 4096):
-            some = new[lo:lo + 4096]
-            code = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(code.ids, np.uint32)
-            offsets = np.array([a for a, _ in code.offsets], np.int64)
-            starts = np.concatenate([[0], np.cumsum([len(w) + 1 for w in some])])
-            cut = np.searchsorted(offsets, starts)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.first[base + lo:base + lo + len(some)] = self.used + cut[:-1]
-            self.length[base + lo:base + lo + len(some)] = np.diff(cut)
-            self.used += len(ids)
+        tokenizer = Tokenizer.from_file(path)
+        self.width = max(1, (tokenizer.get_vocab_size() - 1).bit_length())
+        self.pieces = _Pieces(tokenizer)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
-        if len(self.at) > MEMO_WORDS:
-            self._reset()
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        at, new, known = self.at, [], len(self.at)
-        codes = np.empty(sum(map(len, pieces)), np.int64)
-        k = 0
-        for p in pieces:
-            for w in set(p):
-                if w not in at:
-                    at[w] = len(at)
-                    new.append(w)
-            codes[k:k + len(p)] = list(map(at.__getitem__, p))
-            k += len(p)
-        if new:
-            self._learn(new)
-        lens = self.length[codes]
+        known = self.pieces
+        if len(known) > MEMO_WORDS:
+            known.empty()
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        sizes = np.array([len(p) for p in cut], np.int64)
+        codes = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        ids, first, length = np.array(known.ids, np.uint32), np.array(known.first, np.int64), np.array(known.length, np.int64)
+        lens = length[codes]
         ends = np.cumsum(lens)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.first[codes] - (ends - lens), lens) + np.arange(total)]
-        stops = np.cumsum([len(p) for p in pieces])
-        counts = np.diff(np.concatenate([[0], ends[stops - 1]])) if len(pieces) else np.zeros(0, np.int64)
-        return ids, counts
+        out = ids[np.repeat(first[codes] - (ends - lens), lens) + np.arange(total)]
+        counts = np.diff(np.concatenate([[0], ends[np.cumsum(sizes) - 1]])) if len(texts) else np.zeros(0, np.int64)
+        return out, counts
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process, kept over tasks."""
+    return Encoder(path)
 
 
 def _block(shard, block, ids, doc_ids, doc_lens, width) -> pd.DataFrame:
@@ -202,7 +224,7 @@ def _block(shard, block, ids, doc_ids, doc_lens, width) -> pd.DataFrame:
 
 def _encode_shard(path: str, end_id: int, block_tokens: int):
     def run(frames):
-        enc, shard, block = Encoder(path), TaskContext.get().partitionId(), 0
+        enc, shard, block = encoder(path), TaskContext.get().partitionId(), 0
         held, doc_ids, doc_lens, n = [], [], [], 0
         for f in frames:
             texts = f["text"].tolist()
