@@ -165,7 +165,7 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> int:
         core = piece.rstrip(".,") if self.plain else ""
-        if len(core) < len(piece) and core.isalpha():
+        if len(core) < len(piece) and core.isalpha() and (core.isascii() or unicodedata.normalize("NFC", core).lower().isalpha()):
             ids = self.of(self[core]) + self.of(self[piece[len(core):]])
         elif core.isalpha() and (core.isascii() or unicodedata.is_normalized("NFC", core) and not any(x in core for x in "\u03a3\u0130")):
             low = piece.lower()
