@@ -1,10 +1,11 @@
 """URL filter: a path-template tree per host, judged by smoothed labelled purity, under explicit host and path rules.
 
-Level by level, the path segments below a node (host and template so far) are generalised. A segment stays literal only if
-it is frequent (``MIN_PAGES`` pages and ``MIN_SHARE`` of the node's) and its labels differ from those of its siblings
-together (two-proportion test, ``Z``); all others, variable or statistically alike, merge into the wildcard branch ``*``. A
-node therefore keeps at most 1 / MIN_SHARE literal branches. Templates whose labelled share of bad pages, smoothed towards the
-host's and that towards the corpus's, reaches ``BLOCK_AT`` are rejected.
+Level by level, the path segments below a node (host and template so far) are generalised. Segments that are not frequent
+(``MIN_PAGES`` pages and ``MIN_SHARE`` of the node's) are variable: together they are the wildcard ``*``. The frequent ones, at
+most 1 / MIN_SHARE of them, and the wildcard stand in the order of their share of bad pages; neighbours whose shares do not
+differ (two-proportion test, ``Z``) merge into one branch. The branch with the wildcard, else the one with most pages, is ``*``; another
+branch is named by its segment, or ``{a|b}`` if it has several. Templates whose labelled share of bad pages, smoothed towards
+the host's and that towards the corpus's, reaches ``BLOCK_AT`` are rejected; one without labels never is.
 
 Levels only aggregate over pages; the literal branches are a small table per level that is joined to the rows, so a host
 with a third of all pages is neither gathered nor shuffled.
@@ -13,6 +14,7 @@ with a third of all pages is neither gathered nor shuffled.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm.common import az_lower, bounded, table, written
@@ -50,12 +52,31 @@ def _segments(path: Column) -> Column:
     return F.when(F.size(s) > MAX_DEPTH, deep).otherwise(s)
 
 
-def _step(rows: DataFrame, level: int, kept: DataFrame) -> DataFrame:
-    """Extend ``template`` by the level's segment: itself where the branch is kept, else the wildcard."""
+def _step(rows: DataFrame, level: int, named: DataFrame) -> DataFrame:
+    """Extend ``template`` by the level's branch: the segment's if it has a name, else the wildcard."""
     seg = F.get("_segs", F.lit(level))
-    rows = rows.join(kept, (rows["host"] == F.col("_host")) & (rows["template"] == F.col("_tpl")) & (seg == F.col("_seg")), "left")
-    more = F.when(seg.isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.when(F.col("_seg").isNotNull(), seg).otherwise("*")))
-    return rows.withColumn("template", more).drop("_host", "_tpl", "_seg")
+    rows = rows.join(named, (rows["host"] == F.col("_host")) & (rows["template"] == F.col("_tpl")) & (seg == F.col("_seg")), "left")
+    more = F.when(seg.isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.coalesce("_name", F.lit("*"))))
+    return rows.withColumn("template", more).drop("_host", "_tpl", "_seg", "_name")
+
+
+def _branches(child: DataFrame) -> DataFrame:
+    """(_host, _tpl, _seg, _name) of the segments outside the wildcard branch, from a node's few frequent segments and its rest
+    (``_seg`` null), each with n, lab and bad."""
+    order = W.partitionBy("_host", "_tpl").orderBy("_rate", F.col("_seg").asc_nulls_first())
+    child = child.withColumn("_rate", F.try_divide("bad", "lab"))
+    l0, b0 = F.lag("lab").over(order), F.lag("bad").over(order)
+    all_ = F.try_divide(F.col("bad") + b0, F.col("lab") + l0)
+    se = F.sqrt(all_ * (1 - all_) * (F.try_divide(F.lit(1), F.col("lab")) + F.try_divide(F.lit(1), l0)))
+    apart = F.coalesce(F.abs(F.col("_rate") - F.try_divide(b0, l0)) > Z * se, F.lit(False))  # null without labels on either side
+    child = child.withColumn("_apart", apart.cast("int"))
+    child = child.withColumn("_class", F.sum("_apart").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    names = child.groupBy("_host", "_tpl", "_class").agg(
+        F.sum("n").alias("_pages"), F.max(F.col("_seg").isNull()).alias("_wild"), F.sort_array(F.collect_list("_seg")).alias("_all"))
+    top = F.row_number().over(W.partitionBy("_host", "_tpl").orderBy(F.desc("_wild"), F.desc("_pages"), "_class"))
+    names = names.withColumn("_top", top).filter("_top > 1")
+    name = F.when(F.size("_all") == 1, F.get("_all", F.lit(0))).otherwise(F.concat(F.lit("{"), F.array_join("_all", "|"), F.lit("}")))
+    return names.select("_host", "_tpl", F.explode("_all").alias("_seg"), name.alias("_name"))
 
 
 def template_tree(pages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
@@ -67,13 +88,14 @@ def template_tree(pages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     for level in range(rows.agg(F.max(F.size("_segs"))).first()[0] or 0):
         here = rows.withColumn("_seg", F.get("_segs", F.lit(level))).filter("_seg is not null")
         sums = [F.sum(c).alias(c) for c in ("n", "lab", "bad")]
-        node = here.groupBy("host", "template").agg(*sums).withColumnsRenamed({"host": "_host", "template": "_tpl", "n": "_n", "lab": "_lab", "bad": "_bad"})
-        child = here.groupBy("host", "template", "_seg").agg(*sums).filter(F.col("n") >= MIN_PAGES)
-        child = child.join(node, (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_tpl"))).filter(F.col("n") >= F.col("_n") * MIN_SHARE)
-        rest, all_ = F.col("_lab") - F.col("lab"), F.col("_bad") / F.col("_lab")
-        se = F.sqrt(all_ * (1 - all_) * (1 / F.col("lab") + 1 / rest))
-        differs = (F.col("lab") > 0) & (rest > 0) & (se > 0) & (F.abs(F.col("bad") / F.col("lab") - (F.col("_bad") - F.col("bad")) / rest) > Z * se)
-        kept = bounded(written(child.filter(F.when((F.col("lab") > 0) & (rest > 0), differs).otherwise(False)).select("_host", "_tpl", "_seg"), "branches"))
+        node = here.groupBy(F.col("host").alias("_host"), F.col("template").alias("_tpl")).agg(*sums)
+        child = here.groupBy("host", "template", "_seg").agg(*sums).filter(F.col("n") >= MIN_PAGES).withColumnsRenamed({"n": "_n", "lab": "_lab", "bad": "_bad"})
+        both = child.join(node, (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_tpl")))
+        both = written(both.filter(F.col("_n") >= F.col("n") * MIN_SHARE), "frequent-segments")
+        rest = both.groupBy("_host", "_tpl").agg(*[(F.first(c) - F.sum("_" + c)).alias(c) for c in ("n", "lab", "bad")]).filter("n > 0")
+        own = both.select("_host", "_tpl", "_seg", F.col("_n").alias("n"), F.col("_lab").alias("lab"), F.col("_bad").alias("bad"))
+        named = _branches(own.unionByName(rest.withColumn("_seg", F.lit(None).cast("string"))))
+        kept = bounded(written(named, "branches"))
         levels.append(kept)
         rows = _step(rows, level, kept)
     leaves = rows.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("lab").alias("labelled"), F.sum("bad").alias("bad"))
@@ -83,7 +105,7 @@ def template_tree(pages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     hosts = leaves.groupBy(F.col("host").alias("_host")).agg(((F.sum("bad") + PRIOR * base) / (F.sum("labelled") + PRIOR)).alias("_rate"))
     share = (F.col("bad") + PRIOR * F.col("_rate")) / (F.col("labelled") + PRIOR)
     judged = leaves.join(hosts, leaves["host"] == F.col("_host")).select("host", "template", "n", "labelled", share.alias("bad_share"))
-    return levels, judged.withColumn("blocked", F.col("bad_share") >= BLOCK_AT)
+    return levels, judged.withColumn("blocked", (F.col("labelled") > 0) & (F.col("bad_share") >= BLOCK_AT))
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
@@ -135,17 +157,26 @@ l AS (SELECT doc_id, max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic, 0
          f"[array_to_string(list_slice(s, {MAX_DEPTH}, len(s)), '/')]) ELSE s END AS s FROM g LEFT JOIN l ON l.doc_id = g.page_id)"]
     for k in range(MAX_DEPTH):
         q.append(f"""n{k} AS (SELECT host, tpl, count(*) AS n, count(bad) AS lab, coalesce(sum(bad), 0) AS bad FROM r{k} WHERE len(s) > {k} GROUP BY ALL),
-c{k} AS (SELECT host, tpl, s[{k + 1}] AS seg, count(*) AS n, count(bad) AS lab, coalesce(sum(bad), 0) AS bad FROM r{k} WHERE len(s) > {k} GROUP BY ALL),
-k{k} AS (SELECT c.host, c.tpl, c.seg FROM c{k} c JOIN n{k} n ON c.host = n.host AND c.tpl = n.tpl
-  WHERE c.n >= {MIN_PAGES} AND c.n >= n.n * {MIN_SHARE} AND c.lab > 0 AND n.lab > c.lab AND n.bad > 0 AND n.bad < n.lab
-  AND abs(c.bad / c.lab::DOUBLE - (n.bad - c.bad) / (n.lab - c.lab)::DOUBLE)
-    > {Z} * sqrt(n.bad / n.lab::DOUBLE * (1 - n.bad / n.lab::DOUBLE) * (1 / c.lab::DOUBLE + 1 / (n.lab - c.lab)::DOUBLE))),
-r{k + 1} AS (SELECT page_id, r.host, path, bad, CASE WHEN len(s) > {k} THEN r.tpl || '/' || coalesce(k.seg, '*') ELSE r.tpl END AS tpl, s
+f{k} AS (SELECT c.* FROM (SELECT host, tpl, s[{k + 1}] AS seg, count(*) AS n, count(bad) AS lab, coalesce(sum(bad), 0) AS bad
+  FROM r{k} WHERE len(s) > {k} GROUP BY ALL) c JOIN n{k} n ON c.host = n.host AND c.tpl = n.tpl WHERE c.n >= {MIN_PAGES} AND c.n >= n.n * {MIN_SHARE}),
+c{k} AS (SELECT * FROM f{k} UNION ALL SELECT n.host, n.tpl, NULL, n.n - f.n, n.lab - f.lab, n.bad - f.bad FROM n{k} n
+  JOIN (SELECT host, tpl, sum(n) AS n, sum(lab) AS lab, sum(bad) AS bad FROM f{k} GROUP BY ALL) f ON f.host = n.host AND f.tpl = n.tpl WHERE n.n > f.n),
+d{k} AS (SELECT *, lag(lab) OVER w AS l0, lag(bad) OVER w AS b0, row_number() OVER w AS o FROM c{k}
+  WINDOW w AS (PARTITION BY host, tpl ORDER BY CASE WHEN lab > 0 THEN bad / lab::DOUBLE END NULLS FIRST, seg NULLS FIRST)),
+e{k} AS (SELECT *, sum(CASE WHEN l0 > 0 AND lab > 0 AND abs(bad / lab::DOUBLE - b0 / l0::DOUBLE)
+    > {Z} * sqrt((bad + b0) / (lab + l0)::DOUBLE * (1 - (bad + b0) / (lab + l0)::DOUBLE) * (1 / lab::DOUBLE + 1 / l0::DOUBLE)) THEN 1 ELSE 0 END)
+  OVER (PARTITION BY host, tpl ORDER BY o) AS class FROM d{k}),
+m{k} AS (SELECT *, row_number() OVER (PARTITION BY host, tpl ORDER BY wild DESC, pages DESC, class) AS top FROM (
+  SELECT host, tpl, class, sum(n) AS pages, max(CASE WHEN seg IS NULL THEN 1 ELSE 0 END) AS wild,
+  string_agg(seg, '|' ORDER BY seg) AS names, count(seg) AS many FROM e{k} GROUP BY ALL)),
+k{k} AS (SELECT e.host, e.tpl, e.seg, CASE WHEN many > 1 THEN '{{' || names || '}}' ELSE names END AS name
+  FROM e{k} e JOIN m{k} m ON e.host = m.host AND e.tpl = m.tpl AND e.class = m.class WHERE top > 1),
+r{k + 1} AS (SELECT page_id, r.host, path, bad, CASE WHEN len(s) > {k} THEN r.tpl || '/' || coalesce(k.name, '*') ELSE r.tpl END AS tpl, s
   FROM r{k} r LEFT JOIN k{k} k ON r.host = k.host AND r.tpl = k.tpl AND r.s[{k + 1}] = k.seg)""")
     q.append(f"""t AS (SELECT host, tpl, count(bad) AS lab, coalesce(sum(bad), 0) AS bad FROM r{MAX_DEPTH} GROUP BY ALL),
 b AS (SELECT coalesce(sum(bad) / sum(lab)::DOUBLE, 0) AS base FROM t),
 hr AS (SELECT host, (sum(bad) + {PRIOR} * (SELECT base FROM b)) / (sum(lab) + {PRIOR}) AS rate FROM t GROUP BY host),
-x AS (SELECT t.host, t.tpl, (t.bad + {PRIOR} * rate) / (t.lab + {PRIOR}) >= {BLOCK_AT} AS blocked FROM t JOIN hr ON t.host = hr.host)
+x AS (SELECT t.host, t.tpl, (t.bad + {PRIOR} * rate) / (t.lab + {PRIOR}) >= {BLOCK_AT} AND t.lab > 0 AS blocked FROM t JOIN hr ON t.host = hr.host)
 SELECT page_id, r.host, path, {rule.replace('host', 'r.host')} AS rule,
   coalesce({said.replace('host', 'r.host')}, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict, r.tpl AS template
 FROM r{MAX_DEPTH} r JOIN x ON r.host = x.host AND r.tpl = x.tpl""")
