@@ -83,18 +83,21 @@ def distinct_tokens(text: Column | str, stop_words=STOP_WORDS, accents: bool = T
     return F.array_except(words(text, accents), F.array(*[F.lit(w) for w in stop]).cast("array<string>"))
 
 
-def is_missing(c: Column | str) -> Column:
-    """A value counts as missing when it is null, NaN, or prints as "nan" in any case."""
+def is_missing(c: Column | str, any_case: bool = False) -> Column:
+    """A value counts as missing when it is null, NaN, or prints as "nan"; a name such as "Nan" is a value. The served
+    description alone is tested in any case (P6)."""
     c = F.col(c) if isinstance(c, str) else c
     s = c.cast("string")
+    if not any_case:  # a float NaN prints as "NaN"
+        return c.isNull() | (s == "nan") | (F.typeof(c).isin("double", "float") & (s == "NaN"))
     # The length test runs first, so a long text is never lower-cased just to be compared with "nan".
     return c.isNull() | ((F.length(s) == 3) & (F.lower(s) == F.lit("nan")))
 
 
-def text_or_empty(c: Column | str, null_text: str = "") -> Column:
+def text_or_empty(c: Column | str, null_text: str = "", any_case: bool = False) -> Column:
     """A missing attribute contributes ``null_text`` (default empty) to composed text."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(is_missing(c), F.lit(null_text)).otherwise(c.cast("string"))
+    return F.when(is_missing(c, any_case), F.lit(null_text)).otherwise(c.cast("string"))
 
 
 def compose_text(title="title", author="author", description="description", null_text: str = "") -> Column:

@@ -1,8 +1,8 @@
-"""Catalogue cleaning and shaping (A1, R5 via ids, P3, P9, P10, per-genre limit of S9)."""
+"""Catalogue cleaning and shaping (A1, R5 via ids, P3, P9, P10)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import is_missing
@@ -28,7 +28,7 @@ def _key(c: str):
 
 
 def dedupe_books(raw: DataFrame, pos: str = "pos", keys=("title", "author", "publish_year"),
-                 genre: str = "genre", block: int | None = None) -> DataFrame:
+                 genre: str = "genre") -> DataFrame:
     """A1 + R5: collapse rows with equal (title, author, year), null equal to null and "nan" read as null.
 
     The first row in ``pos`` order survives with all its fields; ``genre`` becomes the ", "-joined genres of
@@ -46,8 +46,7 @@ def dedupe_books(raw: DataFrame, pos: str = "pos", keys=("title", "author", "pub
                                  lambda s: s["g"]), ", ").alias(genre),
     )
     flat = grouped.select(*[F.col(f"first.{c}").alias(c) for c in other], genre, "first_pos", "n_rows")
-    kw = {} if block is None else {"block": block}
-    return sequential_ids(flat, "first_pos", "book_id", **kw)
+    return sequential_ids(flat, "first_pos", "book_id")
 
 
 def book_genres(raw: DataFrame, deduped: DataFrame, pos: str = "pos", keys=("title", "author", "publish_year"),
@@ -72,7 +71,7 @@ def fill_defaults(df: DataFrame, keep=()) -> DataFrame:
     cols = []
     for name, default in BOOK_DEFAULTS.items():
         if name in df.columns:
-            cols.append(F.coalesce(F.col(name).cast(BOOK_TYPES[name]), F.lit(default).cast(BOOK_TYPES[name])).alias(name))
+            cols.append(F.coalesce(F.col(name).try_cast(BOOK_TYPES[name]), F.lit(default).cast(BOOK_TYPES[name])).alias(name))
         else:
             cols.append(F.lit(default).cast(BOOK_TYPES[name]).alias(name))
     return df.select(*keep, *cols)
@@ -84,11 +83,11 @@ def listing(books: DataFrame) -> DataFrame:
 
 
 def genre_dimension(books: DataFrame, genre: str = "genre") -> DataFrame:
-    """S6 derived from data: distinct genres coded 0.. in alphabetical order (dense rank over the distinct set)."""
+    """S6 derived from data: distinct genres numbered 0.. in alphabetical order."""
     distinct = books.select(F.col(genre).alias("genre")).where(F.col("genre").isNotNull()).distinct()
-    w = Window.orderBy("genre")  # runs over the distinct genre set only
-    return distinct.select("genre", (F.dense_rank().over(w) - 1).cast("int").alias("encoding_index"),
-                           F.count(F.lit(1)).over(Window.partitionBy()).cast("int").alias("n_genres"))
+    coded = sequential_ids(distinct, "genre", "encoding_index")
+    n = coded.select(F.count(F.lit(1))).scalar()
+    return coded.select("genre", F.col("encoding_index").cast("int").alias("encoding_index"), n.cast("int").alias("n_genres"))
 
 
 def genre_codes(books: DataFrame, dim: DataFrame, genre: str = "genre", id_col: str = "book_id") -> DataFrame:
@@ -100,9 +99,3 @@ def genre_codes(books: DataFrame, dim: DataFrame, genre: str = "genre", id_col:
         id_col, "genre", "encoding_index",
         F.transform(F.sequence(F.lit(0), F.col("_n") - 1),
                     lambda i: F.when(i == F.col("encoding_index"), 1).otherwise(0)).alias("one_hot"))
-
-
-def limit_per_group(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
-    """The first ``n`` rows of each group in ``order`` (the landed API's per-query result cap of S9)."""
-    w = Window.partitionBy(group).orderBy(F.col(order).asc())
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import STOP_WORDS, compose_text, tokens
-from lectern.operators.joins import spread
 
 DEFAULT_DIM = 768
 MODEL_MAX_TOKENS = 510  # T8: a 512-token model input minus its two marker tokens
@@ -58,7 +57,7 @@ def hashed_vectors(df: DataFrame, id_col: str = "book_id", text: Column | None =
     toks = tokens(text, stop_words)
     if max_tokens is not None:
         toks = F.slice(toks, 1, max_tokens)
-    hashed = spread(df).select(F.col(id_col).alias("book_id"), token_hashes(toks).alias("h"))
+    hashed = df.select(F.col(id_col).alias("book_id"), token_hashes(toks).alias("h"))
     return hashed.select("book_id", _count_codes(dim)("h").alias("embedding"))
 
 

@@ -1,8 +1,8 @@
 """Id assignment (R5 sequential ids, R6 next ids) without funnelling rows through one task.
 
-R5 splits the ordering key into fixed-width blocks. Block row counts are combined map-side into a table with
-one row per block; a running sum over that small table gives each block's offset, and rows are numbered inside
-their block. Because the key is a distinct integer, a block never holds more than ``block`` rows.
+R5 sorts by ranges: rows are range-partitioned by the ordering columns, written once with their task's number, counted
+per task, and numbered inside their task; the running sum over the tasks' counts (one number per task, which the driver
+tracks anyway) is added as a small literal table.
 """
 
 from __future__ import annotations
@@ -10,26 +10,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCK = 1 << 20
+from lectern.session import materialize
 
 
-def sequential_ids(df: DataFrame, order_col: str, out: str = "book_id", start: int = 0,
-                   block: int = DEFAULT_BLOCK) -> DataFrame:
-    """``out`` = start, start+1, ... in ascending ``order_col`` (a distinct integer per row)."""
-    blk = F.floor(F.col(order_col) / F.lit(block)).cast("long")
-    with_blk = df.withColumn("_blk", blk)
-    counts = with_blk.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_off"))
-    inside = Window.partitionBy("_blk").orderBy(F.col(order_col).asc())
-    return (with_blk.join(offsets, "_blk")
-            .withColumn(out, (F.col("_off") + F.row_number().over(inside) - 1 + F.lit(start)).cast("long"))
-            .drop("_blk", "_off"))
+def sequential_ids(df: DataFrame, order, out: str = "book_id", start: int = 0) -> DataFrame:
+    """``out`` = start, start+1, ... in ascending order of one or more columns (ties in any order)."""
+    cols = [order] if isinstance(order, str) else list(order)
+    ranged = materialize(df.repartitionByRange(*cols).withColumn("_part", F.spark_partition_id()), "ranged")
+    before, offsets = start, []
+    for part, n in sorted(ranged.groupBy("_part").count().collect()):
+        offsets.append((part, before))
+        before += n
+    offsets = df.sparkSession.createDataFrame(offsets, "_part int, _before long")
+    inside = Window.partitionBy("_part").orderBy(*cols)
+    numbered = ranged.withColumn("_in", F.row_number().over(inside) - 1).join(F.broadcast(offsets), "_part")
+    return numbered.withColumn(out, (F.col("_before") + F.col("_in")).cast("long")).drop("_part", "_in", "_before")
 
 
-def next_ids(new_rows: DataFrame, existing: DataFrame, order_col: str, id_col: str = "book_id",
-             out: str = "book_id") -> DataFrame:
-    """New ids continue after the largest live id (``max + 1``, ``max + 2``, ... in ``order_col`` order)."""
+def next_ids(new_rows: DataFrame, existing: DataFrame, order, id_col: str = "book_id", out: str = "book_id") -> DataFrame:
+    """New ids continue after the largest live id (``max + 1``, ``max + 2``, ... in the given order)."""
     top = existing.select(F.coalesce(F.max(id_col), F.lit(-1)).cast("long")).scalar()  # scalar subquery
-    numbered = sequential_ids(new_rows, order_col, "_k")
+    numbered = sequential_ids(new_rows, order, "_k")
     return numbered.withColumn(out, top + F.col("_k") + 1).drop("_k")

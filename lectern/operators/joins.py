@@ -17,26 +17,6 @@ DEFAULT_MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 DEFAULT_SALT = 32
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin rows over the cluster's default parallelism when the input has fewer splits than that.
-
-    Heavy per-row text work on a small input read from few row groups would otherwise leave cores idle; on a
-    large input (many splits) this is a no-op and adds no shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
-def fan_out_side(df: DataFrame) -> DataFrame:
-    """Spread the streamed side of a broadcast fan-out join over the default parallelism.
-
-    A small aggregated side (e.g. distinct catalogue strings) is often coalesced into one partition, and a
-    broadcast nested-loop join keeps the streamed side's partitioning, so without this every output row of the
-    fan-out would be produced by a single task.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def measured_rows(df: DataFrame) -> int:
     """Row count of a side that is meant to be small (one cheap job over that side only)."""
     return df.count()

@@ -60,27 +60,30 @@ def first_pieces(words: DataFrame, pieces: DataFrame) -> DataFrame:
     measured size allows (a single-letter piece matches a large share of all words, so a shuffle on the piece
     would concentrate them), otherwise joined with salting.
     """
-    pref = (words.select("word").distinct()
-            .select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("n"))
-            .select("word", "n", F.expr("substring(word, 1, n)").alias("piece")))
     vocab = pieces.select("piece").distinct()
+    # No prefix longer than the longest piece can match, so longer ones are not made.
+    longest = vocab.select(F.coalesce(F.max(F.length("piece")), F.lit(0))).scalar()
+    pref = (words.select("word").distinct().withColumn("_n", F.least(F.length("word"), longest)).where("_n > 0")
+            .select("word", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("n"))
+            .select("word", "n", F.expr("substring(word, 1, n)").alias("piece")))
     hits = sized_join(pref, vocab, ["piece"], "left_semi")
     return hits.groupBy("word").agg(F.max_by("piece", "n").alias("piece"))
 
 
 def _sql_rules() -> str:
-    parts = ["SELECT token, token AS cand, 0 AS prio FROM vocab"]
+    """The token itself and every rule's candidate as one list per token."""
+    parts = ["{'cand': token, 'prio': 0}"]
     for i, (suffix, repl) in enumerate(NOUN_RULES, start=1):
-        parts.append(f"SELECT token, substring(token, 1, length(token) - {len(suffix)}) || '{repl}' AS cand, "
-                     f"{i} AS prio FROM vocab WHERE ends_with(token, '{suffix}')")
-    return " UNION ALL ".join(parts)
+        parts.append(f"CASE WHEN ends_with(token, '{suffix}') THEN {{'cand': substring(token, 1, length(token) - {len(suffix)}) || '{repl}', "
+                     f"'prio': {i}}} END")
+    return "[" + ", ".join(parts) + "]"
 
 
 SQL_LEMMA_MAP = (
-    "WITH vocab AS ({vocab}), cand AS (" + _sql_rules().replace("{", "{{").replace("}", "}}") + "), "
-    "hit AS (SELECT token, cand, row_number() OVER (PARTITION BY token ORDER BY length(cand), prio) AS r "
-    "FROM cand WHERE cand IN (SELECT token FROM vocab)) "
-    "SELECT v.token, coalesce(h.cand, v.token) AS lemma FROM vocab v LEFT JOIN hit h ON h.token = v.token AND h.r = 1"
+    "WITH vocab AS MATERIALIZED ({vocab}), cand AS (SELECT token, unnest(" + _sql_rules().replace("{", "{{").replace("}", "}}") + ") AS c FROM vocab), "
+    "hit AS (SELECT cand.token, arg_min(c.cand, length(c.cand) * 100 + c.prio) AS lemma "
+    "FROM cand JOIN vocab lex ON lex.token = c.cand GROUP BY cand.token) "
+    "SELECT v.token, coalesce(h.lemma, v.token) AS lemma FROM vocab v LEFT JOIN hit h ON h.token = v.token"
 )
 
 SQL_FIRST_PIECE = (

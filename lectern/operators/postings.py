@@ -2,7 +2,7 @@
 
 The canonical index is the long table ``postings(token string, book_id long)``: one row per distinct
 (token, book) pair. It is built without a keyed shuffle: each catalogue row is one book, so distinct tokens of
-a row are distinct pairs (an input with fewer splits than cores is only round-robined first). Array views are cut into id blocks so no row ever holds an unbounded posting list.
+a row are distinct pairs. Array views are cut into id blocks so no row ever holds an unbounded posting list.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import STOP_WORDS, compose_text, distinct_tokens
-from lectern.operators.joins import spread
 
 # Largest number of ids one array-view row holds; a token's list is split by ``book_id div POSTING_BLOCK``.
 POSTING_BLOCK = 4096
@@ -24,7 +23,7 @@ def build_postings(books: DataFrame, text: Column | None = None, id_col: str = "
     Requires ``id_col`` to be a key of ``books`` (one row per book), which the catalogue guarantees.
     """
     text = compose_text() if text is None else text
-    return spread(books).select(
+    return books.select(
         F.explode(distinct_tokens(text, stop_words)).alias("token"),
         F.col(id_col).cast("long").alias("book_id"),
     )
@@ -50,8 +49,9 @@ def parse_postings(rows: DataFrame, token_col: str = "token", ids_col: str = "do
     """
     ids = F.transform(
         F.filter(F.split(F.coalesce(F.col(ids_col).cast("string"), F.lit("")), ","), lambda x: F.trim(x) != F.lit("")),
-        lambda x: F.trim(x).cast("long"),
+        lambda x: F.trim(x).try_cast("long"),
     )
+    ids = F.filter(ids, lambda x: x.isNotNull())  # what is no id is left out
     return rows.select(F.col(token_col).alias("token"), F.explode_outer(F.array_distinct(ids)).alias("book_id"))
 
 

@@ -28,7 +28,7 @@ def result_page_columns(hits: DataFrame) -> DataFrame:
         F.col("isbn").cast("string").alias("isbn"),
         "title", "author",
         F.col("publish_year").cast("int").alias("year"),
-        F.when(is_missing("description"), F.lit("")).otherwise(F.col("description")).alias("description"),
+        F.when(is_missing("description", any_case=True), F.lit("")).otherwise(F.col("description")).alias("description"),
         F.lit("").alias("cover"),
         pct.alias("similarity"),
         relevance_band(pct).alias("band"),

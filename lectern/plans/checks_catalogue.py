@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions.text import compose_text, first_line
-from lectern.operators.catalog import dedupe_books, fill_defaults, genre_codes, genre_dimension, limit_per_group, listing
+from lectern.operators.catalog import dedupe_books, fill_defaults, genre_codes, genre_dimension, listing
 from lectern.operators.postings import build_postings
 from lectern.plans import sqltext as q
 from lectern.plans.registry import register
@@ -17,7 +17,7 @@ from lectern.sources.writers import load_or_build, write_csv
 
 
 def _missing(x):
-    return f"({x} IS NULL OR lower(CAST({x} AS VARCHAR)) = 'nan')"
+    return f"({x} IS NULL OR CAST({x} AS VARCHAR) = 'nan')"
 
 
 SQL_DEDUPE = f"""
@@ -118,17 +118,13 @@ def q_ingest_json(spark, sf):
 
 @register("union_ingest", sql=f"""
 WITH raw AS ({SQL_RAW_CATALOGUE}), books AS ({SQL_BOOKS})
-SELECT 'part' AS source, pos, title, author, CAST(publish_year AS VARCHAR) AS publish_year, genre
-FROM (SELECT *, row_number() OVER (PARTITION BY genre ORDER BY pos) AS r FROM raw) WHERE r <= 100
+SELECT 'part' AS source, pos, title, author, CAST(publish_year AS VARCHAR) AS publish_year, genre FROM raw
 UNION ALL
-SELECT 'documents' AS source, book_id AS pos, title, author, CAST(NULL AS VARCHAR) AS publish_year, genre
-FROM (SELECT *, row_number() OVER (PARTITION BY genre ORDER BY book_id) AS r FROM books) WHERE r <= 100""")
+SELECT 'documents' AS source, book_id AS pos, title, author, CAST(NULL AS VARCHAR) AS publish_year, genre FROM books""")
 def q_union_ingest(spark, sf):
-    """S9 + U2: per-genre result sets capped at 100 rows each (the landed API's page), appended with duplicates."""
-    parts = limit_per_group(raw_catalogue_from_part(table(spark, sf, "part")), "genre", "pos", 100)
-    docs = limit_per_group(books_from_documents(table(spark, sf, "documents")), "genre", "book_id", 100)
-    a = parts.select(F.lit("part").alias("source"), "pos", "title", "author", "publish_year", "genre")
-    b = docs.select(F.lit("documents").alias("source"), F.col("book_id").alias("pos"), "title", "author", "genre")
+    """S9 + U2: landed result sets appended whole, with duplicates."""
+    a = raw_catalogue_from_part(table(spark, sf, "part")).select(F.lit("part").alias("source"), "pos", "title", "author", "publish_year", "genre")
+    b = books_from_documents(table(spark, sf, "documents")).select(F.lit("documents").alias("source"), F.col("book_id").alias("pos"), "title", "author", "genre")
     return (union_ingests(a, b).select("source", "pos", "title", "author", "publish_year", "genre")
             .withColumn("publish_year", F.col("publish_year").cast("string")))
 

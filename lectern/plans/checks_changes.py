@@ -18,11 +18,11 @@ from lectern.session import materialize
 from lectern.sources.readers import parse_change_requests
 
 
-def _requests(spark, sf, kinds=None):
+def _requests(spark, sf, kinds=None, given_ids=False):
     ev = table(spark, sf, "events")
     if kinds is not None:
         ev = ev.where(F.col("event_type").isin(kinds))
-    return parse_change_requests(change_requests_from_events(ev))
+    return parse_change_requests(change_requests_from_events(ev, given_ids))
 
 
 def _books(spark, sf):
@@ -131,28 +131,79 @@ def q_batch_vocabulary(spark, sf):
     return vocabulary(out.postings)
 
 
+@register("issued_ids", sql=_sql_apply(("add",)) + """
+SELECT seq, pos, (SELECT max(book_id) FROM books) + row_number() OVER (ORDER BY ord) AS book_id FROM ch""")
+def q_issued_ids(spark, sf):
+    """M1: the id each add request without an id was given."""
+    out = apply_requests(_books(spark, sf), _requests(spark, sf, ["signup"])).issued
+    return out.select("seq", F.col("pos").cast("int").alias("pos"), "book_id")
+
+
+@register("apply_upserts", sql=f"""
+WITH books AS ({SQL_BOOKS}), ch AS (SELECT c.*, e.user_id AS id FROM ({SQL_CHANGE_ROWS}) c JOIN events e ON e.event_id = c.seq WHERE c.action = 'add'),
+last AS (SELECT CAST(id AS BIGINT) AS book_id, arg_max(coalesce(title, ''), ord) AS title, arg_max(coalesce(author, ''), ord) AS author,
+  arg_max(coalesce(description, ''), ord) AS description FROM ch GROUP BY id)
+SELECT book_id, title, author, description, isbn, CAST(publish_year AS VARCHAR) AS publish_year, genre FROM books
+WHERE book_id NOT IN (SELECT book_id FROM last)
+UNION ALL SELECT book_id, title, author, description, '0', '0', '' FROM last""")
+def q_apply_upserts(spark, sf):
+    """M2: adds under given ids replace the rows of those ids, the latest one winning."""
+    return _out(apply_requests(_books(spark, sf), _requests(spark, sf, ["signup"], given_ids=True)).books)
+
+
 STREAM_RUNS = 3
 
 
-@register("stream_changes", sql=_final_sql(("add", "edit", "delete")))
-def q_stream_changes(spark, sf):
-    """M8 in foreachBatch: the request feed lands in three seq-ordered chunks; after each one an ``availableNow``
-    run of the same streaming query (same checkpoint) applies the new files; the last committed version equals
-    applying the whole feed at once."""
+def _streamed(spark, sf):
+    """The request feed lands in ``STREAM_RUNS`` seq-ordered chunks; after each one an ``availableNow`` run of the same stream
+    (same checkpoint) applies the new lines. Gives the catalogue's folder."""
+    from lectern.operators.embed import hashed_vectors
     from lectern.session import scratch_path
-    from lectern.sources.versioned import latest_version, read_version
     from lectern.streaming.changes import publish_initial, run_change_stream
 
     books = _books(spark, sf)
     root = scratch_path(spark, "catalogue")
-    publish_initial(spark, root, books, build_postings(books))
-    reqs = _requests(spark, sf).select("seq", "action", "book_data", "book_ids")
+    publish_initial(spark, root, books, build_postings(books), hashed_vectors(books, dim=STREAM_DIM))
+    reqs = change_requests_from_events(table(spark, sf, "events"))
+    body = F.concat(F.lit('{"seq":'), F.col("seq").cast("string"), F.lit(","), F.substring("json", F.lit(2), F.length("json")))
     lo, hi = reqs.agg(F.min("seq"), F.max("seq")).first()
     inbox = scratch_path(spark, "requests")
     checkpoint = scratch_path(spark, "requests-checkpoint")
     span = (hi - lo) // STREAM_RUNS + 1
     for i in range(STREAM_RUNS):
         chunk = reqs.where((F.col("seq") >= lo + i * span) & (F.col("seq") < lo + (i + 1) * span))
-        chunk.write.mode("append").json(inbox)
+        chunk.select(body.alias("value")).write.mode("append").text(inbox)
         run_change_stream(spark, inbox, root, checkpoint).awaitTermination()
-    return _out(read_version(spark, root, "books", latest_version(spark, root)))
+    return root
+
+
+STREAM_DIM = 16
+
+
+def _stream_table(spark, sf, name):
+    from lectern.sources.versioned import latest_version, read_version
+    root = _streamed(spark, sf)
+    return read_version(spark, root, name, latest_version(spark, root))
+
+
+@register("stream_changes", sql=_final_sql(("add", "edit", "delete")))
+def q_stream_changes(spark, sf):
+    """M8 in foreachBatch: the books after the whole feed has streamed in equal applying it at once."""
+    return _out(_stream_table(spark, sf, "books"))
+
+
+@register("stream_vocabulary", sql=_sql_apply(("add", "edit", "delete")) + f""",
+post AS (SELECT DISTINCT unnest({q.tokens(q.compose())}) AS token, book_id FROM final)
+SELECT token, CAST(count(*) AS BIGINT) AS n_books FROM post GROUP BY token""")
+def q_stream_vocabulary(spark, sf):
+    """M5 in the stream: the vocabulary moves with the books."""
+    return _stream_table(spark, sf, "vocabulary")
+
+
+@register("stream_vectors", sql=_sql_apply(("add", "edit", "delete")) + f""",
+{q.hashed_cte('f', f"SELECT book_id AS id, {q.compose()} AS txt FROM final", STREAM_DIM)}
+SELECT id AS book_id, CAST(bucket AS INTEGER) AS bucket, round(v, 6) AS value FROM f_vec""")
+def q_stream_vectors(spark, sf):
+    """M3-M4 in the stream: vectors of changed books are made anew, those of deleted ones go."""
+    vec = _stream_table(spark, sf, "vectors").select("book_id", F.posexplode("embedding").alias("bucket", "v"))
+    return vec.where(F.col("v") != 0).select("book_id", "bucket", F.round("v", 6).alias("value"))

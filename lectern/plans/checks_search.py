@@ -4,44 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lectern.operators.embed import fill_missing_vectors, hashed_vectors
 from lectern.operators.retrieval import candidate_books, query_tokens, score_candidates
 from lectern.plans import sqltext as q
 from lectern.plans.checks_index import catalogue
 from lectern.plans.registry import register
 from lectern.plans.search import hybrid_search, result_page
-from lectern.plans.standins import (SQL_BOOKS, queries_from_benchmark, query_vectors_from_embeddings, table,
-                                    vectors_from_embeddings)
+from lectern.plans.standins import SQL_BOOKS, queries_from_benchmark, table, vectors_from_embeddings
+from lectern.session import materialize
+
+
+VECTOR_DIM = 64
 
 
 def _inputs(spark, sf):
+    """Books, postings, a vector for every book (stored ones kept, gaps embedded, M6), queries and their vectors by the same
+    embedder."""
     books, post = catalogue(spark, sf)
-    emb = table(spark, sf, "embeddings")
+    stored = vectors_from_embeddings(table(spark, sf, "embeddings"))
+    vec = fill_missing_vectors(books, stored, lambda gap: hashed_vectors(gap, dim=VECTOR_DIM))
     queries = queries_from_benchmark(table(spark, sf, "benchmark"))
-    return books, post, vectors_from_embeddings(emb), query_vectors_from_embeddings(emb), queries
+    qvec = hashed_vectors(queries, "query_id", F.col("text"), dim=VECTOR_DIM).withColumnRenamed("book_id", "query_id")
+    return books, post, materialize(vec.select("book_id", "embedding"), "vectors"), materialize(qvec, "query-vectors"), queries
 
 
 def _scored(spark, sf, metric):
-    books, post, vec, qvec, queries = _inputs(spark, sf)
+    _, post, vec, qvec, queries = _inputs(spark, sf)
     cands = candidate_books(query_tokens(queries), post)
     s = score_candidates(cands, vec, qvec, metric)
-    return s.select("query_id", "book_id", F.round("similarity", 6).alias("similarity"))
+    return s.select("query_id", "book_id", (F.round("similarity", 6) + 0.0).alias("similarity"))
 
 
-_SCORED_SQL = """
-WITH {cte}
-SELECT c.query_id, c.book_id, round({score}, 6) AS similarity
-FROM cand c JOIN embeddings bv ON bv.vec_id = c.book_id JOIN embeddings qv ON qv.vec_id = c.query_id"""
+_VECTORS = q.filled_cte("SELECT CAST(vec_id AS BIGINT) AS id, embedding FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)",
+                        f"SELECT book_id AS id, {q.compose()} AS txt FROM books",
+                        "SELECT CAST(item_id AS BIGINT) AS id, text AS txt FROM benchmark", VECTOR_DIM)
+_SCORED_CTE = f"""{q.candidates_cte(SQL_BOOKS)}, {_VECTORS},
+dots AS (SELECT c.query_id, c.book_id, sum(qv.v * bv.v) AS d FROM cand c JOIN q_vec qv ON qv.id = c.query_id
+  JOIN bv_all bv ON bv.id = c.book_id AND bv.bucket = qv.bucket GROUP BY ALL),
+scored AS (SELECT c.query_id, c.book_id, coalesce(d.d, 0.0) AS d, qn.n AS qn, bn.n AS bn,
+  CASE WHEN qn.n * bn.n > 0 THEN coalesce(d.d, 0.0) / (qn.n * bn.n) ELSE 0.0 END AS sim
+  FROM cand c JOIN q_norm qn ON qn.id = c.query_id JOIN bn_all bn ON bn.id = c.book_id LEFT JOIN dots d USING (query_id, book_id))"""
 
 
-@register("cosine_scores", sql=_SCORED_SQL.format(cte=q.candidates_cte(SQL_BOOKS),
-                                                  score=q.cosine("qv.embedding", "bv.embedding")))
+@register("cosine_scores", sql=f"WITH {_SCORED_CTE} SELECT query_id, book_id, round(sim, 6) + 0.0 AS similarity FROM scored")
 def q_cosine_scores(spark, sf):
     """V1 + J3: cosine of each query vector with each retrieved candidate's vector."""
     return _scored(spark, sf, "cosine")
 
 
-@register("euclidean_scores", sql=_SCORED_SQL.format(cte=q.candidates_cte(SQL_BOOKS),
-                                                     score=q.euclidean("qv.embedding", "bv.embedding")))
+@register("euclidean_scores", sql=f"""WITH {_SCORED_CTE}
+SELECT query_id, book_id, round(sqrt(greatest(qn * qn + bn * bn - 2 * d, 0.0)), 6) AS similarity FROM scored""")
 def q_euclidean_scores(spark, sf):
     """V2 + J3: Euclidean distance instead of cosine over the same candidates."""
     return _scored(spark, sf, "euclidean")
@@ -49,10 +61,8 @@ def q_euclidean_scores(spark, sf):
 
 _TOPN_SQL = """
 WITH {cte},
-scored AS (SELECT c.query_id, c.book_id, {score} AS sim
-           FROM cand c JOIN embeddings bv ON bv.vec_id = c.book_id JOIN embeddings qv ON qv.vec_id = c.query_id),
 ranked AS (SELECT query_id, book_id, sim,
-                  row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, book_id) AS rank FROM scored)
+                  row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 12) DESC, book_id) AS rank FROM scored)
 SELECT r.query_id, r.rank, r.book_id, {sim_out}, {book_cols}
 FROM ranked r JOIN books b USING (book_id) WHERE r.rank <= {n}"""
 
@@ -60,33 +70,31 @@ HYBRID_TOPN = 100
 PAGE_SIZE = 10
 
 
-@register("hybrid_topn", sql=_TOPN_SQL.format(cte=q.candidates_cte(SQL_BOOKS),
-                                              score=q.cosine("qv.embedding", "bv.embedding"),
-                                              sim_out="round(r.sim, 6) AS similarity", book_cols="b.title",
+@register("hybrid_topn", sql=_TOPN_SQL.format(cte=_SCORED_CTE,
+                                              sim_out="round(r.sim, 6) + 0.0 AS similarity", book_cols="b.title",
                                               n=HYBRID_TOPN))
 def q_hybrid_topn(spark, sf):
     """Token retrieval, cosine ranking, top 100 per benchmark query, hydrated with the title."""
     books, post, vec, qvec, queries = _inputs(spark, sf)
-    r = hybrid_search(queries, post, vec, books, qvec, top_n_rows=HYBRID_TOPN)
-    return r.select("query_id", "rank", "book_id", F.round("similarity", 6).alias("similarity"), "title")
+    r = hybrid_search(queries, post, vec, books, qvec, top_n_rows=HYBRID_TOPN, score_decimals=12)
+    return r.select("query_id", "rank", "book_id", (F.round("similarity", 6) + 0.0).alias("similarity"), "title")
 
 
 _PAGE_COLS = (
     "CAST(b.isbn AS VARCHAR) AS isbn, b.title, b.author, CAST(b.publish_year AS VARCHAR) AS year, "
-    f"{q.text_or_empty('b.description')} AS description, '' AS cover, "
+    f"{q.text_or_empty('b.description', any_case=True)} AS description, '' AS cover, "
     "CASE WHEN round(r.sim * 100.0, 2) > 80 THEN 'green' WHEN round(r.sim * 100.0, 2) > 50 THEN 'orange' "
     "ELSE 'red' END AS band"
 )
 
 
-@register("result_page", sql=_TOPN_SQL.format(cte=q.candidates_cte(SQL_BOOKS),
-                                              score=q.cosine("qv.embedding", "bv.embedding"),
+@register("result_page", sql=_TOPN_SQL.format(cte=_SCORED_CTE,
                                               sim_out="round(r.sim * 100.0, 2) AS similarity",
                                               book_cols=_PAGE_COLS, n=PAGE_SIZE))
 def q_result_page(spark, sf):
     """First page (10 hits) per query with the served columns, percent similarity and relevance band."""
     books, post, vec, qvec, queries = _inputs(spark, sf)
-    page = result_page(queries, post, vec, books, qvec, page_size=PAGE_SIZE)
+    page = result_page(queries, post, vec, books, qvec, page_size=PAGE_SIZE, score_decimals=12)
     return page.withColumn("year", F.col("year").cast("string"))
 
 
@@ -95,7 +103,7 @@ SESSION_DIM = 64
 
 @register("session_search", sql=f"""
 WITH {q.postings_cte(SQL_BOOKS)},
-ctx AS (SELECT (CAST(conv_id AS BIGINT) << 20) + CAST(turn AS BIGINT) AS query_id,
+ctx AS (SELECT conv_id || ':' || turn AS query_id,
                string_agg(text, '. ') OVER (PARTITION BY conv_id ORDER BY turn
                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS text
         FROM conversations WHERE role = 'user'),
@@ -117,7 +125,6 @@ def q_session_search(spark, sf):
     """X5 -> P11 -> X1 -> R2 -> P7: each user turn searches its session's whole history joined with ". "
     (hashed vectors for books and contexts); first page of hits with percent similarity. Ranking uses scores
     rounded to 12 decimals so equal vectors tie in both engines."""
-    from lectern.operators.embed import hashed_vectors
     from lectern.operators.present import percent
     from lectern.operators.sessions import session_context
     books, post = catalogue(spark, sf)
@@ -125,7 +132,7 @@ def q_session_search(spark, sf):
     entries = conv.select(F.col("conv_id").cast("long").alias("session_id"), F.col("turn").cast("long").alias("seq"),
                           "text")
     ctx = session_context(entries).select(
-        (F.shiftleft("session_id", 20) + F.col("seq")).alias("query_id"), F.col("context").alias("text"))
+        F.concat_ws(":", "session_id", "seq").alias("query_id"), F.col("context").alias("text"))
     qv = hashed_vectors(ctx, "query_id", F.col("text"), dim=SESSION_DIM).withColumnRenamed("book_id", "query_id")
     bv = hashed_vectors(books, dim=SESSION_DIM)
     hits = hybrid_search(ctx, post, bv, books, qv, top_n_rows=PAGE_SIZE, score_decimals=12)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions.vectors import l2_normalize
-from lectern.operators.embed import coverage_counts, coverage_gaps, fill_missing_vectors, hashed_vectors
+from lectern.operators.embed import MODEL_MAX_TOKENS, coverage_counts, coverage_gaps, fill_missing_vectors, hashed_vectors
 from lectern.plans import sqltext as q
 from lectern.plans.registry import register
 from lectern.plans.standins import SQL_BOOKS, books_from_documents, table, vectors_from_embeddings
@@ -117,3 +117,12 @@ def q_missing_vectors_only(spark, sf):
     out = fill_missing_vectors(books, vec, lambda gap: hashed_vectors(gap, dim=HASH_DIM))
     total = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda a, x: a + x)
     return out.select("book_id", "computed", (F.round(total, 6) + F.lit(0.0)).alias("value_sum"))
+
+
+@register("truncated_vectors", sql=f"""
+WITH books AS ({SQL_BOOKS}), {q.hashed_cte('t', f"SELECT book_id AS id, {q.compose()} AS txt FROM books", HASH_DIM, MODEL_MAX_TOKENS)}
+SELECT id AS book_id, CAST(bucket AS BIGINT) AS dim_index, round(v, 6) AS value FROM t_vec""")
+def q_truncated_vectors(spark, sf):
+    """Vectors of each book's first 510 tokens, as a model with a bounded input sees them."""
+    books = books_from_documents(table(spark, sf, "documents"))
+    return _long_form(hashed_vectors(books, dim=HASH_DIM, max_tokens=MODEL_MAX_TOKENS)).where(F.col("value") != 0)

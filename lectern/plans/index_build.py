@@ -8,6 +8,7 @@ read back, so later searches start from storage (K5, X4).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lectern.operators.embed import DEFAULT_DIM, fill_missing_vectors, hashed_vectors
 from lectern.operators.lemmas import apply_lemmas, lemma_map
@@ -40,5 +41,6 @@ def build_index(spark: SparkSession, books: DataFrame, root: str, vectors: DataF
     postings = read_version(spark, root, "postings", version)
     publish(vocabulary(postings), root, "vocabulary", version)
     publish(vecs, root, "vectors", version)
-    commit(spark, root, version)
+    top = stored_books.agg(F.max("book_id")).first()[0]
+    commit(spark, root, version, top, names)
     return {name: read_version(spark, root, name, version) for name in names}

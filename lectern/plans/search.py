@@ -41,8 +41,10 @@ def hybrid_search(queries: DataFrame, postings: DataFrame, vectors: DataFrame, b
 
 
 def result_page(queries: DataFrame, postings: DataFrame, vectors: DataFrame, books: DataFrame,
-                query_vectors: DataFrame, page_size: int = 10, text_col: str = "text") -> DataFrame:
-    """The first ``page_size`` hits (R2) with the served projection."""
+                query_vectors: DataFrame, page_size: int = 10, text_col: str = "text", lemmas: DataFrame | None = None,
+                score_decimals: int | None = None) -> DataFrame:
+    """The first ``page_size`` hits (R2) with the served projection (P5-P8); ``lemmas`` as in ``hybrid_search``."""
     hits = hybrid_search(queries, postings, vectors, books, query_vectors, top_n_rows=page_size,
-                         text_col=text_col, book_cols=("isbn", "title", "author", "publish_year", "description"))
+                         text_col=text_col, lemmas=lemmas, score_decimals=score_decimals,
+                         book_cols=("isbn", "title", "author", "publish_year", "description"))
     return result_page_columns(hits)

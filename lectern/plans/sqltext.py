@@ -16,8 +16,9 @@ def sql_str_list(values) -> str:
 STOP_SQL = sql_str_list(STOP_WORDS)
 
 
-def text_or_empty(x: str) -> str:
-    return f"(CASE WHEN {x} IS NULL OR lower(CAST({x} AS VARCHAR)) = 'nan' THEN '' ELSE CAST({x} AS VARCHAR) END)"
+def text_or_empty(x: str, any_case: bool = False) -> str:
+    text = f"lower(CAST({x} AS VARCHAR))" if any_case else f"CAST({x} AS VARCHAR)"
+    return f"(CASE WHEN {x} IS NULL OR {text} = 'nan' THEN '' ELSE CAST({x} AS VARCHAR) END)"
 
 
 def compose(t: str = "title", a: str = "author", d: str = "description") -> str:
@@ -58,12 +59,13 @@ def candidates_cte(books_sql: str) -> str:
             "cand AS (SELECT DISTINCT query_id, book_id FROM qt JOIN post USING (token))")
 
 
-def hashed_cte(prefix: str, src_sql: str, dim: int) -> str:
+def hashed_cte(prefix: str, src_sql: str, dim: int, max_tokens: int | None = None) -> str:
     """Signed md5 feature-hashed unit vectors in long form: ``{prefix}_vec(id, bucket, v)`` and
     ``{prefix}_norm(id, n)`` for ``src_sql`` rows ``(id, txt)``."""
     p = prefix
+    toks = tokens("txt") if max_tokens is None else f"list_slice({tokens('txt')}, 1, {max_tokens})"
     return (f"{p}_src AS ({src_sql}), "
-            f"{p}_tk AS (SELECT id, unnest({tokens('txt')}) AS t FROM {p}_src), "
+            f"{p}_tk AS (SELECT id, unnest({toks}) AS t FROM {p}_src), "
             f"{p}_h AS (SELECT id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) AS h FROM {p}_tk), "
             f"{p}_c AS (SELECT id, h % {dim} AS bucket, CASE WHEN (h // {dim}) % 2 = 0 THEN 1 ELSE -1 END AS s "
             f"FROM {p}_h), "
@@ -72,3 +74,12 @@ def hashed_cte(prefix: str, src_sql: str, dim: int) -> str:
             f"{p}_vec AS (SELECT id, bucket, c / rn AS v FROM {p}_cnt JOIN {p}_raw USING (id) WHERE rn > 0 AND c <> 0), "
             f"{p}_norm AS (SELECT s.id, coalesce(sqrt(sum(x.v * x.v)), 0.0) AS n FROM {p}_src s "
             f"LEFT JOIN {p}_vec x USING (id) GROUP BY s.id)")
+
+
+def filled_cte(stored_sql: str, books_sql: str, queries_sql: str, dim: int) -> str:
+    """Vectors of all books in long form, ``bv_all(id, bucket, v)`` with ``bn_all(id, n)``: the stored one (``stored_sql``: id,
+    embedding) or, where there is none, the hashed one of the book's text; and ``q_vec``, ``q_norm`` of the query texts."""
+    return (f"st AS ({stored_sql}), {hashed_cte('b', books_sql, dim)}, {hashed_cte('q', queries_sql, dim)}, "
+            "bv_all AS (SELECT id, unnest(range(0, len(embedding))) AS bucket, CAST(unnest(embedding) AS DOUBLE) AS v FROM st "
+            "UNION ALL SELECT id, bucket, v FROM b_vec WHERE id NOT IN (SELECT id FROM st)), "
+            "bn_all AS (SELECT s.id, coalesce(sqrt(sum(x.v * x.v)), 0.0) AS n FROM b_src s LEFT JOIN bv_all x USING (id) GROUP BY s.id)")

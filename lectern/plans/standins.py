@@ -72,13 +72,15 @@ SQL_RAW_CATALOGUE = (
 )
 
 
-def change_requests_from_events(events: DataFrame) -> DataFrame:
-    """``events`` as a feed of admin requests ``(seq, json)``: signup = add, purchase = edit (title always,
-    description for even k), error = delete, view = view_books, click = an unknown action; user_id = target id."""
+def change_requests_from_events(events: DataFrame, given_ids: bool = False) -> DataFrame:
+    """``events`` as a feed of admin requests ``(seq, json)``: signup = add (with ``given_ids``: under the user's id), purchase = edit
+    (title always, description for even k), error = delete, view = view_books, click = an unknown action; user_id =
+    target id."""
     k = F.get_json_object("props", "$.k")
     uid = F.col("user_id").cast("string")
     et = F.col("event_type")
-    add = F.struct(F.lit("add_book").alias("action"), F.array(F.struct(
+    ids = [F.array(uid).alias("book_ids")] if given_ids else []
+    add = F.struct(F.lit("add_book").alias("action"), *ids, F.array(F.struct(
         F.concat(F.lit("Book "), k).alias("title"), F.concat(F.lit("User "), uid).alias("author"),
         F.concat(F.lit("Signup "), k, F.lit(" by user "), uid).alias("description"))).alias("book_data"))
     edit = F.struct(F.lit("edit_book").alias("action"), F.array(uid).alias("book_ids"), F.array(F.struct(
@@ -94,7 +96,7 @@ def change_requests_from_events(events: DataFrame) -> DataFrame:
 
 # The same feed as per-book change rows, in SQL.
 SQL_CHANGE_ROWS = (
-    "SELECT CAST(event_id AS BIGINT) AS seq, 0 AS pos, CAST(event_id AS BIGINT) << 20 AS ord, "
+    "SELECT CAST(event_id AS BIGINT) AS seq, 0 AS pos, CAST(event_id AS BIGINT) AS ord, "
     "CASE event_type WHEN 'signup' THEN 'add' WHEN 'purchase' THEN 'edit' ELSE 'delete' END AS action, "
     "CASE WHEN event_type IN ('purchase', 'error') THEN CAST(user_id AS BIGINT) END AS book_id, "
     "CASE event_type WHEN 'signup' THEN 'Book ' || k WHEN 'purchase' THEN 'Title ' || k END AS title, "

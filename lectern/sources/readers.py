@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.vectors import from_wide, parse_vector_text
-from lectern.operators.joins import spread
 from lectern.operators.postings import parse_postings
-from lectern.schemas import CHANGE_REQUEST, GENRES, POSTINGS_TEXT, RAW_CATALOGUE, SEARCH_REQUEST, VECTORS_TEXT
+from lectern.schemas import BOOK_FIELDS, CHANGE_REQUEST, GENRES, POSTINGS_TEXT, RAW_CATALOGUE, SEARCH_REQUEST, VECTORS_TEXT
 
 MISSING_MARK = "N/A"
 
@@ -23,7 +22,8 @@ def read_catalogue_csv(spark: SparkSession, path: str, schema=RAW_CATALOGUE) ->
     """S1 + S2: header CSV, quoted multi-line fields, "N/A" read as null; a missing path is an empty catalogue."""
     try:
         df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-              .option("escape", '"').option("nullValue", MISSING_MARK).csv(path))
+              .option("escape", '"').option("nullValue", MISSING_MARK)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
         df.schema  # resolve now so a missing path is detected here
     except Exception as e:  # noqa: BLE001 - the Spark error class differs by version
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
@@ -77,7 +77,7 @@ def books_from_search_responses(responses: DataFrame, json_col: str = "json") ->
 
 def description_from_details(details_json: Column) -> Column:
     """``description`` of a landed detail record: ``.value`` of an object, else the string, else "N/A"."""
-    v = F.parse_json(details_json)
+    v = F.try_parse_json(details_json)
     kind = F.schema_of_variant(F.variant_get(v, "$.description", "variant"))
     as_obj = F.try_variant_get(v, "$.description.value", "string")
     as_str = F.try_variant_get(v, "$.description", "string")
@@ -87,10 +87,16 @@ def description_from_details(details_json: Column) -> Column:
 
 def enrich_descriptions(books: DataFrame, details: DataFrame, key_col: str = "key",
                         json_col: str = "json") -> DataFrame:
-    """Left join landed details on the work key; books without a detail record read "N/A"."""
-    det = details.select(F.col(key_col).alias("key"), description_from_details(F.col(json_col)).alias("description"))
-    return (books.join(det, "key", "left")
-            .withColumn("description", F.coalesce("description", F.lit(MISSING_MARK))))
+    """Left join landed details on the work key; books without a detail record read "N/A".
+
+    A work fetched several times counts once, by its least description that is given; a malformed record gives none.
+    Books without a key (the "N/A" mark) have no details and stay out of the join, so they cannot gather in one task.
+    """
+    det = details.select(F.col(key_col).alias("key"), F.nullif(description_from_details(F.col(json_col)), F.lit(MISSING_MARK)).alias("description"))
+    det = det.where(F.col("key").isNotNull() & (F.col("key") != MISSING_MARK)).groupBy("key").agg(F.min("description").alias("description"))
+    keyed = F.when(F.col("key") != MISSING_MARK, F.col("key")).otherwise(F.concat(F.lit("\u0000"), F.xxhash64(*books.columns).cast("string")))
+    out = books.withColumn("_k", keyed).join(det.withColumnRenamed("key", "_k"), "_k", "left").drop("_k")
+    return out.withColumn("description", F.coalesce("description", F.lit(MISSING_MARK)))
 
 
 def union_ingests(*frames: DataFrame) -> DataFrame:
@@ -102,10 +108,19 @@ def union_ingests(*frames: DataFrame) -> DataFrame:
 
 
 def parse_change_requests(df: DataFrame, json_col: str = "json") -> DataFrame:
-    """``{action, book_data[], book_ids[]}`` request bodies to typed columns."""
-    return spread(df).withColumn("req", F.from_json(F.col(json_col), CHANGE_REQUEST)).select(
+    """``{action, book_data[], book_ids[]}`` request bodies to typed columns.
+
+    ``unknown`` lists, per entry of ``book_data``, the keys that are no book field (D13). A malformed body has a null
+    action. ``seq`` is taken from the body where ``df`` has no such column.
+    """
+    body = F.col(json_col)
+    keys = F.from_json(body, "book_data array<map<string,string>>")["book_data"]
+    known = F.array(*[F.lit(f) for f in BOOK_FIELDS])
+    out = df.withColumn("req", F.from_json(body, CHANGE_REQUEST)).select(
         "*", F.col("req.action").alias("action"), F.col("req.book_data").alias("book_data"),
-        F.col("req.book_ids").alias("book_ids")).drop("req")
+        F.col("req.book_ids").alias("book_ids"),
+        F.transform(keys, lambda m: F.array_sort(F.array_except(F.map_keys(m), known))).alias("unknown")).drop("req")
+    return out if "seq" in df.columns else out.withColumn("seq", F.get_json_object(body, "$.seq").try_cast("long"))
 
 
 def parse_search_requests(df: DataFrame, json_col: str = "json") -> DataFrame:
@@ -119,7 +134,7 @@ def read_timing_log(spark: SparkSession, path: str) -> DataFrame:
     """Text lines ``"threads, seconds"`` to two numbers."""
     lines = spark.read.text(path)
     parts = F.split(F.trim("value"), ", ")
-    return lines.where(F.trim("value") != "").select(
-        F.element_at(parts, 1).cast("double").cast("int").alias("threads"),
-        F.element_at(parts, 2).cast("double").alias("seconds"))
+    # Lines that are not two numbers are left out.
+    return lines.select(F.get(parts, F.lit(0)).try_cast("double").try_cast("int").alias("threads"),
+                        F.get(parts, F.lit(1)).try_cast("double").alias("seconds")).where("threads is not null and seconds is not null")
 

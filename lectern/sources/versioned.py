@@ -1,8 +1,9 @@
 """Versioned catalogue tables on shared storage (D15: a batch publishes a new version whole).
 
-Layout under ``root``: ``books/version=N``, ``postings/version=N``, ``rejected/version=N`` and a commit log
-``_commits`` (one row per published version). A version counts only once its commit row exists, so a batch that
-fails half-way is invisible; re-running it overwrites its own directories (idempotent).
+Layout under ``root``: one directory ``<table>/version=N`` per table and version, and a commit log ``_commits`` with a row
+per published version: its number, the highest book id ever issued, the tables it has, and the stream and batch it came
+from. A version counts only once its commit row exists, so a batch that fails half-way is invisible; the next attempt
+overwrites its directories.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+COMMIT = "version long, max_id long, tables array<string>, stream string, batch_id long"
+
 
 def table_path(root: str, name: str, version: int) -> str:
     return f"{root.rstrip('/')}/{name}/version={version}"
@@ -20,32 +23,41 @@ def publish(df: DataFrame, root: str, name: str, version: int) -> None:
     df.write.mode("overwrite").parquet(table_path(root, name, version))
 
 
-def commit(spark: SparkSession, root: str, version: int, max_id: int | None = None) -> None:
+def commit(spark: SparkSession, root: str, version: int, max_id: int | None = None, tables: list[str] | None = None,
+           stream: str | None = None, batch_id: int | None = None) -> None:
     """Append the commit row of ``version``; ``max_id`` records the highest book id ever issued so far."""
-    row = [(int(version), None if max_id is None else int(max_id))]
-    spark.createDataFrame(row, "version long, max_id long").write.mode("append").parquet(f"{root.rstrip('/')}/_commits")
+    row = [(int(version), None if max_id is None else int(max_id), tables, stream, batch_id)]
+    spark.createDataFrame(row, COMMIT).write.mode("append").parquet(f"{root.rstrip('/')}/_commits")
 
 
-def issued_ids_floor(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Highest book id recorded by the committed versions (so deleted ids are never issued again)."""
+def commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        log = spark.read.parquet(f"{root.rstrip('/')}/_commits")
+        return spark.read.schema(COMMIT).parquet(f"{root.rstrip('/')}/_commits")
     except AnalysisException:
         return None
-    if below is not None:
-        log = log.where(F.col("version") < below)
-    return log.agg(F.max("max_id")).first()[0]
 
 
-def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Largest committed version (optionally below a bound); None when nothing is committed."""
-    try:
-        log = spark.read.parquet(f"{root.rstrip('/')}/_commits")
-    except AnalysisException:
-        return None
-    if below is not None:
-        log = log.where(F.col("version") < below)
-    return log.agg(F.max("version")).first()[0]
+def issued_ids_floor(spark: SparkSession, root: str) -> int | None:
+    """Highest book id recorded by the committed versions (so deleted ids are never issued again)."""
+    log = commits(spark, root)
+    return None if log is None else log.agg(F.max("max_id")).first()[0]
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    """Largest committed version; None when nothing is committed."""
+    log = commits(spark, root)
+    return None if log is None else log.agg(F.max("version")).first()[0]
+
+
+def version_tables(spark: SparkSession, root: str, version: int) -> list[str]:
+    """The tables a committed version has."""
+    row = commits(spark, root).where(F.col("version") == version).select("tables").first()
+    return list(row[0] or []) if row else []
+
+
+def batch_is_committed(spark: SparkSession, root: str, stream: str, batch_id: int) -> bool:
+    log = commits(spark, root)
+    return log is not None and not log.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty()
 
 
 def read_version(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:

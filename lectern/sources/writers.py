@@ -25,7 +25,7 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 def write_csv(df: DataFrame, path: str, null_value: str = "", mode: str = "errorifexists") -> str:
     """K1 (CSV option) / K4: header row, fixed column order, quoted multi-line fields."""
     (df.write.mode(mode).option("header", True).option("escape", '"').option("nullValue", null_value)
-     .csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

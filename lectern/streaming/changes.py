@@ -1,56 +1,103 @@
-"""Change stream (M8 in ``foreachBatch``): admin requests arrive as files; each micro-batch is applied as one
+"""Change stream (M8 in ``foreachBatch``): admin requests arrive as lines of JSON; each micro-batch is applied as one
 batch in ``seq`` order on top of the latest committed catalogue version and published as the next version.
 
-Exactly-once per batch: the batch's tables are written to directories named by the batch id and committed last,
-so a replayed batch (after a failure, from the streaming checkpoint) overwrites its own output and reads the
-same previous version.
+The next version is the last committed one plus 1, whatever the batch's number, and its commit row names the stream and
+batch. So a new stream (a fresh checkpoint) goes on from the catalogue as it is, and a replayed batch finds itself committed
+and does nothing. All tables of the catalogue move together: books, postings, vocabulary, vectors and, in a lemmatised
+index, lemmas. Every version is written whole.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators.changes import apply_requests
-from lectern.schemas import CHANGE_REQUEST
-from lectern.sources.versioned import commit, issued_ids_floor, latest_version, publish, read_version
+from lectern.operators.embed import hashed_vectors
+from lectern.operators.lemmas import lemma_map
+from lectern.operators.postings import build_postings, vocabulary
+from lectern.sources.readers import parse_change_requests
+from lectern.sources.versioned import (batch_is_committed, commit, issued_ids_floor, latest_version, publish,
+                                       read_version, version_tables)
+
 
-REQUEST_RECORD = ", ".join(["seq long"] + [f"{f.name} {f.dataType.simpleString()}" for f in CHANGE_REQUEST.fields])
-INITIAL_VERSION = -1
+def publish_initial(spark: SparkSession, root: str, books: DataFrame, postings: DataFrame, vectors: DataFrame | None = None) -> None:
+    """Version 0 of a catalogue that was not built by ``build_index``."""
+    tables = {"books": books, "postings": postings, "vocabulary": vocabulary(postings)}
+    if vectors is not None:
+        tables["vectors"] = vectors
+    for name, df in tables.items():
+        publish(df, root, name, 0)
+    stored = read_version(spark, root, "books", 0)
+    commit(spark, root, 0, stored.agg(F.max("book_id")).first()[0], list(tables))
 
 
-def publish_initial(spark: SparkSession, root: str, books: DataFrame, postings: DataFrame) -> None:
-    """Version -1: the catalogue before any change batch."""
-    publish(books, root, "books", INITIAL_VERSION)
-    publish(postings, root, "postings", INITIAL_VERSION)
-    stored = read_version(spark, root, "books", INITIAL_VERSION)
-    commit(spark, root, INITIAL_VERSION, stored.agg(F.max("book_id")).first()[0])
+def apply_to_catalogue(spark: SparkSession, root: str, requests: DataFrame, stream: str | None = None,
+                       batch_id: int | None = None, embed=None) -> int:
+    """Apply a table of requests to the catalogue under ``root`` and publish the next version; returns its number.
 
+    ``embed`` gives vectors for changed books; the default is the built-in embedder in the stored vectors' size. In a
+    lemmatised index, tokens of changed books that have no lemma yet get one, with all tokens known by then as lexicon.
+    """
+    prev = latest_version(spark, root)
+    have = version_tables(spark, root, prev)
+    old = {name: read_version(spark, root, name, prev) for name in have}
+    if embed is None and "vectors" in old:
+        dim = old["vectors"].select(F.size("embedding")).first()
+        embed = lambda df: hashed_vectors(df, dim=dim[0]) if dim else hashed_vectors(df)
+    floor, now = issued_ids_floor(spark, root), prev + 1
+    kw = {"vectors": old.get("vectors"), "embed": embed, "id_floor": floor}
+    out = apply_requests(old["books"], requests, postings=old.get("postings"), **kw)
+    publish(out.books, root, "books", now)
+    books = read_version(spark, root, "books", now)
+    if "lemmas" in old:
+        changed = books.join(out.touched.distinct(), "book_id", "left_semi")
+        surface = build_postings(changed)
+        new = surface.select("token").distinct().join(old["lemmas"], "token", "left_anti")
+        lemmas = old["lemmas"].unionByName(lemma_map(new, old["lemmas"].select("token").unionByName(new)))
+        publish(lemmas, root, "lemmas", now)
+        lemmas = read_version(spark, root, "lemmas", now)
+        fresh = surface.join(lemmas, "token", "left").select(F.coalesce("lemma", "token").alias("token"), "book_id").distinct()
+        kept = old["postings"].join(out.touched.distinct(), "book_id", "left_anti").select("token", "book_id")
+        out.postings = kept.unionByName(fresh)
+    if out.postings is not None:
+        publish(out.postings, root, "postings", now)
+        publish(vocabulary(read_version(spark, root, "postings", now)), root, "vocabulary", now)
+    if out.vectors is not None:
+        publish(out.vectors, root, "vectors", now)
+    publish(out.rejected.withColumn("batch_id", F.lit(batch_id).cast("long")), root, "rejected", now)
+    publish(out.issued, root, "issued", now)
+    top = books.agg(F.max("book_id")).first()[0]
+    tables = [n for n in ("books", "postings", "vocabulary", "vectors", "lemmas") if n in have or n == "vocabulary" and "postings" in have]
+    commit(spark, root, now, max((x for x in (top, floor) if x is not None), default=None), tables, stream, batch_id)
+    return now
 
-def batch_writer(root: str):
-    """The ``foreachBatch`` body: apply one micro-batch of requests and publish the next version."""
+
+def batch_writer(root: str, stream_id, embed=None):
+    """The ``foreachBatch`` body; ``stream_id()`` names the stream, and stays the same over restarts from its checkpoint."""
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = latest_version(spark, root, below=batch_id)
-        books = read_version(spark, root, "books", prev)
-        postings = read_version(spark, root, "postings", prev)
-        out = apply_requests(books, batch, postings=postings, id_floor=issued_ids_floor(spark, root, below=batch_id))
-        # Cut lineage to the previous version: the new version is written in full before it is committed.
-        publish(out.books, root, "books", batch_id)
-        publish(out.postings, root, "postings", batch_id)
-        publish(out.rejected.withColumn("batch_id", F.lit(batch_id)), root, "rejected", batch_id)
-        issued = read_version(spark, root, "books", batch_id).agg(F.max("book_id")).first()[0]
-        floor = issued_ids_floor(spark, root, below=batch_id)
-        commit(spark, root, batch_id, max(x for x in (issued, floor, -1) if x is not None))
+        spark, stream = batch.sparkSession, stream_id()
+        if not batch_is_committed(spark, root, stream, batch_id):
+            requests = parse_change_requests(batch.withColumnRenamed("value", "json"))
+            apply_to_catalogue(spark, root, requests, stream, batch_id, embed)
     return apply_batch
 
 
 def run_change_stream(spark: SparkSession, requests_dir: str, root: str, checkpoint: str,
-                      files_per_batch: int | None = None):
+                      files_per_batch: int | None = None, embed=None):
     """Process every request file present in ``requests_dir`` (``availableNow``) and return the query handle."""
-    reader = spark.readStream.schema(REQUEST_RECORD)
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    stream = reader.json(requests_dir)
-    return (stream.writeStream.foreachBatch(batch_writer(root))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    started, handle = threading.Event(), []
+
+    def stream_id() -> str:
+        started.wait()
+        return str(handle[0].id)
+    query = (reader.text(requests_dir).writeStream.foreachBatch(batch_writer(root, stream_id, embed))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    handle.append(query)
+    started.set()
+    return query

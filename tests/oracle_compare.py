@@ -93,7 +93,7 @@ def main(argv):
         spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
                  .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     else:
-        spark = local_session(8, 8)
+        spark = local_session(os.environ.get("COMPARE_CORES", "8"), 8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
