@@ -18,9 +18,9 @@ def test_dedupe_edge_rows(spark):
                    (2, "Dune", "Someone", 1965, "fiction", "i5", 1)]
 
 
-def test_sequential_ids_across_blocks(spark):
+def test_sequential_ids_over_tasks(spark):
     df = spark.createDataFrame([(p,) for p in [3, 17, 4, 100, 101, 5, 64]], "pos long")
-    got = rows(sequential_ids(df, "pos", "id", block=8), "pos", "id")
+    got = rows(sequential_ids(df.repartition(3), "pos", "id"), "pos", "id")
     assert got == [(3, 0), (4, 1), (5, 2), (17, 3), (64, 4), (100, 5), (101, 6)]
 
 

@@ -1,148 +1,206 @@
+"""Change batches and the change stream on a small catalogue of sea charts."""
+
 import json
 
-from pyspark.sql import functions as F
+import pytest
 
 from conftest import rows
-from lectern.operators.changes import apply_requests
-from lectern.operators.postings import build_postings
+from lectern.operators.changes import apply_changes, apply_requests, order_key, route_requests
+from lectern.operators.embed import hashed_vectors
+from lectern.operators.postings import build_postings, vocabulary
+from lectern.plans.index_build import build_index
+from lectern.plans.search import hybrid_search
+from lectern.session import scratch_path
 from lectern.sources.readers import parse_change_requests
+from lectern.sources.versioned import latest_version, read_version
+from lectern.streaming.changes import apply_to_catalogue, publish_initial, run_change_stream
 
-BOOK = {"title": "Book Title", "author": "Author Name", "description": "This is a sample description for the book.",
-        "isbn": "1234567890", "publish_year": "2020", "genre": "Fiction"}
+SCHEMA = "book_id long, title string, author string, description string, isbn string, publish_year int, genre string"
+CHARTS = [(4, "Northern Skerries", "Ødegaard", "depths of the skerries", "n4", 1931, "chart"),
+          (5, "Gulf Tides", "Marchetti", "tides and currents", "n5", 1948, "chart"),
+          (9, "Harbour Lights", "Okafor", "lamps along the quay", "n9", 1902, "list"),
+          (12, "Reef Passages", "Tamihana", "narrow ways through coral", None, None, "chart")]
+NEW = {"title": "Ice Edge", "author": "Lindqvist", "description": "the edge of pack ice", "publish_year": "1955"}
 
 
-def _books(spark):
-    return spark.createDataFrame(
-        [(0, "Alpha", "Ann", "first sample text", "1", 2001, "g"), (1, "Beta", "Bob", "second text", "2", 2002, "g"),
-         (2, "Gamma", "Cid", "third text", "3", 2003, "g")],
-        "book_id long, title string, author string, description string, isbn string, publish_year int, genre string")
+@pytest.fixture(scope="module")
+def charts(spark):
+    return spark.createDataFrame(CHARTS, SCHEMA)
 
 
-def _reqs(spark, *reqs):
-    return parse_change_requests(spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(reqs)],
-                                                       "seq long, json string"))
+def reqs(spark, *bodies, seqs=None):
+    seqs = list(range(len(bodies))) if seqs is None else seqs
+    text = [b if isinstance(b, str) else json.dumps(b) for b in bodies]
+    return parse_change_requests(spark.createDataFrame(list(zip(seqs, text)), "seq long, json string"))
 
 
-def _apply(spark, *reqs, books=None):
-    books = books if books is not None else _books(spark)
-    return apply_requests(books, _reqs(spark, *reqs), postings=build_postings(books))
+def add(*data, ids=None):
+    return {"action": "add_book", "book_data": list(data), **({"book_ids": ids} if ids else {})}
 
 
-def test_add_gets_next_id_and_defaults(spark):
-    out = _apply(spark, {"action": "add_book", "book_data": [BOOK, {"title": "Only title"}]})
-    got = {r["book_id"]: r for r in out.books.collect()}
-    assert set(got) == {0, 1, 2, 3, 4}
-    assert got[3]["title"] == "Book Title" and got[3]["publish_year"] == 2020
-    assert got[4]["author"] == "" and got[4]["isbn"] == "0" and got[4]["publish_year"] == 0
+def edit(ids, *data):
+    return {"action": "edit_book", "book_ids": ids, "book_data": list(data)}
 
 
-def test_delete_removes_book_and_postings(spark):
-    out = _apply(spark, {"action": "delete_book", "book_ids": ["1"]})
-    assert {r[0] for r in out.books.select("book_id").collect()} == {0, 2}
-    assert out.postings.where("book_id = 1").count() == 0
+def drop(*ids):
+    return {"action": "delete_book", "book_ids": list(ids)}
 
 
-def test_update_changes_fields_and_old_words_stop_matching(spark):
-    out = _apply(spark, {"action": "edit_book", "book_ids": ["0"],
-                         "book_data": [{"title": "Updated Book Title", "author": "Updated Author Name",
-                                        "description": "Updated description of the book."}]})
-    b = out.books.where("book_id = 0").first()
-    assert (b["title"], b["author"], b["isbn"]) == ("Updated Book Title", "Updated Author Name", "1")
-    toks = {r[0] for r in out.postings.where("book_id = 0").collect()}
-    assert "updated" in toks and "sample" not in toks and "alpha" not in toks
+def by_id(df):
+    return {r["book_id"]: r for r in df.collect()}
 
 
-def test_ten_adds_in_one_batch_get_ten_ids(spark):
-    book = {"title": "Concurrent Book", "author": "Author Name", "description": "This is a book added concurrently."}
-    out = _apply(spark, *[{"action": "add_book", "book_data": [book]} for _ in range(10)],
-                 books=_books(spark).where("false"))
-    assert sorted(r[0] for r in out.books.select("book_id").collect()) == list(range(10))
+def test_added_rows_get_the_next_ids_and_defaults(spark, charts):
+    out = apply_requests(charts, reqs(spark, add(NEW, {"title": "Soundings"}), add({"author": "Anon"})))
+    got = by_id(out.books)
+    assert sorted(got) == [4, 5, 9, 12, 13, 14, 15]
+    assert (got[13]["title"], got[13]["publish_year"], got[13]["isbn"]) == ("Ice Edge", 1955, "0")
+    assert (got[14]["title"], got[14]["author"], got[14]["publish_year"]) == ("Soundings", "", 0)
+    assert rows(out.issued) == [(0, 0, 13), (0, 1, 14), (1, 0, 15)]
 
 
-def test_fold_rules_and_rejections(spark):
-    out = _apply(
-        spark,
-        {"action": "edit_book", "book_ids": ["7"], "book_data": [{"title": "x"}]},          # 0 unknown id
-        {"action": "edit_book", "book_ids": ["0"], "book_data": [{"title": "first"}]},      # 1 applied, then deleted
-        {"action": "delete_book", "book_ids": ["0"]},                                      # 2 applied
-        {"action": "edit_book", "book_ids": ["0"], "book_data": [{"title": "late"}]},       # 3 after delete
-        {"action": "delete_book", "book_ids": ["0"]},                                      # 4 after delete
-        {"action": "edit_book", "book_ids": ["1", "2", "3"], "book_data": [{"title": "B1"}, {"author": "A2"}]},  # 5
-        {"action": "edit_book", "book_ids": ["1"], "book_data": [{"title": "B2"}]},         # 6 latest title wins
-        {"action": "shout"},                                                                # 7 invalid action
-        {"action": "add_book", "book_data": []},                                            # 8 missing data
-        {"action": "view_books"},                                                           # 9 no change
-    )
-    books = {r["book_id"]: r for r in out.books.collect()}
-    assert set(books) == {1, 2}
-    assert books[1]["title"] == "B2" and books[1]["author"] == "Bob"
-    assert books[2]["author"] == "A2" and books[2]["title"] == "Gamma"
-    rej = rows(out.rejected, "seq", "reason")
-    assert rej == [(0, "unknown id"), (3, "after delete"), (4, "after delete"), (7, "invalid action"),
-                   (8, "missing data")]
-
-
-def test_upsert_with_given_id_starts_the_id_anew(spark):
-    from lectern.operators.changes import apply_changes
-    books = _books(spark)
-    changes = spark.createDataFrame(
-        [(0, 0, "delete", 2, None, None), (1, 0, "add", 2, "Reborn", None), (2, 0, "edit", 2, None, "New author")],
-        "seq long, pos int, action string, book_id long, title string, author string")
-    for f, t in [("description", "string"), ("isbn", "string"), ("publish_year", "int"), ("genre", "string")]:
-        changes = changes.withColumn(f, F.lit(None).cast(t))
-    changes = changes.withColumn("ord", F.shiftleft("seq", 20) + F.col("pos"))
-    out = apply_changes(books, changes)
-    b = out.books.where("book_id = 2").first()
-    assert (b["title"], b["author"], b["isbn"]) == ("Reborn", "New author", "0")
-    assert out.rejected.count() == 0
-
-
-def test_incremental_postings_equal_rebuild(spark):
-    out = _apply(spark, {"action": "edit_book", "book_ids": ["2"], "book_data": [{"description": "brand new words"}]},
-                 {"action": "add_book", "book_data": [BOOK]}, {"action": "delete_book", "book_ids": ["1"]})
+def test_edits_and_deletes_move_books_and_postings(spark, charts):
+    out = apply_requests(charts, reqs(spark, edit(["5", "9"], {"description": "slack water"}, {"title": "Leading Marks", "publish_year": "1911"}), drop("4")),
+                         postings=build_postings(charts))
+    got = by_id(out.books)
+    assert sorted(got) == [5, 9, 12]
+    assert (got[5]["title"], got[5]["description"], got[9]["title"], got[9]["author"], got[9]["publish_year"]) == (
+        "Gulf Tides", "slack water", "Leading Marks", "Okafor", 1911)
+    words = {}
+    for token, book in rows(out.postings):
+        words.setdefault(book, set()).add(token)
+    assert 4 not in words and "slack" in words[5] and "currents" not in words[5] and "lights" not in words[9]
     assert rows(out.postings) == rows(build_postings(out.books))
 
 
-def test_vectors_follow_the_batch(spark):
-    from lectern.operators.embed import hashed_vectors
-    books = _books(spark)
+def test_many_adds_in_one_batch_get_distinct_ids(spark, charts):
+    out = apply_requests(charts.limit(0), reqs(spark, *[add({"title": f"Sheet {k}"}) for k in range(25)]))
+    assert [(r["book_id"], r["title"]) for r in out.books.orderBy("book_id").collect()] == [(k, f"Sheet {k}") for k in range(25)]
+
+
+def test_fold_in_arrival_order(spark, charts):
+    out = apply_requests(charts, reqs(
+        spark,
+        edit(["12"], {"title": "one"}), edit(["12"], {"title": "two", "genre": "atlas"}),      # 0, 1: latest wins per field
+        drop("4"), edit(["4"], {"title": "late"}), drop("4"),                                    # 2-4: after the delete
+        edit(["77"], {"title": "none"}), drop("78"),                                             # 5, 6: unknown
+        {"action": "sail"}, add(), {"action": "edit_book", "book_ids": ["5"]},                   # 7-9: no such request
+        edit(["5", "9", "12"], {"isbn": "x5"}, {"isbn": "x9"}), {"action": "view_books"}))       # 10: cut to two pairs
+    got = by_id(out.books)
+    assert sorted(got) == [5, 9, 12] and (got[12]["title"], got[12]["genre"], got[12]["isbn"]) == ("two", "atlas", None)
+    assert (got[5]["isbn"], got[9]["isbn"]) == ("x5", "x9")
+    assert rows(out.rejected, "seq", "reason") == [
+        (3, "after delete"), (4, "after delete"), (5, "unknown id"), (6, "unknown id"), (7, "invalid action"),
+        (8, "missing data"), (9, "missing data")]
+
+
+def test_bad_input_is_rejected_and_the_rest_applied(spark, charts):
+    out = apply_requests(charts, reqs(
+        spark, edit(["five", "9"], {"title": "a"}, {"title": "kept"}), add({"title": "b", "publish_year": "c. 1850"}, {"title": "good"}),
+        edit(["5"], {"title": "Tidal Streams", "colour": "blue", "scale": 3}), drop(None, " 12 "), '{"action": ', add(NEW),
+        seqs=[0, 1, 2, 3, 4, None]))
+    got = by_id(out.books)
+    assert sorted(got) == [4, 5, 9, 13] and got[9]["title"] == "kept" and got[5]["title"] == "Tidal Streams" and got[13]["title"] == "good"
+    assert sorted((r["seq"] if r["seq"] is not None else -1, r["reason"]) for r in out.rejected.collect()) == [
+        (-1, "missing seq"), (0, "bad id"), (1, "bad year"), (2, "unknown field: colour, scale"), (3, "bad id"), (4, "invalid action")]
+
+
+def test_order_holds_for_any_seq_and_pos(spark, charts):
+    """Microsecond seqs and positions beyond 2^20 keep their order: the later edit wins."""
+    base = 1_700_000_000_000_000
+    text = [(base, 1 << 20, "edit", 5, "first"), (base + 1, 0, "edit", 5, "second"), (base, 3 << 20, "edit", 9, "far"), (base, 5, "edit", 9, "near")]
+    changes = spark.createDataFrame(text, "seq long, pos int, action string, book_id long, title string")
+    for f, t in [("author", "string"), ("description", "string"), ("isbn", "string"), ("publish_year", "int"), ("genre", "string")]:
+        changes = changes.selectExpr("*", f"CAST(NULL AS {t}) AS {f}")
+    got = by_id(apply_changes(charts, changes.withColumn("ord", order_key())).books)
+    assert got[5]["title"] == "second" and got[9]["title"] == "far"
+
+
+def test_adds_under_given_ids_start_the_id_anew(spark, charts):
+    out = apply_requests(charts, reqs(
+        spark, drop("9"), add({"title": "Buoys"}, {"title": "Wrecks"}, {"title": "Free"}, ids=["9", "40"]),
+        edit(["9"], {"author": "Pilot"}), drop("40"), add({"title": "Anchorages"}, ids=["40"]), add({"title": "x"}, ids=["forty"])),
+        postings=build_postings(charts))
+    got = by_id(out.books)
+    assert (got[9]["title"], got[9]["author"], got[9]["isbn"]) == ("Buoys", "Pilot", "0") and got[40]["title"] == "Anchorages"
+    assert got[41]["title"] == "Free" and rows(out.issued, "book_id") == [(41,)]
+    assert rows(out.rejected, "seq", "reason") == [(5, "bad id")] and rows(out.postings) == rows(build_postings(out.books))
+
+
+def test_routing_pairs_ids_with_rows(spark):
+    got, bad = route_requests(reqs(spark, edit(["1", "2", "3"], {"title": "a"}, {"title": "b"}), drop("7")))
+    assert rows(got, "seq", "pos", "action", "book_id", "title") == sorted(
+        [(0, 0, "edit", 1, "a"), (0, 1, "edit", 2, "b"), (1, 0, "delete", 7, None)], key=str)
+    assert bad.count() == 0
+
+
+def test_vectors_follow_the_batch(spark, charts):
     embed = lambda df: hashed_vectors(df, dim=8)
-    out = apply_requests(books, _reqs(spark, {"action": "delete_book", "book_ids": ["0"]},
-                                      {"action": "edit_book", "book_ids": ["1"], "book_data": [{"title": "New"}]},
-                                      {"action": "add_book", "book_data": [BOOK]}),
-                         vectors=embed(books), embed=embed)
-    got = {r["book_id"]: r["embedding"] for r in out.vectors.collect()}
-    assert set(got) == {1, 2, 3}
-    fresh = {r["book_id"]: r["embedding"] for r in embed(out.books).collect()}
-    assert all(max(abs(a - b) for a, b in zip(got[k], fresh[k])) < 1e-6 for k in got)
-
-
-def test_batch_without_changes_keeps_the_catalogue(spark):
-    out = _apply(spark, {"action": "view_books"}, {"action": "nothing"})
-    assert rows(out.books) == rows(_books(spark))
-    assert rows(out.rejected, "seq", "reason") == [(1, "invalid action")]
-
-
-def test_materialize_empty_table(spark):
-    from lectern.session import materialize
-    empty = spark.createDataFrame([], "a long, b array<string>")
-    back = materialize(empty)
-    assert back.count() == 0 and back.schema == empty.schema
-
-
-def test_fresh_ids_skip_upserted_ids(spark):
-    from lectern.operators.changes import apply_changes
-    changes = spark.createDataFrame([(0, 0, "add", 10, "Given"), (1, 0, "add", None, "Fresh")],
-                                    "seq long, pos int, action string, book_id long, title string")
-    for f, t in [("author", "string"), ("description", "string"), ("isbn", "string"), ("publish_year", "int"),
-                 ("genre", "string")]:
-        changes = changes.withColumn(f, F.lit(None).cast(t))
-    changes = changes.withColumn("ord", F.shiftleft("seq", 20) + F.col("pos"))
-    got = rows(apply_changes(_books(spark), changes).books, "book_id", "title")
-    assert got[-2:] == [(10, "Given"), (11, "Fresh")]
-
-
-def test_deleted_top_id_is_not_issued_again(spark):
-    out = _apply(spark, {"action": "delete_book", "book_ids": ["2"]})
-    again = apply_requests(out.books, _reqs(spark, {"action": "add_book", "book_data": [BOOK]}), id_floor=2)
-    assert sorted(r[0] for r in again.books.select("book_id").collect()) == [0, 1, 3]
+    out = apply_requests(charts, reqs(spark, drop("4"), edit(["5"], {"title": "Ebb"}), add(NEW)), vectors=embed(charts), embed=embed)
+    got, want = ({r["book_id"]: r["embedding"] for r in df.collect()} for df in (out.vectors, embed(out.books)))
+    assert set(got) == set(want) == {5, 9, 12, 13}
+    assert all(max(abs(a - b) for a, b in zip(got[k], want[k])) < 1e-6 for k in got)
+
+
+def test_nothing_to_change(spark, charts):
+    out = apply_requests(charts, reqs(spark, {"action": "view_books"}, {"action": "dive"}))
+    assert rows(out.books) == rows(charts) and rows(out.rejected, "seq", "reason") == [(1, "invalid action")]
+    assert apply_requests(charts, reqs(spark, add(NEW)).limit(0)).books.count() == len(CHARTS)
+
+
+def test_deleted_ids_are_not_issued_again(spark, charts):
+    root = scratch_path(spark, "floor")
+    publish_initial(spark, root, charts, build_postings(charts))
+    apply_to_catalogue(spark, root, reqs(spark, drop("12")))
+    now = apply_to_catalogue(spark, root, reqs(spark, add(NEW)))
+    assert rows(read_version(spark, root, "books", now), "book_id") == [(4,), (5,), (9,), (13,)]
+    assert rows(read_version(spark, root, "issued", now), "book_id") == [(13,)]
+
+
+def land(spark, inbox, *bodies):
+    lines = spark.createDataFrame([(json.dumps({"seq": k, **b}),) for k, b in enumerate(bodies)], "value string")
+    lines.coalesce(1).write.mode("append").text(inbox)
+
+
+def test_stream_on_a_built_index_keeps_all_tables_in_step(spark, charts):
+    """build_index, then requests through the stream: an added chart can be found, a fresh checkpoint goes on from the last
+    version, and a replayed batch changes nothing."""
+    root, inbox, checkpoint = (scratch_path(spark, n) for n in ("stream-index", "stream-in", "stream-ckpt"))
+    build_index(spark, charts, root, dim=16)
+    land(spark, inbox, add(NEW), drop("4"))
+    run_change_stream(spark, inbox, root, checkpoint).awaitTermination()
+    v = latest_version(spark, root)
+    t = {n: read_version(spark, root, n, v) for n in ("books", "postings", "vectors", "vocabulary")}
+    assert v == 1 and rows(t["books"], "book_id") == [(5,), (9,), (12,), (13,)] == rows(t["vectors"], "book_id")
+    assert rows(t["vocabulary"]) == rows(vocabulary(build_postings(t["books"])))
+    q = spark.createDataFrame([(1, "pack ice")], "query_id long, text string")
+    qv = hashed_vectors(q, "query_id", q["text"], dim=16).withColumnRenamed("book_id", "query_id")
+    assert [r["title"] for r in hybrid_search(q, t["postings"], t["vectors"], t["books"], qv).collect()] == ["Ice Edge"]
+    run_change_stream(spark, inbox, root, checkpoint).awaitTermination()  # nothing new
+    assert latest_version(spark, root) == 1
+    inbox2 = scratch_path(spark, "stream-in2")
+    land(spark, inbox2, add({"title": "Three"}))
+    run_change_stream(spark, inbox2, root, scratch_path(spark, "stream-ckpt2")).awaitTermination()  # batch 0 of another stream
+    v = latest_version(spark, root)
+    assert v == 2 and rows(read_version(spark, root, "books", v), "book_id", "title")[-1] == (14, "Three")
+
+
+def test_replayed_batch_finds_itself_committed(spark, charts):
+    from lectern.streaming.changes import batch_writer
+    root = scratch_path(spark, "replay")
+    publish_initial(spark, root, charts, build_postings(charts), hashed_vectors(charts, dim=8))
+    write = batch_writer(root, lambda: "s1")
+    lines = spark.createDataFrame([(json.dumps({"seq": 0, **add(NEW)}),)], "value string")
+    write(lines, 0)
+    write(lines, 0)
+    assert latest_version(spark, root) == 1 and read_version(spark, root, "books", 1).count() == 5
+    write(lines, 1)
+    assert read_version(spark, root, "books", 2).count() == 6
+
+
+def test_lemmatised_index_through_a_change(spark, charts):
+    root = scratch_path(spark, "lemma-change")
+    build_index(spark, charts, root, dim=8, lemmatize=True)
+    v = apply_to_catalogue(spark, root, reqs(spark, add({"title": "tide tables", "description": "passage times"}), drop("4")))
+    post = {t for t, b in rows(read_version(spark, root, "postings", v)) if b == 13}
+    assert "tide" in post and {t for t, b in rows(read_version(spark, root, "postings", v)) if b == 4} == set()

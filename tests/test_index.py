@@ -6,8 +6,8 @@ from lectern.operators.postings import build_postings, parse_postings, postings_
 
 def _books(spark):
     return spark.createDataFrame(
-        [(0, "Book One", "Author One", "This is a book about Python programming."),
-         (1, "Book Two", "Author Two", "This is a book about Machine Learning.")],
+        [(0, "Moss Garden", "Ito", "This is all about a garden of moss and stone."),
+         (1, "Herb Garden", "Vidal", "This is about thyme; thyme and sage.")],
         "book_id long, title string, author string, description string")
 
 
@@ -15,8 +15,8 @@ def test_postings_are_distinct_pairs(spark):
     p = build_postings(_books(spark))
     got = rows(p)
     assert len(got) == len(set(got))
-    assert ("python", 0) in got and ("python", 1) not in got
-    assert ("book", 0) in got and ("book", 1) in got
+    assert ("moss", 0) in got and ("moss", 1) not in got and ("thyme", 1) in got
+    assert ("garden", 0) in got and ("garden", 1) in got
     assert not any(t in ("this", "is", "a", "about") for t, _ in got)
 
 
@@ -28,11 +28,11 @@ def test_array_view_blocks_are_bounded(spark):
 
 
 def test_parse_postings_text(spark):
-    df = spark.createDataFrame([("a", "1,2,2"), ("b", ""), ("c", None), ("a", "5")], "token string, doc_ids string")
+    df = spark.createDataFrame([("a", "1,2,2"), ("b", ""), ("c", None), ("a", "5"), ("d", "x, 7,1e3")], "token string, doc_ids string")
     got = rows(parse_postings(df))
-    assert got == sorted([("a", 1), ("a", 2), ("a", 5), ("b", None), ("c", None)], key=lambda r: (r[0], r[1] or -1))
+    assert got == sorted([("a", 1), ("a", 2), ("a", 5), ("b", None), ("c", None), ("d", 7)], key=lambda r: (r[0], r[1] or -1))
     voc = rows(vocabulary(parse_postings(df)))
-    assert voc == [("a", 3)]
+    assert voc == [("a", 3), ("d", 1)]
 
 
 def test_prune_to_live_books(spark):

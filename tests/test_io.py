@@ -31,13 +31,32 @@ def test_export_listing_round_trip(spark):
     assert sorted(r["description"] or "" for r in back.collect()) == ["", 'multi\nline, with "quotes"']
 
 
+def test_csv_keeps_outer_blanks_and_line_breaks(spark):
+    from lectern.sources.writers import write_csv
+    text = ["  lead", "trail  ", "a\nb\n", "\n", 'q"uote', "x,y"]
+    path = scratch_path(spark, "blank-csv")
+    write_csv(spark.createDataFrame([(t, str(k)) for k, t in enumerate(text)], "title string, key string")
+              .selectExpr("title", "'a' AS author", "'1' AS publish_year", "'i' AS isbn", "key", "'g' AS genre", "'d' AS description"), path)
+    got = {r["key"]: r["title"] for r in read_catalogue_csv(spark, path).collect()}
+    assert got == {str(k): t for k, t in enumerate(text)}
+
+
+def test_details_one_per_key_and_malformed_ones(spark):
+    from lectern.sources.readers import enrich_descriptions
+    books = spark.createDataFrame([("A", "k1"), ("B", "k1"), ("C", "k2"), ("D", "N/A"), ("E", "k3"), ("F", None)], "title string, key string")
+    details = spark.createDataFrame([("k1", '{"description": "one"}'), ("k1", '{"description": "one"}'), ("k2", '{"description": {"value": "two"}}'),
+                                     ("k3", '{"descr'), ("N/A", '{"description": "none"}'), (None, '{"description": "x"}')], "key string, json string")
+    got = rows(enrich_descriptions(books, details), "title", "description")
+    assert got == [("A", "one"), ("B", "one"), ("C", "two"), ("D", "N/A"), ("E", "N/A"), ("F", "N/A")]
+
+
 def test_missing_catalogue_is_empty(spark):
     assert read_catalogue_csv(spark, scratch_path(spark, "absent")).count() == 0
 
 
 def test_timing_log_reader(spark):
     path = scratch_path(spark, "log")
-    spark.createDataFrame([("1, 5.5",), ("16, 3.25",), ("",)], "value string").coalesce(1).write.text(path)
+    spark.createDataFrame([("1, 5.5",), ("16, 3.25",), ("",), ("junk",), ("a, b",), ("2, x",)], "value string").coalesce(1).write.text(path)
     assert rows(read_timing_log(spark, path)) == [(1, 5.5), (16, 3.25)]
 
 
@@ -57,10 +76,14 @@ def test_caller_model_and_truncation(spark):
         return lambda texts: np.array([[len(t), t.count("a") + 1.0] for t in texts])
     got = {r["book_id"]: r["embedding"] for r in embed_with(_books(spark), make_model).collect()}
     assert all(abs(sum(x * x for x in v) - 1) < 1e-9 for v in got.values())
-    long = spark.createDataFrame([(0, "word " * 600, "", "")], "book_id long, title string, author string, description string")
-    full = hashed_vectors(long, dim=16).first()["embedding"]
+    long = spark.createDataFrame([(0, " ".join(f"zq{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(600)), "", "")],
+                                 "book_id long, title string, author string, description string")
+    text = long.first()["title"].split(" ")
+    # "title", the 509 first words: 510 tokens of the composed text
+    short = spark.createDataFrame([(0, " ".join(text[:509]))], "book_id long, title string")
     cut = hashed_vectors(long, dim=16, max_tokens=510).first()["embedding"]
-    assert full is not None and cut is not None
+    want = hashed_vectors(short, text=F.concat(F.lit("Title: "), F.col("title")), dim=16).first()["embedding"]
+    assert np.allclose(cut, want) and not np.allclose(cut, hashed_vectors(long, dim=16).first()["embedding"])
 
 
 def test_accent_stripping_is_optional(spark):

@@ -23,14 +23,15 @@ def test_words_keep_order_and_repeats(spark):
 
 
 def test_compose_text_blanks_missing_values(spark):
-    df = spark.createDataFrame([(None, "Ann", "NaN"), ("T", None, "d")], "title string, author string, description string")
+    df = spark.createDataFrame([(None, "Ann", "nan"), ("Nan", None, "d")], "title string, author string, description string")
     got = [r[0] for r in df.select(compose_text()).collect()]
-    assert got == ["Title: , Author: Ann, Description: ", "Title: T, Author: , Description: d"]
+    assert got == ["Title: , Author: Ann, Description: ", "Title: Nan, Author: , Description: d"]
 
 
 def test_is_missing(spark):
     df = spark.createDataFrame([("nan",), ("NaN",), (None,), ("banana",), ("",)], "x string")
-    assert [r[0] for r in df.select(is_missing("x")).collect()] == [True, True, True, False, False]
+    assert [r[0] for r in df.select(is_missing("x")).collect()] == [True, False, True, False, False]
+    assert [r[0] for r in df.select(is_missing("x", any_case=True)).collect()] == [True, True, True, False, False]
 
 
 def test_lemma_rules_with_lexicon(spark):

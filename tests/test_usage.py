@@ -29,7 +29,7 @@ def test_readme_flow(spark):
     requests = parse_change_requests(change_requests_from_events(table(spark, SF, "events")))
     batch = apply_requests(idx["books"], requests, postings=idx["postings"])
     root, inbox = scratch_path(spark, "usage-stream"), scratch_path(spark, "usage-req")
-    requests.select("seq", "action", "book_data", "book_ids").write.json(inbox)
+    requests.select("seq", "action", "book_data", "book_ids").write.json(inbox)  # one JSON request per line
     publish_initial(spark, root, idx["books"], idx["postings"])
     run_change_stream(spark, inbox, root, scratch_path(spark, "usage-ckpt")).awaitTermination()
     streamed = read_version(spark, root, "books", latest_version(spark, root))
