@@ -33,7 +33,7 @@ TITLES = {"Mr": "m", "Herr": "m", "Herrn": "m", "Monsieur": "m", "Sr": "m", "Se
 _WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 _PATTERNS = [  # (cheap test, pattern); earlier ones win where two meet
     (lambda t: "@" in t, re.compile(
-        r"(?P<email>(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9]))")),
+        r"(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9]))")),
     (lambda t: '"' in t or "'" in t, re.compile(
         r"(?i:\b(?:token|secret|api[_-]?key|passw(?:or)?d)\s{0,2}[=:]\s{0,2}[\"'])(?P<secret>[A-Za-z0-9_+/=-]{16,})(?=[\"'])")),
     (re.compile(r"\d").search, re.compile(

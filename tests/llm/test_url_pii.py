@@ -53,6 +53,7 @@ def test_no_labels_and_no_pages(site):
 
 
 SAMPLES = {
+    "..dots@mail1.example.com and -dash_x@y.org, éaccent@z.net;": 3,
     "mail a.b-1@mail5.example.com. THAT.92@MAIL2.EXAMPLE.COM###": 2, "+1 (743) 555-3824, (+44 20 7946 0958)": 2,
     "card 4994226020900891 4994-2260-2090-0891 9870157079875996": 2, "ip 70.23.22.57, 300.1.1.1 1.2.3.4.5 v1.2": 1,
     'token = "2321bac4d15ec8f9" API_KEY: \'AbC123defGHI456jkl\'': 2, "Mr. John Smith met Frau Müller; г-жа Анна Петрова, mr x, Dr who": 5,
