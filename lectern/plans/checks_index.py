@@ -11,13 +11,13 @@ from lectern.operators.postings import (POSTING_BLOCK, build_postings, parse_pos
 from lectern.operators.retrieval import candidate_books, query_tokens
 from lectern.plans import sqltext as q
 from lectern.plans.registry import register
-from lectern.plans.standins import SQL_BOOKS, books_from_documents, queries_from_benchmark, table
+from lectern.plans.standins import SQL_BOOKS, books_from_documents, queries_from_benchmark, spread, table
 from lectern.sources.writers import read_postings_text, write_postings_text
 from lectern.session import scratch_path
 
 
 def catalogue(spark, sf):
-    books = books_from_documents(table(spark, sf, "documents"))
+    books = books_from_documents(spread(table(spark, sf, "documents")))
     return books, build_postings(books)
 
 

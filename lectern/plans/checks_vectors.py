@@ -8,7 +8,7 @@ from lectern.functions.vectors import l2_normalize
 from lectern.operators.embed import MODEL_MAX_TOKENS, coverage_counts, coverage_gaps, fill_missing_vectors, hashed_vectors
 from lectern.plans import sqltext as q
 from lectern.plans.registry import register
-from lectern.plans.standins import SQL_BOOKS, books_from_documents, table, vectors_from_embeddings
+from lectern.plans.standins import SQL_BOOKS, books_from_documents, spread, table, vectors_from_embeddings
 from lectern.session import scratch_path
 from lectern.sources.readers import read_vectors_text, wide_to_vectors
 from lectern.sources.writers import write_vectors_text
@@ -43,7 +43,7 @@ WITH {SQL_HASHED}
 SELECT book_id, CAST(bucket AS BIGINT) AS dim_index, round(value, 6) AS value FROM hv""")
 def q_hashed_vectors(spark, sf):
     """T7c + T9: signed feature-hashed, unit-length vectors of each book's whole composed text (non-zero entries)."""
-    books = books_from_documents(table(spark, sf, "documents"))
+    books = books_from_documents(spread(table(spark, sf, "documents")))
     return _long_form(hashed_vectors(books, dim=HASH_DIM)).where(F.col("value") != 0)
 
 
@@ -124,5 +124,5 @@ WITH books AS ({SQL_BOOKS}), {q.hashed_cte('t', f"SELECT book_id AS id, {q.compo
 SELECT id AS book_id, CAST(bucket AS BIGINT) AS dim_index, round(v, 6) AS value FROM t_vec""")
 def q_truncated_vectors(spark, sf):
     """Vectors of each book's first 510 tokens, as a model with a bounded input sees them."""
-    books = books_from_documents(table(spark, sf, "documents"))
+    books = books_from_documents(spread(table(spark, sf, "documents")))
     return _long_form(hashed_vectors(books, dim=HASH_DIM, max_tokens=MODEL_MAX_TOKENS)).where(F.col("value") != 0)

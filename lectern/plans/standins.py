@@ -23,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of a few files, of one row group each, is read by as few tasks: deal its rows over the cores before heavy work on
+    each row. A table with as many files as there are cores is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
 def books_from_documents(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").cast("long").alias("book_id"),
