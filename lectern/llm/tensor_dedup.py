@@ -2,13 +2,14 @@
 
 Two small collections of ``BANDS`` bands are made from 2 * BANDS * ROWS minhashes. Every pair of a band from the first and a
 band from the second is a table key, so BANDS squared tables need only the square root of the minhashes that separate
-tables would. A pair of similarity s meets in some table with probability (1 - (1 - s^ROWS)^BANDS)^2; that is 0.998 at 0.8
-and 0.99999 at 0.9.
+tables would. A pair of similarity s meets in some table with probability (1 - (1 - s^ROWS)^BANDS)^2; that is 0.9996 at 0.8
+and one in a million less than 1 at 0.9.
 
 Equal shingle sets form one class first (members are never compared). Inside a bucket of a table classes are not paired
 off: all are compared with one pivot, links become components, and only buckets that still hold several components
-go on, with another pivot each time; after ``PIVOTS`` of these, the pairs left across components are compared outright, each once. So
-a large group of near copies costs a few comparisons per member, and no link between bucket mates is lost.
+go on, with another pivot each time; what ``PIVOTS`` of these leave across components is joined by an exact prefix filter. So
+a large group of near copies costs a few comparisons per member, documents that share a common passage do not meet, and
+no link between bucket mates is lost.
 Links are confirmed on full sets of 64-bit shingle hashes.
 """
 
@@ -19,14 +20,15 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm.common import bounded, table, written
 
 SHINGLE = 2
-BANDS, ROWS = 10, 3
+BANDS, ROWS = 12, 3
 PERCENT = 80
-PIVOTS = 3
+PIVOTS = 2
 MEMO_WORDS = 400_000
 SLICE_CHARS = 1 << 20
 
@@ -202,7 +204,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shing
             pairs = live.join(mixed.select("key", "_p"), "key").filter((F.col("root") != F.col("_p.root")) & near(F.col("n"), F.col("_p.n")))
             pairs = pairs.select(F.col("cid").alias("a"), F.col("_p.cid").alias("b")).distinct()
         else:
-            pairs = _across(live.join(mixed.select("key"), "key", "left_semi"), classes, bands, near)
+            pairs = _across(live.join(mixed.select("key"), "key", "left_semi").select("cid", "root").distinct(), sets, percent)
         if done is not None:
             both = done.unionByName(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(both, ["a", "b"], "left_anti")
@@ -238,16 +240,23 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shing
     return out.select("doc_id", "text_hash", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
-def _across(live: DataFrame, classes: DataFrame, bands: int, near) -> DataFrame:
-    """Pairs of bucket mates in different components, each given by the first table in which the two meet."""
-    rich = live.join(classes.select("cid", "bands"), "cid")
-    one = rich.select("key", F.col("cid").alias("a"), F.col("n").alias("_na"), F.col("root").alias("_ra"), F.col("bands").alias("_ba"))
-    two = rich.select("key", F.col("cid").alias("b"), F.col("n").alias("_nb"), F.col("root").alias("_rb"), F.col("bands").alias("_bb"))
-    same = F.transform(F.arrays_zip("_ba", "_bb"), lambda x: x["_ba"] == x["_bb"])
-    i, j = F.array_position(F.slice(same, 1, bands), True) - 1, F.array_position(F.slice(same, bands + 1, bands), True) - 1
-    p = (i * bands + j).cast("int")
-    first = F.xxhash64(p, F.get("_ba", (p / bands).cast("int")), F.get("_ba", bands + p % bands))
-    return one.join(two, (one["key"] == two["key"]) & (F.col("_ra") < F.col("_rb")) & near(F.col("_na"), F.col("_nb")) & (one["key"] == first)).select("a", "b")
+def _across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``nodes(cid, root)`` in different components that may be similar enough, by an exact prefix filter.
+
+    With all shingles in one order, rarest first, two sets of the wanted similarity share one among the first
+    n - ceil(s * n) + 1 of either, and from the first shared one on enough shingles must be left on both sides. Documents
+    that have only a common passage in common differ in their rare shingles, so they hardly meet here.
+    """
+    tokens = nodes.join(sets, "cid").select("cid", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("t"))
+    tokens = written(tokens, "across-shingles")
+    times = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("_c"), (F.min("root") < F.max("root")).alias("_mixed"))
+    place = F.row_number().over(W.partitionBy("cid").orderBy("_c", "t")) - 1
+    first = tokens.join(times, "t").withColumn("i", place).filter((100 * (F.col("n") - F.col("i")) >= percent * F.col("n")) & F.col("_mixed"))
+    first = written(first.select("t", "cid", "root", "n", "i"), "across-prefixes")
+    one, two = (first.select("t", *[F.col(c).alias(c + x) for c in ("cid", "root", "n", "i")]) for x in "ab")
+    left = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    fits = (one["t"] == two["t"]) & (F.col("roota") < F.col("rootb")) & ((100 + percent) * left >= percent * (F.col("na") + F.col("nb")))
+    return one.join(two, fits).select(F.col("cida").alias("a"), F.col("cidb").alias("b")).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
