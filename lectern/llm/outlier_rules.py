@@ -46,7 +46,8 @@ def _doubled(h: Column, step: int) -> Column:
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """Add the counts of ``COUNTS`` to rows with ``text`` (null: empty). Everything stays in the row: windows of eight words
-    are compared by 64-bit hashes, built by doubling; only a text that has a window twice sorts its windows."""
+    are compared by 64-bit hashes, built by doubling; only a text that has a window twice sorts its windows. Write the
+    result before filtering on the counts: a filter moved below them would work them out over and over."""
     text = F.coalesce("text", F.lit(""))
     df = docs.withColumn("_w", words(F.col("text"))).withColumn("n_words", F.size("_w").cast("long"))
     df = df.withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
