@@ -29,7 +29,7 @@ SHINGLE = 2
 BANDS, ROWS = 12, 3
 PERCENT = 80
 PIVOTS = 2
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 SLICE_CHARS = 1 << 20
 
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
