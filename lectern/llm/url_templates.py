@@ -1,14 +1,15 @@
 """URL filter: a path-template tree per host, judged by smoothed labelled purity, under explicit host and path rules.
 
-Level by level, the path segments below a node (host and template so far) are generalised. Segments that are not frequent
-(``MIN_PAGES`` pages and ``MIN_SHARE`` of the node's) are variable: together they are the wildcard ``*``. The frequent ones, at
-most 1 / MIN_SHARE of them, and the wildcard stand in the order of their share of bad pages; neighbours whose shares do not
-differ (two-proportion test, ``Z``) merge into one branch. The branch with the wildcard, else the one with most pages, is ``*``; another
-branch is named by its segment, or ``{a|b}`` if it has several. Templates whose labelled share of bad pages, smoothed towards
+Level by level, the path segments below a node (host and template so far) are generalised. A segment that is not frequent
+(``MIN_PAGES`` pages and ``MIN_SHARE`` of the node's) stays apart, as a branch of its own, if it has ``MIN_LABELLED`` labelled pages,
+however small its share, and its share of bad pages differs from that of the node's rest (two-proportion test, ``Z``). The
+others are variable: together they are the wildcard ``*``. The frequent ones, at most 1 / MIN_SHARE of them, and the wildcard
+stand in the order of their share of bad pages; neighbours whose shares do not differ (same test) merge into one branch. The
+branch with the wildcard, else the one with most pages, is ``*``; another branch is named by its segment, or ``{a|b}`` if it has several. Templates whose labelled share of bad pages, smoothed towards
 the host's and that towards the corpus's, reaches ``BLOCK_AT`` are rejected; one without labels never is.
 
 Levels only aggregate over pages; the literal branches are a small table per level that is joined to the rows, so a host
-with a third of all pages is neither gathered nor shuffled.
+with a third of all pages is neither gathered nor shuffled, and the test of its rare segments needs only the two sums.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
 #: Levels of the tree; what lies deeper is one last segment.
 MAX_DEPTH = 8
 MIN_PAGES, MIN_SHARE, Z = 10, 0.05, 3.0
+#: Labelled pages that a segment below ``MIN_SHARE`` needs to be tested.
+MIN_LABELLED = 10
 PRIOR, BLOCK_AT = 10.0, 0.5
 
 
@@ -60,16 +63,20 @@ def _step(rows: DataFrame, level: int, named: DataFrame) -> DataFrame:
     return rows.withColumn("template", more).drop("_host", "_tpl", "_seg", "_name")
 
 
+def _apart(bad: Column, lab: Column, bad0: Column, lab0: Column) -> Column:
+    """Whether two shares of bad pages differ; not without labels on either side."""
+    all_ = F.try_divide(bad + bad0, lab + lab0)
+    se = F.sqrt(all_ * (1 - all_) * (F.try_divide(F.lit(1), lab) + F.try_divide(F.lit(1), lab0)))
+    return F.coalesce(F.abs(F.try_divide(bad, lab) - F.try_divide(bad0, lab0)) > Z * se, F.lit(False))
+
+
 def _branches(child: DataFrame) -> DataFrame:
     """(_host, _tpl, _seg, _name) of the segments outside the wildcard branch, from a node's few frequent segments and its rest
     (``_seg`` null), each with n, lab and bad."""
     order = W.partitionBy("_host", "_tpl").orderBy("_rate", F.col("_seg").asc_nulls_first())
     child = child.withColumn("_rate", F.try_divide("bad", "lab"))
     l0, b0 = F.lag("lab").over(order), F.lag("bad").over(order)
-    all_ = F.try_divide(F.col("bad") + b0, F.col("lab") + l0)
-    se = F.sqrt(all_ * (1 - all_) * (F.try_divide(F.lit(1), F.col("lab")) + F.try_divide(F.lit(1), l0)))
-    apart = F.coalesce(F.abs(F.col("_rate") - F.try_divide(b0, l0)) > Z * se, F.lit(False))  # null without labels on either side
-    child = child.withColumn("_apart", apart.cast("int"))
+    child = child.withColumn("_apart", _apart(F.col("bad"), F.col("lab"), b0, l0).cast("int"))
     child = child.withColumn("_class", F.sum("_apart").over(order.rowsBetween(W.unboundedPreceding, 0)))
     names = child.groupBy("_host", "_tpl", "_class").agg(
         F.sum("n").alias("_pages"), F.max(F.col("_seg").isNull()).alias("_wild"), F.sort_array(F.collect_list("_seg")).alias("_all"))
@@ -91,10 +98,13 @@ def template_tree(pages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         node = here.groupBy(F.col("host").alias("_host"), F.col("template").alias("_tpl")).agg(*sums)
         child = here.groupBy("host", "template", "_seg").agg(*sums).filter(F.col("n") >= MIN_PAGES).withColumnsRenamed({"n": "_n", "lab": "_lab", "bad": "_bad"})
         both = child.join(node, (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_tpl")))
-        both = written(both.filter(F.col("_n") >= F.col("n") * MIN_SHARE), "frequent-segments")
+        differs = _apart(F.col("_bad"), F.col("_lab"), F.col("bad") - F.col("_bad"), F.col("lab") - F.col("_lab"))
+        both = both.withColumn("_often", F.col("_n") >= F.col("n") * MIN_SHARE)
+        both = written(both.filter(F.col("_often") | ((F.col("_lab") >= MIN_LABELLED) & differs)), "candidate-segments")
         rest = both.groupBy("_host", "_tpl").agg(*[(F.first(c) - F.sum("_" + c)).alias(c) for c in ("n", "lab", "bad")]).filter("n > 0")
-        own = both.select("_host", "_tpl", "_seg", F.col("_n").alias("n"), F.col("_lab").alias("lab"), F.col("_bad").alias("bad"))
+        own = both.filter("_often").select("_host", "_tpl", "_seg", F.col("_n").alias("n"), F.col("_lab").alias("lab"), F.col("_bad").alias("bad"))
         named = _branches(own.unionByName(rest.withColumn("_seg", F.lit(None).cast("string"))))
+        named = named.unionByName(both.filter("not _often").select("_host", "_tpl", "_seg", F.col("_seg").alias("_name")))
         kept = bounded(written(named, "branches"))
         levels.append(kept)
         rows = _step(rows, level, kept)

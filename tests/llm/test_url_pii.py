@@ -52,6 +52,24 @@ def test_no_labels_and_no_pages(site):
     assert urls.filter_urls(pages.limit(0), labels).count() == 0
 
 
+def test_rare_bad_section_of_a_hot_host_is_kept_apart(spark):
+    """A third of all pages on a host of which 1 % is bad, a third on one of 40 equal sections of which one is."""
+    rows, bad = [], []
+    for i in range(6000):
+        kind = "bad" if i % 100 == 0 else f"s{i % 7}"
+        rows.append((i, f"https://hot.test/{kind}/{i}"))
+        rows.append((10_000 + i, f"https://flat.test/s{i % 40}/{i}"))
+        rows.append((20_000 + i, f"https://h{i % 50}.test/a/{i}"))
+        if i % 4 in (0, 1):
+            bad += [(i, int(kind == "bad")), (10_000 + i, int(i % 40 == 1)), (20_000 + i, int(i % 60 == 0))]
+    got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(bad, "page_id long, bad int")).collect()
+    assert len(got) == 18_000
+    seen = {(r.host, r.path.split("/")[1] in ("bad", "s1"), r.template, r.verdict) for r in got if r.host == "flat.test"}
+    assert seen == {("flat.test", True, "/s1/*", "block"), ("flat.test", False, "/*/*", "allow")}
+    seen = {(r.path.startswith("/bad/"), r.template, r.verdict) for r in got if r.host == "hot.test"}
+    assert seen == {(True, "/bad/*", "block"), (False, "/*/*", "allow")}
+
+
 SAMPLES = {
     "..dots@mail1.example.com and -dash_x@y.org, éaccent@z.net;": 3,
     "mail a.b-1@mail5.example.com. THAT.92@MAIL2.EXAMPLE.COM###": 2, "+1 (743) 555-3824, (+44 20 7946 0958)": 2,
