@@ -76,12 +76,13 @@ def size_of(text: Column) -> Column:
 
 
 def reshard(docs: DataFrame, old: Column, path: str, capacities=None, new_shards: int = NEW_SHARDS,
-            unit_bytes: int = UNIT_BYTES) -> dict:
+            unit_bytes: int = UNIT_BYTES, old_files: bool = True) -> dict:
     """Write ``docs`` into new shards under ``path`` (Parquet, one folder ``shard=j`` each, with ``slot``, the row's gapless
     number in its shard) and return the flow: {(old, new): bytes}.
 
     ``old`` gives a row's present shard (an integer from 0; null counts as 0). Shards whose content does not change are not
-    rewritten: they appear in the result as (j, j) alone and their rows are left where they are. ``capacities`` (default:
+    rewritten: they appear in the result as (j, j) alone and their rows are left where they are, in the old shards' files;
+    with ``old_files=False`` there are none (``old`` is only a column), and every row is written. ``capacities`` (default:
     equal) must cover all bytes. A null text weighs 8 and is stored as null; repeated rows and equal doc_ids all stay;
     rows with a null doc_id are ordered first. Columns named shard or slot in ``docs`` are replaced. An empty table
     gives an empty folder.
@@ -98,7 +99,7 @@ def reshard(docs: DataFrame, old: Column, path: str, capacities=None, new_shards
     supply = [totals.get(i, 0) for i in range(n_old)]
     flow = min_cost_flow(supply, caps, lambda i, j: int(i != j))
     same = {j for j in range(min(n_old, n_new)) if flow[j][j] == supply[j] and all(not flow[i][j] for i in range(n_old) if i != j)}
-    # (same shards keep their files; the rest is rewritten)
+    # (same shards keep their files, if there are any; the rest is rewritten)
     unit = max(1, min(unit_bytes, total // UNITS))
     buckets = max(1, math.ceil(total / max(1, n_old) / unit))
     bucket = F.pmod("_hash", F.lit(buckets)).cast("int")
@@ -135,7 +136,7 @@ def reshard(docs: DataFrame, old: Column, path: str, capacities=None, new_shards
         inside = F.sum("_size").over(W.partitionBy("_task", *_UNIT).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
         return df.join(cuts, "_old").withColumn("shard", target(F.col("_before") + F.coalesce(inside, F.lit(0)) + F.floor(F.col("_size") / 2)))
 
-    moved = ~F.col("_old").isin(*same) if same else F.lit(True)
+    moved = ~F.col("_old").isin(*same) if same and old_files else F.lit(True)
     counts = placed(narrow, moved).groupBy("shard", *_UNIT).agg(F.count(F.lit(1)).alias("_rows"))
     first = F.sum("_rows").over(W.partitionBy("shard").orderBy(*_UNIT)) - F.col("_rows")
     counts = F.broadcast(written(counts.select("shard", *_UNIT, first.alias("_slot")), "reshard-slots"))
@@ -155,10 +156,10 @@ def read_shards(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
 
 def resharded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs``, held in 16 shards by the crc32 of their texts, moved into 24 shards of equal bytes; the contract's columns
-    read back from the new files."""
+    read back from the new files. The old shards are no files, so unaffected ones are written as well."""
     path = scratch_path(spark, "reshard")
     docs = docs.select("doc_id", "text")
-    reshard(docs, F.pmod(F.crc32(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS)), path)
+    reshard(docs, F.pmod(F.crc32(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS)), path, old_files=False)
     return read_shards(spark, docs, path).select(
         "doc_id", size_of(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -106,6 +106,18 @@ def test_unaffected_shards_stay(spark):
     assert {r["shard"]: r["count"] for r in written} == {1: 10, 3: 10}
 
 
+def test_rows_of_unaffected_shards_are_returned(spark):
+    """Texts of one length: an old shard that holds just its new share is unaffected, and its rows must be there all the same."""
+    for n in (24, 48):
+        texts = [f"text {i:04d} of one length" for i in range(n)]
+        old = [zlib.crc32(t.encode()) % 16 for t in texts]
+        assert any(old.count(j) == n // 24 for j in range(16))
+        got = flow_reshard.resharded(spark, make(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()
+        assert sorted(r.doc_id for r in got) == list(range(n))
+        assert sorted((r.shard, r.slot) for r in got) == [(j, k) for j in range(24) for k in range(n // 24)]
+        assert all(old[r.doc_id] == r.shard for r in got if r.shard < 16 and old.count(r.shard) == n // 24)
+
+
 def test_reshard_edge_rows(spark, edge, empty):
     assert flow_reshard.resharded(spark, edge).count() == edge.count()
     assert flow_reshard.resharded(spark, empty).count() == 0
