@@ -8,6 +8,9 @@ stand in the order of their share of bad pages; neighbours whose shares do not d
 branch with the wildcard, else the one with most pages, is ``*``; another branch is named by its segment, or ``{a|b}`` if it has several. Templates whose labelled share of bad pages, smoothed towards
 the host's and that towards the corpus's, reaches ``BLOCK_AT`` are rejected; one without labels never is.
 
+The tree goes on while a node has ``MIN_PAGES`` pages with a further segment; below that all segments are variable. Wildcards
+that end a template count as one from level ``MAX_DEPTH`` on.
+
 Levels only aggregate over pages; the literal branches are a small table per level that is joined to the rows, so a host
 with a third of all pages is neither gathered nor shuffled, and the test of its rare segments needs only the two sums.
 """
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from lectern.llm.common import az_lower, bounded, table, written
 
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
-#: Levels of the tree; what lies deeper is one last segment.
+#: From this level on, the wildcards that end a template are one (the SQL has no deeper levels).
 MAX_DEPTH = 8
 MIN_PAGES, MIN_SHARE, Z = 10, 0.05, 3.0
 #: Labelled pages that a segment below ``MIN_SHARE`` needs to be tested.
@@ -49,18 +52,27 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _segments(path: Column) -> Column:
-    """Path segments without the empty ones; from ``MAX_DEPTH`` on they are one."""
-    s = F.array_remove(F.split(path, "/"), "")
-    deep = F.concat(F.slice(s, 1, MAX_DEPTH - 1), F.array(F.array_join(F.slice(s, F.lit(MAX_DEPTH), F.size(s)), "/")))
-    return F.when(F.size(s) > MAX_DEPTH, deep).otherwise(s)
+    """Path segments without the empty ones."""
+    return F.array_remove(F.split(path, "/"), "")
 
 
 def _step(rows: DataFrame, level: int, named: DataFrame) -> DataFrame:
     """Extend ``template`` by the level's branch: the segment's if it has a name, else the wildcard."""
     seg = F.get("_segs", F.lit(level))
     rows = rows.join(named, (rows["host"] == F.col("_host")) & (rows["template"] == F.col("_tpl")) & (seg == F.col("_seg")), "left")
-    more = F.when(seg.isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.coalesce("_name", F.lit("*"))))
-    return rows.withColumn("template", more).drop("_host", "_tpl", "_seg", "_name")
+    more = F.when(seg.isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("_name", F.lit("*"))))
+    rows = rows.withColumn("template", F.concat("template", more)).drop("_host", "_tpl", "_seg", "_name")
+    return written(rows, "deeper-paths") if (level + 1) % MAX_DEPTH == 0 else rows  # so that a plan has few joins
+
+
+def _ended(rows: DataFrame, level: int) -> DataFrame:
+    """Complete ``template`` by wildcards for the segments from ``level`` on, which have no branches."""
+    more = F.repeat(F.lit("/*"), F.least(F.greatest(F.size("_segs") - level, F.lit(0)), F.lit(MAX_DEPTH)))
+    rows = rows.withColumn("_all", F.concat("template", more)).withColumn("_named", F.regexp_replace("_all", r"(?:/\*)+\z", ""))
+    named = F.length("_named") - F.length(F.replace("_named", F.lit("/"), F.lit("")))  # names have no slash
+    wild = ((F.length("_all") - F.length("_named")) / 2).cast("int")
+    last = F.least(wild, F.greatest(MAX_DEPTH - named, F.lit(1)))
+    return rows.withColumn("template", F.concat("_named", F.repeat(F.lit("/*"), last))).drop("_all", "_named")
 
 
 def _apart(bad: Column, lab: Column, bad0: Column, lab0: Column) -> Column:
@@ -92,12 +104,16 @@ def template_tree(pages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     per = pages.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("lab"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     rows = written(per.withColumn("_segs", _segments(F.col("path"))).withColumn("template", F.lit("")).drop("path"), "paths")
     levels = []
-    for level in range(rows.agg(F.max(F.size("_segs"))).first()[0] or 0):
+    while True:
+        level = len(levels)
         here = rows.withColumn("_seg", F.get("_segs", F.lit(level))).filter("_seg is not null")
         sums = [F.sum(c).alias(c) for c in ("n", "lab", "bad")]
         node = here.groupBy(F.col("host").alias("_host"), F.col("template").alias("_tpl")).agg(*sums)
+        node = written(node.filter(F.col("n") >= MIN_PAGES), "nodes")
+        if node.isEmpty():  # no node below has as many pages either
+            break
         child = here.groupBy("host", "template", "_seg").agg(*sums).filter(F.col("n") >= MIN_PAGES).withColumnsRenamed({"n": "_n", "lab": "_lab", "bad": "_bad"})
-        both = child.join(node, (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_tpl")))
+        both = child.join(bounded(node), (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_tpl")))
         differs = _apart(F.col("_bad"), F.col("_lab"), F.col("bad") - F.col("_bad"), F.col("lab") - F.col("_lab"))
         both = both.withColumn("_often", F.col("_n") >= F.col("n") * MIN_SHARE)
         both = written(both.filter(F.col("_often") | ((F.col("_lab") >= MIN_LABELLED) & differs)), "candidate-segments")
@@ -108,7 +124,7 @@ def template_tree(pages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         kept = bounded(written(named, "branches"))
         levels.append(kept)
         rows = _step(rows, level, kept)
-    leaves = rows.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("lab").alias("labelled"), F.sum("bad").alias("bad"))
+    leaves = _ended(rows, len(levels)).groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("lab").alias("labelled"), F.sum("bad").alias("bad"))
     leaves = written(leaves, "templates")
     total = leaves.agg(F.sum("bad"), F.sum("labelled")).first()
     base = (total[0] or 0) / total[1] if total[1] else 0.0
@@ -132,6 +148,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     rows = rows.withColumn("_segs", _segments(F.col("path"))).withColumn("template", F.lit(""))
     for level, kept in enumerate(levels):
         rows = _step(rows, level, kept)
+    rows = _ended(rows, len(levels))
     bad = bounded(written(judged.filter("blocked").select(F.col("host").alias("_host"), F.col("template").alias("_tpl")), "rejected-templates"))
     rows = rows.join(bad, (rows["host"] == F.col("_host")) & (rows["template"] == F.col("_tpl")), "left")
     rule = fitting_rule(F.col("host"), F.col("path"), rules)
@@ -152,7 +169,8 @@ def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """The same tree, unrolled over ``MAX_DEPTH`` levels."""
+    """The same tree, unrolled over ``MAX_DEPTH`` levels and without the rare segments that stay apart: the test tables have
+    neither deeper paths nor such segments."""
     fits = lambda r: f"(host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}')"
     by_len = sorted(RULES, key=lambda r: -len(r[0]))
     rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r}'" for r, _ in by_len) + " END"
