@@ -58,3 +58,29 @@ def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     inside = F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1
     return (parts.withColumn("_in", inside).join(F.broadcast(counts), "_part")
             .withColumn(name, (F.col("_before") + F.col("_in")).cast("long")).drop("_part", "_in", "_before"))
+
+
+def runs_of(frames, by: list[str]):
+    """Whole groups as pandas frames from a task's stream of batches that is sorted by ``by``; only one group is held."""
+    import pandas as pd
+    held = []
+    for f in frames:
+        if not len(f):
+            continue
+        keys = f[by[0]] if len(by) == 1 else pd.Series(list(zip(*[f[k] for k in by])), index=f.index)
+        cuts = [0, *(keys.ne(keys.shift()).to_numpy().nonzero()[0][1:]), len(f)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            part = f.iloc[lo:hi]
+            if held and [held[-1][k].iloc[-1] for k in by] != [part[k].iloc[0] for k in by]:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def sql_crc32(digits: str) -> str:
+    """DuckDB text of the unsigned crc32 of an ASCII string."""
+    step = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    values = f"list_transform(range(1, length({digits}) + 1), lambda i: ascii(substr({digits}, i, 1))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {values}), lambda c, b: {step}), 4294967295)"

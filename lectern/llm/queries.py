@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lectern.llm import (chat_format, flow_reshard, ordinal_quality, outlier_rules, pii_surrogates, prefix_decontam,
-                         source_mix, tensor_dedup, url_templates, wavelet_shards)
+                         prefix_trie, source_mix, tensor_dedup, url_templates, wavelet_shards)
 
 QUERIES = {
     "op1_url_templates": url_templates.q_op1,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_ordinal_quality": ordinal_quality.q_op8,
     "op9_outlier_rules": outlier_rules.q_op9,
     "op10_source_mix": source_mix.q_op10,
+    "op13_prefix_trie": prefix_trie.q_op13,
 }
 ORACLE = {
     "op1_url_templates": url_templates.ORACLE_OP1,
     "op4_chat_format": chat_format.ORACLE_OP4,
     "op6_prefix_decontam": prefix_decontam.ORACLE_OP6,
     "op10_source_mix": source_mix.ORACLE_OP10,
+    "op13_prefix_trie": prefix_trie.ORACLE_OP13,
 }
