@@ -34,6 +34,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
+        if v.is_integer() and abs(v) < 2 ** 53:  # pandas shows a nullable integer column as floats
+            return str(int(v))
         return repr(round(v, 9))
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
