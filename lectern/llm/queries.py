@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.llm import (chat_format, flow_reshard, ordinal_quality, outlier_rules, pii_surrogates, prefix_decontam,
+from lectern.llm import (chat_format, flow_reshard, merkle_manifest, ordinal_quality, outlier_rules, pii_surrogates, prefix_decontam,
                          prefix_trie, source_mix, tensor_dedup, url_templates, wavelet_shards)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_ordinal_quality": ordinal_quality.q_op8,
     "op9_outlier_rules": outlier_rules.q_op9,
     "op10_source_mix": source_mix.q_op10,
+    "op11_merkle_manifest": merkle_manifest.q_op11,
     "op13_prefix_trie": prefix_trie.q_op13,
 }
 ORACLE = {
@@ -23,5 +24,6 @@ ORACLE = {
     "op4_chat_format": chat_format.ORACLE_OP4,
     "op6_prefix_decontam": prefix_decontam.ORACLE_OP6,
     "op10_source_mix": source_mix.ORACLE_OP10,
+    "op11_merkle_manifest": merkle_manifest.ORACLE_OP11,
     "op13_prefix_trie": prefix_trie.ORACLE_OP13,
 }
