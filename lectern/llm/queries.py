@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lectern.llm import (chat_format, flow_reshard, merkle_manifest, ordinal_quality, outlier_rules, pii_surrogates, prefix_decontam,
-                         prefix_trie, source_mix, tensor_dedup, url_templates, wavelet_shards)
+                         prefix_trie, source_mix, suffix_dedup, tensor_dedup, url_templates, wavelet_shards)
 
 QUERIES = {
     "op1_url_templates": url_templates.q_op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_outlier_rules": outlier_rules.q_op9,
     "op10_source_mix": source_mix.q_op10,
     "op11_merkle_manifest": merkle_manifest.q_op11,
+    "op12_suffix_dedup": suffix_dedup.q_op12,
     "op13_prefix_trie": prefix_trie.q_op13,
 }
 ORACLE = {
