@@ -29,8 +29,8 @@ def token_hashes(toks: Column) -> Column:
     return F.transform(toks, token_hash)
 
 
-def _count_codes(dim: int):
-    """Per row: bucket = h mod dim, sign = +1 when (h div dim) is even else -1; add, then L2-normalise."""
+def _count_codes(dim: int, unit: bool = True):
+    """Per row: bucket = h mod dim, sign = +1 when (h div dim) is even else -1; add, then L2-normalise if ``unit``."""
     @F.pandas_udf("array<double>")
     def count(hashes: pd.Series) -> pd.Series:
         n = len(hashes)
@@ -41,24 +41,26 @@ def _count_codes(dim: int):
             rows = np.repeat(np.arange(n), lengths)
             sign = np.where((h // dim) % 2 == 0, 1.0, -1.0)
             np.add.at(out, (rows, h % dim), sign)
-        norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
-        out = np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
+        if unit:
+            norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
+            out = np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
         return pd.Series(list(out))
     return count
 
 
 def hashed_vectors(df: DataFrame, id_col: str = "book_id", text: Column | None = None, dim: int = DEFAULT_DIM,
-                   max_tokens: int | None = None, stop_words=STOP_WORDS) -> DataFrame:
+                   max_tokens: int | None = None, stop_words=STOP_WORDS, unit: bool = True) -> DataFrame:
     """T7c (+ T9): ``(book_id, embedding array<double>)`` by signed feature hashing of the analysed text.
 
-    The whole text is used unless ``max_tokens`` is given (T8 mimics a model's input limit).
+    The whole text is used unless ``max_tokens`` is given (T8 mimics a model's input limit). ``unit=False`` leaves the counts as they are:
+    cosines come out the same but for the last bits, and their dot products are whole numbers, so exact.
     """
     text = compose_text() if text is None else text
     toks = tokens(text, stop_words)
     if max_tokens is not None:
         toks = F.slice(toks, 1, max_tokens)
     hashed = df.select(F.col(id_col).alias("book_id"), token_hashes(toks).alias("h"))
-    return hashed.select("book_id", _count_codes(dim)("h").alias("embedding"))
+    return hashed.select("book_id", _count_codes(dim, unit)("h").alias("embedding"))
 
 
 def embed_with(df: DataFrame, make_model: Callable[[], Callable[[list[str]], np.ndarray]],

@@ -59,8 +59,8 @@ def candidates_cte(books_sql: str) -> str:
             "cand AS (SELECT DISTINCT query_id, book_id FROM qt JOIN post USING (token))")
 
 
-def hashed_cte(prefix: str, src_sql: str, dim: int, max_tokens: int | None = None) -> str:
-    """Signed md5 feature-hashed unit vectors in long form: ``{prefix}_vec(id, bucket, v)`` and
+def hashed_cte(prefix: str, src_sql: str, dim: int, max_tokens: int | None = None, unit: bool = True) -> str:
+    """Signed md5 feature-hashed vectors (of length 1 if ``unit``) in long form: ``{prefix}_vec(id, bucket, v)`` and
     ``{prefix}_norm(id, n)`` for ``src_sql`` rows ``(id, txt)``."""
     p = prefix
     toks = tokens("txt") if max_tokens is None else f"list_slice({tokens('txt')}, 1, {max_tokens})"
@@ -71,7 +71,7 @@ def hashed_cte(prefix: str, src_sql: str, dim: int, max_tokens: int | None = Non
             f"FROM {p}_h), "
             f"{p}_cnt AS (SELECT id, bucket, sum(s) AS c FROM {p}_c GROUP BY id, bucket), "
             f"{p}_raw AS (SELECT id, sqrt(sum(c * c)) AS rn FROM {p}_cnt GROUP BY id), "
-            f"{p}_vec AS (SELECT id, bucket, c / rn AS v FROM {p}_cnt JOIN {p}_raw USING (id) WHERE rn > 0 AND c <> 0), "
+            f"{p}_vec AS (SELECT id, bucket, c / {'rn' if unit else '1'} AS v FROM {p}_cnt JOIN {p}_raw USING (id) WHERE rn > 0 AND c <> 0), "
             f"{p}_norm AS (SELECT s.id, coalesce(sqrt(sum(x.v * x.v)), 0.0) AS n FROM {p}_src s "
             f"LEFT JOIN {p}_vec x USING (id) GROUP BY s.id)")
 

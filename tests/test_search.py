@@ -81,3 +81,22 @@ def test_lemmatised_index_and_queries_meet(spark):
     qv = hashed_vectors(q, "query_id", F.col("text"), dim=16).withColumnRenamed("book_id", "query_id")
     hits = hybrid_search(q, idx["postings"], idx["vectors"], idx["books"], qv, lemmas=idx["lemmas"])
     assert sorted(r["book_id"] for r in hits.collect()) == [0, 1]
+
+
+def test_scores_by_blocks_equal_scores_by_pair(spark):
+    from lectern.operators.retrieval import score_candidates
+    n = 700
+    pairs = [(q, b, q + b) for q in range(n) for b in (q % 7, q % 11)] + [(5, 99, 0), (n + 5, 1, 0)]
+    cands = spark.createDataFrame(sorted(set(pairs)), "query_id long, book_id long, extra long")
+    vecs = spark.createDataFrame([(b, [float(b), 1.0, -2.0]) for b in range(11)] + [(42, [0.0, 0.0, 0.0])], "book_id long, embedding array<double>")
+    qv = spark.createDataFrame([(q, [1.0, float(q % 5), 0.5]) for q in range(n)], "query_id long, embedding array<double>")
+
+    def brute(q, b):
+        u, v = [1.0, q % 5, 0.5], [b, 1.0, -2.0]
+        return round(sum(x * y for x, y in zip(u, v)) / (math.hypot(*u) * math.hypot(*v)), 9)
+    want = sorted((q, b, e, brute(q, b)) for q, b, e in set(pairs) if b < 11 and q < n)
+    for most in (1000, 0):          # broadcast query vectors, then blocks of them
+        got = score_candidates(cands, vecs, qv, max_broadcast_rows=most, carry=["extra"])
+        assert sorted((r.query_id, r.book_id, r.extra, round(r.similarity, 9)) for r in got.collect()) == want
+        all_ = score_candidates(cands, vecs, qv, max_broadcast_rows=most, missing=0.0).collect()
+        assert len(all_) == len(set(pairs)) and {(r.query_id, r.book_id) for r in all_ if r.similarity == 0.0} >= {(5, 99), (n + 5, 1)}
