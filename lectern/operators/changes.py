@@ -39,6 +39,7 @@ class Applied:
     rejected: DataFrame
     touched: DataFrame
     issued: DataFrame  # (seq, pos, book_id) of every add without an id
+    changed: DataFrame  # the touched books that live on, and the new ones
 
 
 REJECTED = ["seq", "pos", "action", "book_id", "reason"]
@@ -198,7 +199,7 @@ def apply_changes(books: DataFrame, changes: DataFrame, postings: DataFrame | No
         new_vec = (vectors.join(touched, "book_id", "left_anti").select(*vectors.columns)
                    .unionByName(embed(changed_rows), allowMissingColumns=True))
     return Applied(new_books, new_post, new_vec, rejected, touched.unionByName(new_rows.select("book_id")),
-                   fresh.select("seq", "pos", "book_id"))
+                   fresh.select("seq", "pos", "book_id"), changed_rows)
 
 
 def apply_requests(books: DataFrame, requests: DataFrame, postings: DataFrame | None = None,

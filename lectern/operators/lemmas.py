@@ -16,7 +16,7 @@ NOUN_RULES = [("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
               ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")]
 
 
-def _candidates(vocab: DataFrame) -> DataFrame:
+def candidates(vocab: DataFrame) -> DataFrame:
     """(token, cand, prio): the token itself (prio 0) and one rule application per matching rule."""
     t = F.col("token")
     opts = [F.struct(t.alias("cand"), F.lit(0).alias("prio"))]
@@ -37,13 +37,23 @@ def lemma_map(vocab: DataFrame, lexicon: DataFrame) -> DataFrame:
     its own lemma. One round of rules is applied.
     """
     lex = lexicon.select(F.col("token").alias("cand")).distinct()
-    hits = _candidates(vocab.select("token").distinct()).join(lex, "cand", "left_semi")
+    hits = candidates(vocab.select("token").distinct()).join(lex, "cand", "left_semi")
     best = hits.groupBy("token").agg(
         F.min_by("cand", F.struct(F.length("cand"), F.col("prio"))).alias("lemma"))
     return (vocab.select("token").distinct().join(best, "token", "left")
             .select("token", F.coalesce("lemma", "token").alias("lemma")))
 
 
+def tokens_near(words: DataFrame) -> DataFrame:
+    """T5 backwards: every token that has one of ``words`` (column ``token``) as a candidate: itself, and what each rule turns into it."""
+    t = F.col("token")
+    opts = [t]
+    for suffix, repl in NOUN_RULES:
+        stem = F.expr(f"substring(token, 1, length(token) - {len(repl)})")
+        opts.append(F.when(t.endswith(repl), F.concat(stem, F.lit(suffix))))
+    return words.select(F.explode(F.array(*opts)).alias("token")).where("token is not null").distinct()
+
+
 def apply_lemmas(pairs: DataFrame, lemmas: DataFrame, id_col: str = "book_id") -> DataFrame:
     """Map a (token, id) table through a ``(token, lemma)`` map; unknown tokens stay themselves, pairs distinct.
 

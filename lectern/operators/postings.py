@@ -64,6 +64,18 @@ def vocabulary(postings: DataFrame) -> DataFrame:
             .groupBy("token").agg(F.count(F.lit(1)).cast("long").alias("n_books")))
 
 
+def vocabulary_delta(removed: DataFrame, added: DataFrame) -> DataFrame:
+    """M5: ``(token, delta)``, the signed change of document frequencies by the (token, book_id) pairs removed and added."""
+    signed = added.select("token", F.lit(1).alias("d")).unionByName(removed.select("token", F.lit(-1).alias("d")))
+    return signed.groupBy("token").agg(F.sum("d").cast("long").alias("delta")).where("delta <> 0")
+
+
+def merge_vocabulary(vocab: DataFrame, delta: DataFrame) -> DataFrame:
+    """M5: the vocabulary after ``vocabulary_delta``; tokens whose last book is gone vanish."""
+    both = vocab.select("token", "n_books").unionByName(delta.select("token", F.col("delta").alias("n_books")))
+    return both.groupBy("token").agg(F.sum("n_books").cast("long").alias("n_books")).where("n_books > 0")
+
+
 def vocabulary_filter(tokens_df: DataFrame, vocab: DataFrame, token_col: str = "token") -> DataFrame:
     """Keep only tokens present in the vocabulary (exact semi-join; no false positives)."""
     v = vocab.select(F.col("token").alias(token_col)).distinct()

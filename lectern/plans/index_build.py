@@ -13,34 +13,31 @@ from pyspark.sql import functions as F
 from lectern.operators.embed import DEFAULT_DIM, fill_missing_vectors, hashed_vectors
 from lectern.operators.lemmas import apply_lemmas, lemma_map
 from lectern.operators.postings import build_postings, vocabulary
-from lectern.sources.versioned import commit, publish, read_version
+from lectern.sources.versioned import VersionWriter, buckets_for
 
 
 def build_index(spark: SparkSession, books: DataFrame, root: str, vectors: DataFrame | None = None,
-                dim: int = DEFAULT_DIM, version: int = 0, lemmatize: bool = False) -> dict[str, DataFrame]:
+                dim: int = DEFAULT_DIM, version: int = 0, lemmatize: bool = False, buckets: int | None = None) -> dict[str, DataFrame]:
     """Write books, postings, vocabulary and vectors of one catalogue version; return them read back.
 
     ``lemmatize=True`` adds the T5 step: a ``lemmas`` table (the corpus vocabulary as lexicon) is written and the
-    postings hold lemmas; pass that table to ``hybrid_search(lemmas=...)`` so queries are mapped the same way.
+    postings hold lemmas; pass that table to ``hybrid_search(lemmas=...)`` so queries are mapped the same way. The postings and the
+    vocabulary of the tokens as they are written are kept too, for changes. ``buckets`` is the number of hash buckets of
+    each table, by default one for every 50,000 books.
     """
     embed = lambda df: hashed_vectors(df, dim=dim)
-    publish(books, root, "books", version)
-    stored_books = read_version(spark, root, "books", version)
+    new = VersionWriter(spark, root, version, buckets or buckets_for(books.count()))
+    stored_books = new.whole("books", books)
     vecs = (embed(stored_books) if vectors is None
             else fill_missing_vectors(stored_books, vectors, embed).drop("computed"))
     raw = build_postings(stored_books)
     names = ["books", "postings", "vocabulary", "vectors"]
     if lemmatize:
-        publish(raw, root, "surface_postings", version)
-        surface = read_version(spark, root, "surface_postings", version)
-        vocab = surface.select("token").distinct()
-        publish(lemma_map(vocab, vocab), root, "lemmas", version)
-        raw = apply_lemmas(surface, read_version(spark, root, "lemmas", version))
-        names.append("lemmas")
-    publish(raw, root, "postings", version)
-    postings = read_version(spark, root, "postings", version)
-    publish(vocabulary(postings), root, "vocabulary", version)
-    publish(vecs, root, "vectors", version)
-    top = stored_books.agg(F.max("book_id")).first()[0]
-    commit(spark, root, version, top, names)
-    return {name: read_version(spark, root, name, version) for name in names}
+        surface = new.whole("surface_postings", raw)
+        vocab = new.whole("surface_vocabulary", vocabulary(surface)).select("token")
+        raw = apply_lemmas(surface, new.whole("lemmas", lemma_map(vocab, vocab)))
+        names += ["lemmas", "surface_postings", "surface_vocabulary"]
+    new.whole("vocabulary", vocabulary(new.whole("postings", raw)))
+    new.whole("vectors", vecs)
+    new.commit(stored_books.agg(F.max("book_id")).first()[0])
+    return {name: new.read(name) for name in names}

@@ -5,7 +5,7 @@ All arguments are DataFrames; nothing is collected. One query is simply a one-ro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.text import STOP_WORDS
@@ -13,6 +13,7 @@ from lectern.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, measured_rows
 from lectern.operators.lemmas import apply_lemmas
 from lectern.operators.present import result_page_columns
 from lectern.operators.retrieval import candidate_books, hydrate, query_tokens, score_candidates, top_n
+from lectern.sources.versioned import read_version
 
 
 def hybrid_search(queries: DataFrame, postings: DataFrame, vectors: DataFrame, books: DataFrame,
@@ -48,3 +49,19 @@ def result_page(queries: DataFrame, postings: DataFrame, vectors: DataFrame, boo
                          text_col=text_col, lemmas=lemmas, score_decimals=score_decimals,
                          book_cols=("isbn", "title", "author", "publish_year", "description"))
     return result_page_columns(hits)
+
+
+def postings_of(spark: SparkSession, root: str, version: int, queries: DataFrame, text_col: str = "text", stop_words=STOP_WORDS,
+                lemmas: DataFrame | None = None) -> DataFrame:
+    """J1 over a stored index: the postings in the buckets of the queries' tokens. Other buckets are not opened, so the cost of a
+    few queries does not grow with the vocabulary; the rows are a superset of what the search then joins."""
+    qt = query_tokens(queries, text_col, stop_words=stop_words)
+    qt = qt if lemmas is None else apply_lemmas(qt, lemmas, "query_id")
+    return read_version(spark, root, "postings", version, keys=qt.select("token").distinct())
+
+
+def search_index(spark: SparkSession, root: str, version: int, queries: DataFrame, query_vectors: DataFrame, **how) -> DataFrame:
+    """X1 over a stored index (``build_index``): ``hybrid_search`` on its vectors and books and the postings of the queries' tokens."""
+    words = {k: how[k] for k in ("text_col", "stop_words", "lemmas") if k in how}
+    return hybrid_search(queries, postings_of(spark, root, version, queries, **words), read_version(spark, root, "vectors", version),
+                         read_version(spark, root, "books", version), query_vectors, **how)

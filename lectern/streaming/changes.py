@@ -4,7 +4,8 @@ batch in ``seq`` order on top of the latest committed catalogue version and publ
 The next version is the last committed one plus 1, whatever the batch's number, and its commit row names the stream and
 batch. So a new stream (a fresh checkpoint) goes on from the catalogue as it is, and a replayed batch finds itself committed
 and does nothing. All tables of the catalogue move together: books, postings, vocabulary, vectors and, in a lemmatised
-index, lemmas. Every version is written whole.
+index, lemmas, surface postings and surface vocabulary. A batch reads and writes the buckets of the books and tokens it touches; the
+old and new tokens of the changed books, not the postings, tell what becomes of postings and vocabulary.
 """
 
 from __future__ import annotations
@@ -14,65 +15,120 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.operators.changes import apply_requests
+from lectern.operators.changes import REJECTED, apply_changes, route_requests
 from lectern.operators.embed import hashed_vectors
-from lectern.operators.lemmas import lemma_map
-from lectern.operators.postings import build_postings, vocabulary
+from lectern.operators.lemmas import apply_lemmas, candidates, lemma_map, tokens_near
+from lectern.operators.postings import build_postings, merge_vocabulary, vocabulary, vocabulary_delta
+from lectern.schemas import BOOK_FIELDS
+from lectern.session import materialize
 from lectern.sources.readers import parse_change_requests
-from lectern.sources.versioned import (batch_is_committed, commit, issued_ids_floor, latest_version, publish,
-                                       read_version, version_tables)
+from lectern.sources.versioned import VersionWriter, batch_is_committed, buckets_for, issued_ids_floor, latest_version
 
 
-def publish_initial(spark: SparkSession, root: str, books: DataFrame, postings: DataFrame, vectors: DataFrame | None = None) -> None:
+def publish_initial(spark: SparkSession, root: str, books: DataFrame, postings: DataFrame, vectors: DataFrame | None = None,
+                    buckets: int | None = None) -> None:
     """Version 0 of a catalogue that was not built by ``build_index``."""
-    tables = {"books": books, "postings": postings, "vocabulary": vocabulary(postings)}
+    new = VersionWriter(spark, root, 0, buckets or buckets_for(books.count()))
+    stored = new.whole("books", books)
+    new.whole("vocabulary", vocabulary(new.whole("postings", postings.select("token", "book_id"))))
     if vectors is not None:
-        tables["vectors"] = vectors
-    for name, df in tables.items():
-        publish(df, root, name, 0)
-    stored = read_version(spark, root, "books", 0)
-    commit(spark, root, 0, stored.agg(F.max("book_id")).first()[0], list(tables))
+        new.whole("vectors", vectors)
+    new.commit(stored.agg(F.max("book_id")).first()[0])
+
+
+def _move(new: VersionWriter, name: str, removed: DataFrame, added: DataFrame) -> None:
+    """Take ``removed`` (token, book_id) pairs out of a postings table and put ``added`` in; pairs in both stay where they are."""
+    pair = ["token", "book_id"]
+    gone, come = (materialize(x.join(y, pair, "left_anti"), f"{name}-change") for x, y in ((removed, added), (added, removed)))
+    touched = new.tables[name].of_keys(gone.unionByName(come), name)
+    new.replace(name, touched, new.read(name, touched).join(gone, pair, "left_anti").select(*pair).unionByName(come))
+    words = {"postings": "vocabulary", "surface_postings": "surface_vocabulary"}[name]
+    if words in new.tables:
+        delta = materialize(vocabulary_delta(gone, come), f"{words}-delta")
+        touched = new.tables[words].of_keys(delta, words)
+        new.replace(words, touched, merge_vocabulary(new.read(words, touched), delta))
+
+
+def _move_lemmas(new: VersionWriter, before: VersionWriter, old_rows: DataFrame, new_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """T5 through a batch: surface tables move first; tokens that came or went change the lexicon, and with it the lemmas of the
+    tokens that have them as candidates. The (lemma, book) pairs of the changed books, and of all books with a token whose lemma
+    changes, as they were and as they are."""
+    was, now = build_postings(old_rows), build_postings(new_rows)
+    _move(new, "surface_postings", was, now)
+    seen = materialize(was.unionByName(now).select("token").distinct(), "batch-tokens")
+    known = lambda at, keys: at.read("surface_vocabulary", at.tables["surface_vocabulary"].of_keys(keys, "surface_vocabulary")).select("token").join(keys, "token", "left_semi")
+    first, last = known(before, seen), known(new, seen)
+    turned = first.join(last, "token", "left_anti").unionByName(last.join(first, "token", "left_anti"))
+    near = materialize(tokens_near(turned), "near-tokens")
+    alive = known(new, near)
+    # Candidates of the tokens near a turned word lie outside ``near``, so the lexicon is read for those candidates.
+    lexicon = materialize(_lexicon(new, alive), "lexicon")
+    fresh = materialize(lemma_map(alive, lexicon), "fresh-lemmas")
+    touched = new.tables["lemmas"].of_keys(near, "lemmas")
+    new.replace("lemmas", touched, new.read("lemmas", touched).join(near, "token", "left_anti").unionByName(fresh))
+    held = before.read("lemmas", touched).join(near, "token", "left_semi")
+    changed = held.withColumnRenamed("lemma", "_old").join(fresh, "token", "full").where(~F.col("_old").eqNullSafe(F.col("lemma"))).select("token")
+    at = new.tables["surface_postings"]
+    others = new.read("surface_postings", at.of_keys(materialize(changed, "changed-lemmas"), "surface_postings")).join(changed, "token", "left_semi")
+    ids = old_rows.select("book_id").unionByName(new_rows.select("book_id"))
+    others = materialize(others.select("book_id").distinct().join(ids, "book_id", "left_anti"), "books-of-changed-lemmas")
+    rows = new.read("books", new.tables["books"].of_keys(others, "books")).join(others, "book_id", "left_semi")
+    same = materialize(build_postings(rows), "their-tokens")
+
+    def lemmas(pairs, writer):
+        tokens = pairs.select("token").distinct()
+        return apply_lemmas(pairs, writer.read("lemmas", writer.tables["lemmas"].of_keys(tokens, "lemmas")))
+    return lemmas(was.unionByName(same), before), lemmas(now.unionByName(same), new)
+
+
+def _lexicon(new: VersionWriter, tokens: DataFrame) -> DataFrame:
+    """The surface words that are candidates of ``tokens``."""
+    cands = materialize(candidates(tokens).select(F.col("cand").alias("token")).distinct(), "lemma-candidates")
+    at = new.tables["surface_vocabulary"]
+    return new.read("surface_vocabulary", at.of_keys(cands, "surface_vocabulary")).select("token").join(cands, "token", "left_semi")
 
 
 def apply_to_catalogue(spark: SparkSession, root: str, requests: DataFrame, stream: str | None = None,
                        batch_id: int | None = None, embed=None) -> int:
     """Apply a table of requests to the catalogue under ``root`` and publish the next version; returns its number.
 
-    ``embed`` gives vectors for changed books; the default is the built-in embedder in the stored vectors' size. In a
-    lemmatised index, tokens of changed books that have no lemma yet get one, with all tokens known by then as lexicon.
+    ``embed`` gives vectors for changed books; the default is the built-in embedder in the stored vectors' size. After the batch,
+    all tables are what a rebuild from the books would give.
     """
     prev = latest_version(spark, root)
-    have = version_tables(spark, root, prev)
-    old = {name: read_version(spark, root, name, prev) for name in have}
-    if embed is None and "vectors" in old:
-        dim = old["vectors"].select(F.size("embedding")).first()
-        embed = lambda df: hashed_vectors(df, dim=dim[0]) if dim else hashed_vectors(df)
-    floor, now = issued_ids_floor(spark, root), prev + 1
-    kw = {"vectors": old.get("vectors"), "embed": embed, "id_floor": floor}
-    out = apply_requests(old["books"], requests, postings=old.get("postings"), **kw)
-    publish(out.books, root, "books", now)
-    books = read_version(spark, root, "books", now)
-    if "lemmas" in old:
-        changed = books.join(out.touched.distinct(), "book_id", "left_semi")
-        surface = build_postings(changed)
-        new = surface.select("token").distinct().join(old["lemmas"], "token", "left_anti")
-        lemmas = old["lemmas"].unionByName(lemma_map(new, old["lemmas"].select("token").unionByName(new)))
-        publish(lemmas, root, "lemmas", now)
-        lemmas = read_version(spark, root, "lemmas", now)
-        fresh = surface.join(lemmas, "token", "left").select(F.coalesce("lemma", "token").alias("token"), "book_id").distinct()
-        kept = old["postings"].join(out.touched.distinct(), "book_id", "left_anti").select("token", "book_id")
-        out.postings = kept.unionByName(fresh)
-    if out.postings is not None:
-        publish(out.postings, root, "postings", now)
-        publish(vocabulary(read_version(spark, root, "postings", now)), root, "vocabulary", now)
-    if out.vectors is not None:
-        publish(out.vectors, root, "vectors", now)
-    publish(out.rejected.withColumn("batch_id", F.lit(batch_id).cast("long")), root, "rejected", now)
-    publish(out.issued, root, "issued", now)
-    top = books.agg(F.max("book_id")).first()[0]
-    tables = [n for n in ("books", "postings", "vocabulary", "vectors", "lemmas") if n in have or n == "vocabulary" and "postings" in have]
-    commit(spark, root, now, max((x for x in (top, floor) if x is not None), default=None), tables, stream, batch_id)
-    return now
+    floor = issued_ids_floor(spark, root)
+    before, new = VersionWriter(spark, root, prev, prev=prev), VersionWriter(spark, root, prev + 1, prev=prev)
+    routed, rejected = route_requests(requests)
+    routed = materialize(routed, "change-rows")
+    # Only the buckets of the ids that the batch names; ids are issued above the floor, which the commit log keeps.
+    named = routed.where("book_id is not null").select("book_id").distinct()
+    at = new.tables["books"]
+    part = before.read("books", at.of_keys(named, "books"))
+    out = apply_changes(part, routed, id_floor=-1 if floor is None else floor)
+    touched = materialize(out.touched.distinct(), "touched-ids")
+    old_rows = materialize(part.join(touched, "book_id", "left_semi").select("book_id", *BOOK_FIELDS), "books-before")
+    ids = at.of_keys(touched, "books")
+    stay = before.read("books", ids).join(touched, "book_id", "left_anti").select("book_id", *BOOK_FIELDS)
+    new.replace("books", ids, stay.unionByName(out.changed))
+    if "postings" in new.tables:
+        if "lemmas" in new.tables:
+            was, now = _move_lemmas(new, before, old_rows, out.changed)
+        else:
+            was, now = build_postings(old_rows), build_postings(out.changed)
+        _move(new, "postings", was, now)
+    if "vectors" in new.tables:
+        if embed is None:
+            dim = before.read("vectors").select(F.size("embedding")).first()
+            embed = lambda df: hashed_vectors(df, dim=dim[0]) if dim else hashed_vectors(df)
+        ids = new.tables["vectors"].of_keys(touched, "vectors")
+        kept = before.read("vectors", ids).join(touched, "book_id", "left_anti")
+        new.replace("vectors", ids, kept.unionByName(embed(out.changed), allowMissingColumns=True))
+    rejects = rejected.select(*REJECTED).unionByName(out.rejected.select(*REJECTED))
+    new.log("rejected", rejects.withColumn("batch_id", F.lit(batch_id).cast("long")))
+    new.log("issued", out.issued)
+    top = out.changed.agg(F.max("book_id")).first()[0]
+    new.commit(max((x for x in (top, floor) if x is not None), default=None), stream, batch_id)
+    return prev + 1
 
 
 def batch_writer(root: str, stream_id, embed=None):

@@ -204,3 +204,72 @@ def test_lemmatised_index_through_a_change(spark, charts):
     v = apply_to_catalogue(spark, root, reqs(spark, add({"title": "tide tables", "description": "passage times"}), drop("4")))
     post = {t for t, b in rows(read_version(spark, root, "postings", v)) if b == 13}
     assert "tide" in post and {t for t, b in rows(read_version(spark, root, "postings", v)) if b == 4} == set()
+
+
+def files(spark, root, name, version):
+    from lectern.sources.versioned import _read, manifest
+    found = _read(spark, root, name, manifest(spark, root, version)[name]).inputFiles()
+    return {int(f.rsplit("/bucket=", 1)[1].split("/")[0]): f for f in sorted(found)}
+
+
+def test_a_batch_writes_the_buckets_it_touches(spark):
+    """Copy-on-write: buckets without a touched book or token keep their files, and all tables equal a rebuild."""
+    from lectern.sources.versioned import manifest
+    word = lambda i: "w" + "".join(chr(97 + int(d)) for d in str(i))
+    books = spark.createDataFrame([(i, "name" + word(i), f"author {word(i % 5)}", f"only{word(i)} some words", "0", 0, "g") for i in range(60)], SCHEMA)
+    root = scratch_path(spark, "copy-on-write")
+    embed = lambda df: hashed_vectors(df, dim=8)
+    publish_initial(spark, root, books, build_postings(books), embed(books), buckets=16)
+    v = apply_to_catalogue(spark, root, reqs(spark, drop("7"), edit(["11"], {"title": "renamed"}), add(NEW)))
+    t = {n: read_version(spark, root, n, v) for n in ("books", "postings", "vocabulary", "vectors")}
+    assert t["books"].count() == 60 and rows(t["postings"]) == rows(build_postings(t["books"]))
+    assert rows(t["vocabulary"]) == rows(vocabulary(build_postings(t["books"])))
+    assert rows(t["vectors"], "book_id") == rows(t["books"], "book_id")
+    at = manifest(spark, root, v)
+    for name, keys in (("books", [7, 11, 60]), ("vectors", [7, 11, 60])):
+        touched = set(at[name].of_keys(spark.createDataFrame([(k,) for k in keys], "book_id long"), name))
+        old, new = files(spark, root, name, 0), files(spark, root, name, v)
+        assert 0 < len(touched) <= 3 and {b for b in old if new.get(b) != old[b]} == touched & set(old)
+    old, new = files(spark, root, "postings", 0), files(spark, root, "postings", v)
+    same = [b for b in old if new.get(b) == old[b]]
+    assert len(same) > len(old) / 2         # a few dozen (token, book) pairs move
+    # A pair that stays (an unchanged word of the edited book) moves nothing.
+    pair = spark.createDataFrame([("only" + word(11), 11)], "token string, book_id long")
+    assert at["postings"].of_keys(pair, "postings")[0] in old
+
+
+def test_reading_the_buckets_of_a_few_tokens(spark):
+    from lectern.plans.search import postings_of
+    word = lambda i: "w" + "".join(chr(97 + int(d)) for d in str(i))
+    books = spark.createDataFrame([(i, "name" + word(i), "a", "only" + word(i), "0", 0, "g") for i in range(200)], SCHEMA)
+    root = scratch_path(spark, "pruned")
+    publish_initial(spark, root, books, build_postings(books), buckets=32)
+    q = spark.createDataFrame([(0, f"only{word(17)} and name{word(3)}")], "query_id long, text string")
+    part, whole = postings_of(spark, root, 0, q), read_version(spark, root, "postings", 0)
+    assert len(part.inputFiles()) <= 2 * 8 < len(whole.inputFiles()) / 4
+    mine = f"token in ('only{word(17)}', 'name{word(3)}')"
+    assert len(rows(whole.where(mine))) == 2 and rows(part.where(mine)) == rows(whole.where(mine))
+
+
+def test_vocabulary_deltas_read_no_postings(spark, charts):
+    from lectern.operators.postings import merge_vocabulary, vocabulary_delta
+    was, now = build_postings(charts.where("book_id < 9")), build_postings(charts.where("book_id > 4"))
+    delta = vocabulary_delta(was, now)
+    got = merge_vocabulary(vocabulary(was), delta)
+    assert rows(got) == rows(vocabulary(now)) and merge_vocabulary(vocabulary(was), vocabulary_delta(was, was.limit(0))).count() == 0
+
+
+def test_lemmas_equal_a_rebuild_after_every_batch(spark):
+    """A word that appears makes others its inflections, in books that the batch does not name; one that goes undoes it."""
+    texts = ["wolves run", "wolves hide", "churches stand", "boxes", "two men ran", "glasses", "wolf"]
+    books = spark.createDataFrame([(i, t, "", "", "0", 0, "") for i, t in enumerate(texts)], SCHEMA)
+    root = scratch_path(spark, "lemma-stream")
+    build_index(spark, books, root, dim=8, lemmatize=True, buckets=8)
+    batches = [[add({"title": "a church and a box"}), edit(["4"], {"title": "one man"})], [drop("6"), edit(["7"], {"title": "a glass"})], [add({"title": "wolf"}), drop("2")],
+               [edit(["0"], {"title": "run"})]]
+    for batch in batches:
+        v = apply_to_catalogue(spark, root, reqs(spark, *batch))
+        got = {n: read_version(spark, root, n, v) for n in ("books", "postings", "vocabulary", "lemmas")}
+        want = build_index(spark, got["books"], scratch_path(spark, "lemma-rebuild"), dim=8, lemmatize=True)
+        for n in ("postings", "vocabulary", "lemmas"):
+            assert rows(got[n].select(*sorted(got[n].columns))) == rows(want[n].select(*sorted(want[n].columns))), n
