@@ -33,6 +33,14 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def aside(docs: DataFrame):
+    """``docs`` with the columns whose names begin with an underscore, as the operators' own do, under free names; and the way back."""
+    taken = {c.lower() for c in docs.columns}
+    free = (n for n in (f"further column {i}" for i in range(2 * len(taken) + 1)) if n not in taken)
+    names = {c: next(free) for c in docs.columns if c.startswith("_")}
+    return docs.withColumnsRenamed(names), lambda df: df.withColumnsRenamed({v: k for k, v in names.items()})
+
+
 def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if its measured row count is within ``limit``, else ``df`` (a shuffle join, which AQE splits
     where a key is hot). ``df`` should be a written table, so that the count is cheap."""

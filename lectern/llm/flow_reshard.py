@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import table, written
+from lectern.llm.common import aside, table, written
 from lectern.session import scratch_path
 
 NEW_SHARDS, OLD_SHARDS = 24, 16
@@ -88,6 +88,8 @@ def reshard(docs: DataFrame, old: Column, path: str, capacities=None, new_shards
     gives an empty folder.
     """
     spark = docs.sparkSession
+    docs, back = aside(docs.withColumn("old shard", old.cast("int")))
+    old = F.col("old shard")
     key = docs.withColumn("_old", F.coalesce(old.cast("int"), F.lit(0))).withColumn("_hash", F.xxhash64("text"))
     key = key.withColumn("_size", size_of(F.col("text"))).drop("shard", "slot")
     narrow = written(key.select("_old", "_hash", "doc_id", "_size"), "reshard-sizes")
@@ -143,7 +145,7 @@ def reshard(docs: DataFrame, old: Column, path: str, capacities=None, new_shards
     rows = placed(key, moved)
     rank = F.row_number().over(W.partitionBy("_task", *_UNIT, "shard").orderBy(*order)) - 1
     rows = rows.withColumn("_rank", rank).join(counts, ["shard", *_UNIT]).withColumn("slot", F.col("_slot") + F.col("_rank"))
-    rows = rows.select(*[c for c in docs.columns if c not in ("shard", "slot")], F.col("slot").cast("long"), "shard")
+    rows = back(rows.select(*[c for c in docs.columns if c not in ("shard", "slot", "old shard")], F.col("slot").cast("long"), "shard"))
     rows.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     return {(i, j): flow[i][j] for i in range(n_old) for j in range(n_new) if flow[i][j]}
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounded, table, words, written
+from lectern.llm.common import aside, bounded, table, words, written
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -181,11 +181,12 @@ def judge(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """``docs`` without the rejected rows, all columns unchanged. Rejected rows are found again by doc_id, lang, source and
     text hash."""
+    docs, back = aside(docs)
     bad = judge(docs).filter("not kept").select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(("doc_id", "lang", "source", "text_hash"))]).distinct()
     bad = written(bad, "rejected")
     same = (docs["doc_id"].eqNullSafe(F.col("_r0")) & docs["lang"].eqNullSafe(F.col("_r1"))
             & docs["source"].eqNullSafe(F.col("_r2")) & (F.xxhash64(docs["text"]) == F.col("_r3")))
-    return docs.join(bounded(bad), same, "left_anti")
+    return back(docs.join(bounded(bad), same, "left_anti"))
 
 
 def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,10 +21,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounded, table, written
+from lectern.llm.common import aside, bounded, table, written
 
 KEY = "change-me"
-MAX_ROUNDS = 20
+#: Attempts that keep an entity's length.
+WIDEN = 3
 
 #: Titles and the gender they tell (n: neither).
 TITLES = {"Mr": "m", "Herr": "m", "Herrn": "m", "Monsieur": "m", "Sr": "m", "Señor": "m", "Sir": "m", "г-н": "m", "Κος": "m",
@@ -67,7 +68,7 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
         for m in pattern.finditer(text) if may(text) else ():
             kind = m.lastgroup
             if kind in ("email", "secret"):
-                out.append((m.start(kind), m.end(kind), kind, m.group(kind).lower()))
+                out.append((m.start(kind), m.end(kind), kind, m.group(kind).lower() if kind == "email" else m.group(kind)))
             elif kind == "phone":
                 out.append((m.start(), m.end(), kind, re.sub(r"\D", "", m.group())))
             elif kind == "ip" and all(int(x) < 256 for x in m.group().split(".")):
@@ -128,14 +129,18 @@ def _script(word: str) -> str:
 
 
 def surrogate(kind: str, normal: str, attempt: int, key: str) -> str:
-    """The replacement's normal form. Attempts of one entity are independent draws."""
+    """The replacement's normal form. Attempts of one entity are independent draws; from attempt ``WIDEN`` on they grow longer than the
+    entity, so a format that is full of entities does not run out (an IP address becomes one of the IPv6 range for documents)."""
     draw = _digits(key, kind, normal, attempt)
+    more = max(0, attempt - WIDEN + 1)
     if kind == "card":
-        body = normal[0] + "".join(str(next(draw) % 10) for _ in normal[1:-1])
+        body = normal[0] + "".join(str(next(draw) % 10) for _ in range(len(normal) - 2 + more))
         return next(body + c for c in "0123456789" if luhn(body + c))
     if kind == "phone":
         head = normal[:len(normal) - 10] if len(normal) > 10 else ""
-        return head + "".join(str(next(draw) % (8 if k == 0 else 10) + (2 if k == 0 else 0)) for k in range(len(normal) - len(head)))
+        return head + "".join(str(next(draw) % (8 if k == 0 else 10) + (2 if k == 0 else 0)) for k in range(len(normal) - len(head) + more))
+    if kind == "ip" and more:
+        return "2001:db8::" + ":".join(f"{next(draw) % 65535 + 1:x}" for _ in range(4))
     if kind == "ip":
         return ".".join(str(next(draw) % (223 if k == 0 else 256) + (k == 0)) for k in range(4))
     if kind in ("given", "family"):
@@ -144,26 +149,29 @@ def surrogate(kind: str, normal: str, attempt: int, key: str) -> str:
         ends = {"f": fem, "m": masc, "n": fem + masc}[gender] if gender else [""]
         stem = "".join(parts[next(draw) % len(parts)] for _ in range(3 + attempt // 2))
         return (gender + ":" if gender else "") + stem + ends[next(draw) % len(ends)]
-    hexed = kind == "secret" and re.fullmatch("[0-9a-f]+", normal)
+    hexed = kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", normal)
+    digits = "0123456789ABCDEF" if normal.upper() == normal else "0123456789abcdef"
     local, _, domain = normal.partition("@")
-    swap = lambda s: "".join(
-        ("0123456789abcdef"[next(draw) % 16] if hexed else str(next(draw) % 10)) if c.isdigit()
-        else ("0123456789abcdef"[next(draw) % 16] if hexed else chr(97 + next(draw) % 26)) if "a" <= c <= "z" else c for c in s)
+
+    def swap(s: str) -> str:
+        one = lambda c: (digits[next(draw) % 16] if hexed else str(next(draw) % 10) if c.isdigit()
+                         else chr((97 if c >= "a" else 65) + next(draw) % 26))
+        return "".join(one(c) if c.isascii() and c.isalnum() else c for c in s)
     if kind == "email":  # the last label, which says what sort of address it is, stays
         head, dot, top = domain.rpartition(".")
-        return swap(local) + "@" + swap(head) + dot + top
-    return swap(normal)
+        return swap(local + "a" * more) + "@" + swap(head) + dot + top
+    return swap(normal + normal[-1:] * more)
 
 
 def dressed(kind: str, old: str, new: str) -> str:
     """The replacement in the clothes of the text it replaces: separators, and upper or lower case."""
     if kind in ("card", "phone"):
         it = iter(new)
-        return "".join(next(it) if c.isdigit() else c for c in old)
+        return "".join(next(it) if c.isdigit() else c for c in old) + "".join(it)
     if kind in ("given", "family"):
         word = new.rpartition(":")[2]
         return word.upper() if old.isupper() and len(old) > 1 else word[:1].upper() + word[1:]
-    if kind in ("email", "secret") and old.upper() == old and old.lower() != old:
+    if kind == "email" and old.upper() == old and old.lower() != old:
         return new.upper()
     return new
 
@@ -191,8 +199,8 @@ def redraws(entity: DataFrame, key: str) -> DataFrame:
     """
     draft = F.pandas_udf(lambda k, v, a: pd.Series([surrogate(*x, key) for x in zip(k, v, a)]), "string")
     todo = entity.withColumn("attempt", F.lit(0))
-    settled, late = None, None
-    for round_ in range(MAX_ROUNDS):
+    settled, late, round_ = None, None, 0
+    while True:
         now = written(todo.withColumn("new", draft("kind", "normal", "attempt")), "drafts")
         taken = entity.select("kind", F.col("normal").alias("new"))
         if settled is not None:
@@ -205,8 +213,7 @@ def redraws(entity: DataFrame, key: str) -> DataFrame:
         todo = written(now.join(ok, ["kind", "normal"], "left_anti").select("kind", "normal", (F.col("attempt") + 1).alias("attempt")), "open")
         if todo.isEmpty():
             break
-    else:
-        raise RuntimeError(f"surrogates still collide after {MAX_ROUNDS} draws: a format has too few values for its entities")
+        round_ += 1
     return (late if late is not None else ok.limit(0)).select("kind", "normal", "attempt")
 
 
@@ -214,8 +221,9 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``n_entities``; all other columns unchanged (one of that name is replaced).
 
     Null texts stay null, texts without entities are returned as they are, repeated rows all stay and are treated alike. The
-    result depends on the key and on the set of entities in ``docs``.
+    result depends on the key and on the set of entities in ``docs``. Long texts are whole; an empty table gives an empty one.
     """
+    docs, back = aside(docs)
     named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").filter("text is not null")
     found = written(named.mapInPandas(_found, "doc_id string, text_hash long, kind string, normal string"), "entities")
     late = written(redraws(written(found.select("kind", "normal").distinct(), "distinct-entities"), key), "redraws")
@@ -235,7 +243,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     rows = rows.withColumn("_new", rewrite("text", "_late"))
     keep = [F.col("_new.text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "n_entities"]
-    return rows.select(*keep, F.col("_new.n_entities").alias("n_entities"))
+    return back(rows.select(*keep, F.col("_new.n_entities").alias("n_entities")))
 
 
 def q_op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import az_lower, bounded, table, written
+from lectern.llm.common import aside, az_lower, bounded, table, written
 
 WINDOW = 13
 SHINGLE = 3
@@ -123,9 +123,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows, all columns unchanged."""
+    docs, back = aside(docs)
     bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
     same = docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_h"))
-    return docs.join(bounded(written(bad, "contaminated")), same, "left_anti")
+    return back(docs.join(bounded(written(bad, "contaminated")), same, "left_anti"))
 
 
 def q_op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounded, numbered, table, uniform, words, written
+from lectern.llm.common import aside, bounded, numbered, table, uniform, words, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
@@ -92,27 +92,30 @@ def mix(docs: DataFrame, weight: Column, weights=WEIGHTS, max_epochs: int = MAX_
     replaced. The table of sources is broadcast if its row count allows.
     """
     own = ("size", "source_size", "target", "copies", "epochs", "last_key")
+    docs, back = aside(docs.withColumn("weight in the mix", weight))
+    weight = F.col("weight in the mix")
     plan = written(mix_plan(docs, weight, weights, max_epochs, seed), "mix-plan").withColumnRenamed("source", "_s")
     rows = docs.withColumn("_key", sampling_key(seed, weight)).drop(*own)
     rows = rows.join(bounded(plan), rows["source"].eqNullSafe(F.col("_s")), "left")
     extra = F.when(F.col("_key") <= F.col("last_key"), 1).otherwise(0)
-    return (rows.withColumn("size", F.size(words(F.col("text"))).cast("long"))
-            .withColumn("copies", (F.col("epochs") + extra).cast("long")).drop("_s", "_key", "epochs", "last_key"))
+    return back(rows.withColumn("size", F.size(words(F.col("text"))).cast("long"))
+                .withColumn("copies", (F.col("epochs") + extra).cast("long")).drop("_s", "_key", "epochs", "last_key", "weight in the mix"))
 
 
-def with_quality_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add ``_weight`` from the labels; several labels of a document count as their worst."""
+def with_quality_weights(docs: DataFrame, labels: DataFrame, name: str = "quality weight") -> DataFrame:
+    """Add column ``name`` from the labels; several labels of a document count as their worst."""
+    docs, back = aside(docs)
     per = labels.groupBy("doc_id").agg(F.min("quality").alias("_q"), F.max("toxic").alias("_t"))
     per = written(per.filter("doc_id is not null").withColumnRenamed("doc_id", "_d"), "label-weights")
     rows = docs.join(bounded(per), docs["doc_id"] == F.col("_d"), "left")
     w = F.when(F.col("_d").isNull(), UNLABELLED).when((F.col("_q") == 1) & (F.coalesce("_t", F.lit(0)) == 0), GOOD).otherwise(POOR)
-    return rows.withColumn("_weight", w).drop("_d", "_q", "_t")
+    return back(rows.withColumn(name, w).drop("_d", "_q", "_t"))
 
 
 def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed; taken counts the words the mix takes from a document, repeats included."""
     docs = with_quality_weights(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), table(spark, sf_dir, "labels"))
-    out = mix(docs, F.col("_weight"))
+    out = mix(docs, F.col("quality weight"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 

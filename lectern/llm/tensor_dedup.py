@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bounded, table, written
+from lectern.llm.common import aside, bounded, table, written
 
 SHINGLE = 2
 BANDS, ROWS = 12, 3
@@ -138,6 +138,8 @@ def class_sets(docs: DataFrame, reps: DataFrame, shingle: int = SHINGLE) -> Data
             texts = f["text"].tolist()
             for lo, hi in _slices(texts):
                 sets = [x for x in shingle_sets(texts[lo:hi], known, shingle) if len(x)]
+                if not sets:  # wordless texts only: Arrow cannot type a column of lists that is empty
+                    continue
                 yield pd.DataFrame({"cid": [int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(x.tobytes())))) for x in sets],
                                     "shingles": [x.view(np.int64) for x in sets]})
     wanted = bounded(reps.select(F.col("rep").alias("_rep")).distinct())
@@ -183,7 +185,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shing
 
     component_id is the least doc_id linked to the document, directly or over others; kept marks the document that
     carries it. Null or wordless texts have no shingles and stand alone. Rows that share doc_id and text get the same
-    result; a null doc_id never names a component that has another one. Only doc_id and text are read. An empty table gives an
+    result; a null doc_id never names a component that has another one, and where none has an id the text of least hash stays. Only doc_id and text are read. An empty table gives an
     empty result.
     """
     seen = written(sketches(docs, bands, rows, shingle), "sketches")
@@ -234,10 +236,16 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shing
     if roots is not None:
         at = classes.select("cid", "rep").join(bounded(roots).withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = at.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = bounded(written(at.join(least, "root").select("cid", "component_id"), "named-classes"))
+    named = bounded(written(at.join(least, "root").select("cid", "component_id", "root"), "named-classes"))
     out = seen.join(named, "cid", "left")
     comp = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "text_hash", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    kept = F.col("doc_id").eqNullSafe(comp)
+    if not seen.where("doc_id is null").isEmpty():
+        # Of a component without any id, the text with the least hash stays.
+        first = out.where("n_shingles > 0 and component_id is null").groupBy("root").agg(F.min("text_hash").alias("_first"))
+        out = out.join(bounded(written(first, "components-without-id")), "root", "left")
+        kept = kept & F.coalesce(F.col("text_hash") == F.col("_first"), F.lit(True))
+    return out.select("doc_id", "text_hash", "n_shingles", comp.alias("component_id"), kept.alias("kept"))
 
 
 def _across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -261,12 +269,13 @@ def _across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component, all columns unchanged."""
+    docs, back = aside(docs)
     judged = written(near_duplicates(docs, shingle=shingle, percent=percent), "near-duplicates")
     gone = judged.filter("not kept").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
     same = docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_h"))
     left = docs.join(bounded(written(gone, "removed")), same, "left_anti")
     repeated = judged.filter("kept and n_shingles > 0").groupBy("doc_id", "text_hash").count().filter("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    return back(left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"]))
 
 
 def q_op7(spark: SparkSession, sf_dir: str) -> DataFrame:

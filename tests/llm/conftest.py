@@ -2,13 +2,16 @@ import random
 
 import pytest
 
+#: Names that the operators use for columns of their own.
+CLASHES = ["_x", "_h", "_d", "_t", "_q", "_late", "_new", "_key", "_s", "_r0", "_r1", "_size", "_old", "_hash", "_task", "_m", "_bucket", "_slice", "_Rank", "_copy"]
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-          "size long, shard string, slot string, kept string, copies string, n_entities string, _x string")
+          "size long, shard string, slot string, kept string, copies string, n_entities string, "
+          + ", ".join(f"{c} string" for c in CLASHES))
 
 
 def make(spark, rows):
     """Documents with further columns whose names clash with results."""
-    full = [(i, t, la, so, len(t or ""), -1, "a", "b", "c", "d", "e", "f") for i, t, la, so in rows]
+    full = [(i, t, la, so, len(t or ""), -1, "a", "b", "c", "d", "e", *CLASHES) for i, t, la, so in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 

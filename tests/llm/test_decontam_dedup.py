@@ -140,3 +140,24 @@ def test_dedup_edges(spark, edge, empty):
     got = sorted([(r.doc_id, r.n_shingles, r.component_id) for r in dedup.near_duplicates(edge).collect()], key=str)
     assert got == brute_components(rows)
     assert dedup.near_duplicates(empty).count() == 0 and dedup.drop_near_duplicates(empty).count() == 0
+
+
+def test_wordless_rows_under_linked_ids_in_many_partitions(spark):
+    rows = [(1, "a b c d e f g h i j", "en", "s"), (2, "a b c d e f g h i j k", "en", "s"), (5, "x y z", "en", "s"), (1, "", "en", "s"), (1, None, "en", "s")]
+    got = dedup.near_duplicates(make(spark, rows).repartition(5), shingle=2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == [(1, 0, 1, True), (1, 0, 1, True), (1, 9, 1, True), (2, 10, 1, False), (5, 2, 5, True)]
+
+
+def test_near_copies_without_ids_keep_one(spark):
+    base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    rows = [(None, base, "en", "s"), (None, base + " more", "en", "s"), (None, base.upper(), "en", "s"), (None, "quite another text of its own words", "en", "s")]
+    left = dedup.drop_near_duplicates(make(spark, rows), 2, 80).collect()
+    assert len(left) == 2 and {"quite another text of its own words"} < {r.text for r in left}
+
+
+def test_further_columns_with_the_operators_names_stay(spark):
+    from tests.llm.conftest import CLASHES
+    docs = make(spark, [(1, "a b c d e f g h", "en", "s"), (2, "a b c d e f g h", "en", "s")])
+    bench = spark.createDataFrame([("i", "q r s")], "item_id string, text string")
+    for out in (dedup.drop_near_duplicates(docs), decon.drop_contaminated(docs, bench)):
+        assert out.columns == docs.columns and all([r[c] for c in CLASHES] == CLASHES for r in out.collect()) and out.count() >= 1

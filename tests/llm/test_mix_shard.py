@@ -58,7 +58,7 @@ def test_mix_edge_rows(spark, edge, empty):
     assert len(got) == edge.count() and all(r["size"] == len(WORDS.findall(r.text or "")) and 0 <= r.copies <= 3 for r in got)
     assert source_mix.mix(empty, F.lit(1.0)).count() == 0
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 1), (4, 1, None)], "doc_id long, quality int, toxic int")
-    w = {r.doc_id: r._weight for r in source_mix.with_quality_weights(edge, labels).collect()}
+    w = {r.doc_id: r["quality weight"] for r in source_mix.with_quality_weights(edge, labels).collect()}
     assert (w[1], w[4], w[3]) == (source_mix.POOR, source_mix.GOOD, source_mix.UNLABELLED)
 
 

@@ -143,3 +143,26 @@ def test_collisions_are_drawn_again(spark):
     assert all(len(set(v)) == 1 for v in got.values())
     new = [v[0] for v in got.values()]
     assert len(set(new)) == len(names) and not set(new) & set(names)
+
+
+def test_a_full_format_is_widened(spark):
+    from tests.llm.conftest import CLASHES, make
+    rows = [(26 * a + b, f"mail {chr(97 + a)}@{chr(97 + b)}.de now", "en", "s") for a in range(26) for b in range(26)]
+    docs = make(spark, rows)
+    out = pii.pseudonymise(docs)
+    assert out.columns == [c for c in docs.columns if c != "n_entities"] + ["n_entities"]
+    new = {r.doc_id: r.text for r in out.collect()}
+    old = {t for _, t, _, _ in rows}
+    assert len(new) == 676 == len(set(new.values())) and not set(new.values()) & old
+    assert all(re.fullmatch(r"mail [a-z]+@[a-z]+\.de now", t) for t in new.values())
+    assert all([r[c] for c in CLASHES] == CLASHES for r in out.limit(5).collect())
+
+
+def test_secrets_keep_case_and_stay_apart(spark):
+    from tests.llm.conftest import make
+    one = "AbCdEfGh12345678XYZa"
+    rows = [(1, f'token = "{one}"', "en", "s"), (2, f'token = "{one.lower()}"', "en", "s")]
+    a, b = (r.text for r in pii.pseudonymise(make(spark, rows)).orderBy("doc_id").collect())
+    x, y = a.split('"')[1], b.split('"')[1]
+    shape = lambda s: "".join("A" if c.isupper() else "a" if c.islower() else "0" for c in s)
+    assert shape(x) == shape(one) and shape(y) == shape(one.lower()) and x.lower() != y
