@@ -33,8 +33,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once, or up to three times."""
-    mixed = source_mix.mix(source_mix.with_quality_weights(docs, table(spark, sf_dir, "labels")), F.col("_weight"))
-    copies = mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    mixed = source_mix.mix(source_mix.with_quality_weights(docs, table(spark, sf_dir, "labels")), F.col("quality weight"))
+    copies = mixed.filter("copies > 0").withColumn("copy number", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return copies.select(*docs.columns)
 
 
