@@ -80,19 +80,17 @@ def first_pieces(words: DataFrame, pieces: DataFrame) -> DataFrame:
     return hits.groupBy("word").agg(F.max_by("piece", "n").alias("piece"))
 
 
-def _sql_rules() -> str:
-    """The token itself and every rule's candidate as one list per token."""
-    parts = ["{'cand': token, 'prio': 0}"]
-    for i, (suffix, repl) in enumerate(NOUN_RULES, start=1):
-        parts.append(f"CASE WHEN ends_with(token, '{suffix}') THEN {{'cand': substring(token, 1, length(token) - {len(suffix)}) || '{repl}', "
-                     f"'prio': {i}}} END")
-    return "[" + ", ".join(parts) + "]"
+def _sql_candidates() -> str:
+    """Each token and what every matching rule makes of it, one SELECT per rule."""
+    rules = [f"SELECT token, substring(token, 1, length(token) - {len(suffix)}) || '{repl}' AS cand, {i} AS prio FROM vocab WHERE ends_with(token, '{suffix}')"
+             for i, (suffix, repl) in enumerate(NOUN_RULES, start=1)]
+    return " UNION ALL ".join(["SELECT token, token AS cand, 0 AS prio FROM vocab", *rules])
 
 
 SQL_LEMMA_MAP = (
-    "WITH vocab AS MATERIALIZED ({vocab}), cand AS (SELECT token, unnest(" + _sql_rules().replace("{", "{{").replace("}", "}}") + ") AS c FROM vocab), "
-    "hit AS (SELECT cand.token, arg_min(c.cand, length(c.cand) * 100 + c.prio) AS lemma "
-    "FROM cand JOIN vocab lex ON lex.token = c.cand GROUP BY cand.token) "
+    "WITH vocab AS ({vocab}), cand AS (" + _sql_candidates() + "), "
+    "hit AS (SELECT cand.token, arg_min(cand.cand, length(cand.cand) * 100 + cand.prio) AS lemma "
+    "FROM cand JOIN vocab lex ON lex.token = cand.cand GROUP BY cand.token) "
     "SELECT v.token, coalesce(h.lemma, v.token) AS lemma FROM vocab v LEFT JOIN hit h ON h.token = v.token"
 )
 
