@@ -92,23 +92,24 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, epochs: int =
 
 
 def rating_sample(docs: DataFrame, grades: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(key, grade, x) of about ``rows`` rated documents at most, chosen by a hash of doc_id. ``grades(doc_id, grade)`` has one
+    """(key, grade, hash, x) of about ``rows`` rated documents at most, chosen by a hash of doc_id. ``grades(doc_id, grade)`` has one
     row per document."""
     rated = written(grades.withColumn("_u", uniform(F.lit("rating"), F.col("doc_id").cast("string"))), "grades")
     share = min(1.0, rows / max(1, rated.count()))
     picked = rated.filter(F.col("_u") < share).withColumnRenamed("doc_id", "_d")
-    found = docs.select("doc_id", "text").join(bounded(picked), F.col("doc_id") == F.col("_d")).select("_u", "grade", "text")
+    found = docs.select("doc_id", "text").join(bounded(picked), F.col("doc_id") == F.col("_d")).select("_u", "grade", "text", F.xxhash64("text").alias("hash"))
 
     def run(frames):
         for f in frames:
-            yield pd.DataFrame({"key": f["_u"], "grade": f["grade"].astype(int), "x": [features(t, buckets()) for t in f["text"]]})
-    return found.mapInPandas(run, "key double, grade int, x array<long>")
+            yield pd.DataFrame({"key": f["_u"], "grade": f["grade"].astype(int), "hash": f["hash"], "x": [features(t, buckets()) for t in f["text"]]})
+    return found.mapInPandas(run, "key double, grade int, hash long, x array<long>")
 
 
 def train(sample: DataFrame, n_grades: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fit in one task over the bounded sample, in the order of its keys; only weights and thresholds come back."""
+    """Fit in one task over the bounded sample, in the order of keys, grades and texts' hashes, so rows that share a doc_id
+    come in one order too; only weights and thresholds come back."""
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["key", "grade"], kind="stable")
+        f = f.sort_values(["key", "grade", "hash"], kind="stable")
         w, theta = fit([np.asarray(x, np.int64) for x in f["x"]], f["grade"].to_numpy(), n_grades)
         at = np.flatnonzero(w)
         return pd.DataFrame({"at": [at.astype("<i4").tobytes()], "w": [w[at].astype("<f4").tobytes()], "theta": [theta.tolist()]})

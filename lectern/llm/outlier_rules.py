@@ -2,9 +2,12 @@
 expressions only.
 
 Each text gives a vector of transformed statistics (``DIMENSIONS``). Per language and source, centre and covariance are
-those of the ``KEEP`` share of documents that lie closest to them: starting from medians and quartile ranges, concentration
-steps alternate between distances and estimates. All steps are aggregates over narrow rows; order statistics come from
-counts in fine bins, so no group, however large, is sorted or collected. Documents beyond ``CUTOFF`` are rejected.
+those of the half of the documents (``KEEP``) whose covariance has the smallest determinant: from two starts (medians with
+median deviations; the same with the correlations of the rows' directions) concentration steps alternate between distances
+and estimates until the determinant stops falling, the start with the smaller one counts, and the estimate is made once more
+from all documents within ``REWEIGHT``. Up to nearly half of a group may be junk. All steps are aggregates over narrow rows;
+order statistics come from counts in fine bins, so no group, however large, is sorted or collected. Documents beyond
+``CUTOFF`` are rejected.
 """
 
 from __future__ import annotations
@@ -18,8 +21,11 @@ from lectern.llm.common import aside, bounded, table, words, written
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8  # words; the hashes below are doubled three times, so this is fixed
-KEEP = 0.75
-STEPS = 3
+KEEP = 0.5
+#: Steps go on while the logarithm of a determinant falls by more than this; it is bounded below, so they end.
+FALL = 1e-3
+#: 97.5 % point of the chi-square distribution with five degrees of freedom.
+REWEIGHT = 12.83
 MIN_GROUP, MIN_POOL = 100, 30
 #: Squared Mahalanobis distance, times n / (n + SHORT), beyond which a document of n words is rejected.
 CUTOFF, SHORT = 30.0, 50
@@ -36,6 +42,8 @@ DIMENSIONS = [
     ("ln(1 + 100 * n_repeat_words / n_words)", 0.75),
 ]
 P = len(DIMENSIONS)
+_LOWER = [(i, j) for i in range(P) for j in range(i + 1)]
+_ESTIMATE = [f"m{i}" for i in range(P)] + [f"l{i}_{j}" for i, j in _LOWER]
 
 
 def _doubled(h: Column, step: int) -> Column:
@@ -97,8 +105,9 @@ def _quantile_bins(counts: DataFrame, keys: list[str], shares: list[float]) -> D
                                    F.first("_all").alias("_all"))
 
 
-def _cholesky(cov: DataFrame) -> DataFrame:
-    """From m0.. and c{i}_{j} (i >= j): the lower triangular root l{i}_{j} of the covariance, column by column."""
+def _cholesky(cov: DataFrame, keys: list[str]) -> DataFrame:
+    """From m0.. and c{i}_{j} (i >= j): the lower triangular root l{i}_{j} of the covariance, column by column, and
+    ``lndet``, the logarithm of its determinant."""
     for j in range(P):
         d = F.col(f"c{j}_{j}")
         for k in range(j):
@@ -109,7 +118,7 @@ def _cholesky(cov: DataFrame) -> DataFrame:
             for k in range(j):
                 x = x - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
             cov = cov.withColumn(f"l{i}_{j}", x / F.col(f"l{j}_{j}"))
-    return cov.select("_g", *[f"m{i}" for i in range(P)], *[f"l{i}_{j}" for i in range(P) for j in range(i + 1)])
+    return cov.select(*keys, *_ESTIMATE, F.round(2 * sum((F.ln(f"l{i}_{i}") for i in range(1, P)), F.ln("l0_0")), 6).alias("lndet"))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -127,32 +136,81 @@ def _bin_of(d2: Column) -> Column:
     return F.floor(F.log1p(d2) * BIN).cast("int")
 
 
-def covariance_estimates(rows: DataFrame) -> DataFrame:
-    """Per group ``_g`` of rows (_g, z0..): centre m, covariance root l, and ``scale``, by which squared distances are
-    divided so that their median is at most that of the chi-square distribution. Groups below ``MIN_POOL`` rows get none."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """(_g, _start, estimate, lndet): start 0 has medians and median absolute deviations, start 1 also the correlations of the
+    rows' directions from the median (spatial signs)."""
     long = rows.select("_g", F.posexplode(F.array(*[f"z{i}" for i in range(P)])).alias("k", "z"))
-    counts = long.groupBy("_g", "k", F.floor(F.col("z") * BIN).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    q = _quantile_bins(counts, ["_g", "k"], [0.25, 0.5, 0.75]).filter(F.col("_all") >= MIN_POOL)
+    counts = written(long.groupBy("_g", "k", F.floor(F.col("z") * BIN).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")), "mcd-bins")
+    mid = written(_quantile_bins(counts, ["_g", "k"], [0.5]).filter(F.col("_all") >= MIN_POOL).select("_g", "k", "q0"), "mcd-medians")
+    off = counts.join(bounded(mid), ["_g", "k"]).groupBy("_g", "k", "q0", F.abs(F.col("bin") - F.col("q0")).alias("bin")).agg(F.sum("n").alias("n"))
+    off = _quantile_bins(off.withColumnRenamed("q0", "mid"), ["_g", "k", "mid"], [0.5])
     floor = F.element_at(F.array(*[F.lit(f) for _, f in DIMENSIONS]), F.col("k") + 1)
-    q = q.withColumn("m", (F.col("q1") + 0.5) / BIN).withColumn("s", F.greatest((F.col("q2") - F.col("q0")) / BIN / 1.349, floor))
-    start = q.groupBy("_g").agg(*[F.max(F.when(F.col("k") == i, F.col("m"))).alias(f"m{i}") for i in range(P)],
-                                *[F.max(F.when(F.col("k") == i, F.col("s"))).alias(f"l{i}_{i}") for i in range(P)])
-    est = start.select("*", *[F.lit(0.0).alias(f"l{i}_{j}") for i in range(P) for j in range(i)])
-    est = written(est, "mcd-start")
-    for _ in range(STEPS):
-        near = _distance(rows.join(bounded(est), "_g")).select("_g", *[f"z{i}" for i in range(P)], _bin_of(F.col("_d2")).alias("bin"))
-        edge = _quantile_bins(near.groupBy("_g", "bin").agg(F.count(F.lit(1)).alias("n")), ["_g"], [KEEP])
-        edge = bounded(written(edge.select("_g", "q0"), "mcd-edge"))
-        half = near.join(edge, "_g").filter("bin <= q0").groupBy("_g").agg(
-            *[F.round(F.avg(f"z{i}"), 9).alias(f"m{i}") for i in range(P)],
-            *[F.round(F.covar_pop(f"z{i}", f"z{j}"), 9).alias(f"v{i}_{j}") for i in range(P) for j in range(i + 1)])
-        cov = half.select("_g", *[f"m{i}" for i in range(P)], *[
-            (F.col(f"v{i}_{j}") + (DIMENSIONS[i][1] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}") for i in range(P) for j in range(i + 1)])
-        est = written(_cholesky(cov), "mcd-step")
-    near = _distance(rows.join(bounded(est), "_g")).select("_g", _bin_of(F.col("_d2")).alias("bin"))
-    median = _quantile_bins(near.groupBy("_g", "bin").agg(F.count(F.lit(1)).alias("n")), ["_g"], [0.5])
-    scale = F.greatest(F.lit(1.0), F.expm1((F.col("q0") + 0.5) / BIN) / CHI2_MEDIAN)
-    return written(est.join(median, "_g").select(est["*"], scale.alias("scale")), "mcd")
+    q = off.select("_g", "k", ((F.col("mid") + 0.5) / BIN).alias("m"), F.greatest(F.col("q0") / BIN * 1.4826, floor).alias("s"))
+    first = q.groupBy("_g").agg(*[F.max(F.when(F.col("k") == i, F.col(c))).alias(f"{c}{i}") for c in ("m", "s") for i in range(P)])
+    first = written(first, "mcd-first")
+    u = [(F.col(f"z{i}") - F.col(f"m{i}")) / F.col(f"s{i}") for i in range(P)]
+    norm = F.greatest(F.sqrt(sum((x * x for x in u[1:]), u[0] * u[0])), F.lit(1e-9))
+    signs = rows.join(bounded(first), "_g").select("_g", *[(x / norm).alias(f"u{i}") for i, x in enumerate(u)])
+    signs = signs.groupBy("_g").agg(*[F.round(F.avg(F.col(f"u{i}") * F.col(f"u{j}")), 9).alias(f"r{i}_{j}") for i, j in _LOWER])
+    both = first.join(signs, "_g").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_start"))
+    # The floor of 0.01 keeps a direction without spread from deciding alone.
+    shape = lambda i, j: F.when(F.col("_start") == 0, float(i == j)).otherwise(F.col(f"r{i}_{j}") * P + (0.01 if i == j else 0.0))
+    cov = both.select("_g", "_start", *[f"m{i}" for i in range(P)], *[(shape(i, j) * F.col(f"s{i}") * F.col(f"s{j}")).alias(f"c{i}_{j}") for i, j in _LOWER])
+    return _cholesky(cov, ["_g", "_start"])
+
+
+def _near(rows: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row beside each estimate of its group, with the bin of its squared distance."""
+    return _distance(rows.join(bounded(est), "_g")).select(*keys, *[f"z{i}" for i in range(P)], _bin_of(F.col("_d2")).alias("bin"))
+
+
+def _edges(near: DataFrame, keys: list[str], share: float) -> DataFrame:
+    return _quantile_bins(near.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n")), keys, [share]).select(*keys, "q0")
+
+
+def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Estimates from the given rows; the smallest standard deviations are added to the variances."""
+    got = rows.groupBy(*keys).agg(*[F.round(F.avg(f"z{i}"), 9).alias(f"m{i}") for i in range(P)],
+                                  *[F.round(F.covar_pop(f"z{i}", f"z{j}"), 9).alias(f"v{i}_{j}") for i, j in _LOWER])
+    return _cholesky(got.select(*keys, *[f"m{i}" for i in range(P)], *[
+        (F.col(f"v{i}_{j}") + (DIMENSIONS[i][1] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}") for i, j in _LOWER]), keys)
+
+
+def _scaled(rows: DataFrame, est: DataFrame) -> DataFrame:
+    """Add ``scale``, by which squared distances are divided so that their median is at most the chi-square distribution's."""
+    median = _edges(_near(rows, est, ["_g"]), ["_g"], 0.5)
+    return est.join(median, "_g").withColumn("scale", F.greatest(F.lit(1.0), F.expm1((F.col("q0") + 0.5) / BIN) / CHI2_MEDIAN)).drop("q0")
+
+
+def minimum_determinant(rows: DataFrame) -> DataFrame:
+    """Per group ``_g`` of rows (_g, z0..): centre m, covariance root l and ``lndet`` of the ``KEEP`` share of its rows, from
+    the start that ends with the smaller determinant. Groups below ``MIN_POOL`` rows get none."""
+    keys = ["_g", "_start"]
+    est, done = written(_starts(rows), "mcd-start"), None
+    first = True
+    while est.head(1):
+        near = _near(rows, est, keys)
+        edge = bounded(written(_edges(near, keys, KEEP), "mcd-edge"))
+        step = _moments(near.join(edge, keys).filter("bin <= q0"), keys)
+        # The starts are no estimates of a half, so their determinants are not compared.
+        last = est.select(*keys, F.lit(None).cast("double").alias("_last") if first else F.col("lndet").alias("_last"))
+        step = written(step.join(bounded(last), keys), "mcd-step")
+        falls = F.col("_last").isNull() | (F.col("lndet") < F.col("_last") - FALL)
+        ended = step.filter(~falls).drop("_last")
+        done = ended if done is None else done.unionByName(ended)
+        est, first = step.filter(falls).drop("_last"), False
+    done = est.select(*keys, *_ESTIMATE, "lndet") if done is None else done
+    best = done.groupBy("_g").agg(F.min_by(F.struct(*_ESTIMATE, "lndet"), F.struct("lndet", "_start")).alias("e"))
+    return written(best.select("_g", "e.*"), "mcd-raw")
+
+
+def covariance_estimates(rows: DataFrame) -> DataFrame:
+    """Per group ``_g`` of written rows (_g, z0..): centre m and covariance root l of its rows within ``REWEIGHT`` of the
+    minimum-determinant estimate, and ``scale`` for their squared distances."""
+    raw = written(_scaled(rows, minimum_determinant(rows)), "mcd-scaled")
+    inside = _distance(rows.join(bounded(raw), "_g")).filter(F.col("_d2") <= REWEIGHT * F.col("scale"))
+    est = written(_moments(inside.select("_g", *[f"z{i}" for i in range(P)]), ["_g"]), "mcd-reweighted")
+    return written(_scaled(rows, est), "mcd")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -170,7 +228,7 @@ def judge(docs: DataFrame) -> DataFrame:
     names = bounded(_groups(good))
     z = [F.round(F.expr(e), 9).alias(f"z{i}") for i, (e, _) in enumerate(DIMENSIONS)]
     here = lambda df: df.join(names, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-    est = bounded(covariance_estimates(here(good).select("_g", *z)))
+    est = bounded(covariance_estimates(written(here(good).select("_g", *z), "rule-vectors")))
     far = _distance(here(stats).select(stats["*"], "_g", *[F.when(~F.col("base_failed"), F.round(F.expr(e), 9)).alias(f"z{i}") for i, (e, _) in enumerate(DIMENSIONS)])
                     .join(est, "_g", "left"))
     far = far.withColumn("distance", F.col("_d2") / F.col("scale") * F.col("n_words") / (F.col("n_words") + SHORT))
