@@ -27,16 +27,18 @@ def _key(c: str):
     return F.when(is_missing(c), F.lit(None)).otherwise(F.col(c))
 
 
-def dedupe_books(raw: DataFrame, pos: str = "pos", keys=("title", "author", "publish_year"),
-                 genre: str = "genre") -> DataFrame:
-    """A1 + R5: collapse rows with equal (title, author, year), null equal to null and "nan" read as null.
+KEYS = ("title", "author", "publish_year")
 
-    The first row in ``pos`` order survives with all its fields; ``genre`` becomes the ", "-joined genres of
-    all the group's rows in ``pos`` order (repeats kept, a missing genre reads "nan"). Survivors are numbered
-    0, 1, 2, ... by first appearance. Output: book_id, the raw columns (minus ``pos``), first_pos, n_rows.
-    """
+
+def key_columns(keys=KEYS) -> list:
+    """A book's key, "nan" read as null."""
+    return [_key(c) for c in keys]
+
+
+def collapse_books(raw: DataFrame, pos: str = "pos", keys=KEYS, genre: str = "genre") -> DataFrame:
+    """A1 without ids: one row per key (``_k0``, ``_k1``, ...) with the first row's fields, the joined genres, first_pos, n_rows."""
     other = [c for c in raw.columns if c not in (pos, genre)]
-    k = raw.select("*", *[_key(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+    k = raw.select("*", *[c.alias(f"_k{i}") for i, c in enumerate(key_columns(keys))])
     g_str = F.when(is_missing(genre), F.lit("nan")).otherwise(F.col(genre).cast("string"))
     grouped = k.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
         F.min_by(F.struct(*other), F.col(pos)).alias("first"),
@@ -45,7 +47,17 @@ def dedupe_books(raw: DataFrame, pos: str = "pos", keys=("title", "author", "pub
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), g_str.alias("g")))),
                                  lambda s: s["g"]), ", ").alias(genre),
     )
-    flat = grouped.select(*[F.col(f"first.{c}").alias(c) for c in other], genre, "first_pos", "n_rows")
+    return grouped.select(*[f"_k{i}" for i in range(len(keys))], *[F.col(f"first.{c}").alias(c) for c in other], genre, "first_pos", "n_rows")
+
+
+def dedupe_books(raw: DataFrame, pos: str = "pos", keys=KEYS, genre: str = "genre") -> DataFrame:
+    """A1 + R5: collapse rows with equal (title, author, year), null equal to null and "nan" read as null.
+
+    The first row in ``pos`` order survives with all its fields; ``genre`` becomes the ", "-joined genres of
+    all the group's rows in ``pos`` order (repeats kept, a missing genre reads "nan"). Survivors are numbered
+    0, 1, 2, ... by first appearance. Output: book_id, the raw columns (minus ``pos``), first_pos, n_rows.
+    """
+    flat = collapse_books(raw, pos, keys, genre).drop(*[f"_k{i}" for i in range(len(keys))])
     return sequential_ids(flat, "first_pos", "book_id")
 
 

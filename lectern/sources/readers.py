@@ -18,6 +18,11 @@ def null_markers(df: DataFrame, mark: str = MISSING_MARK) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def path_is_missing(e: Exception) -> bool:
+    """Whether a read failed because there is nothing at its path (the error class differs by Spark version)."""
+    return "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e)
+
+
 def read_catalogue_csv(spark: SparkSession, path: str, schema=RAW_CATALOGUE) -> DataFrame:
     """S1 + S2: header CSV, quoted multi-line fields, "N/A" read as null; a missing path is an empty catalogue."""
     try:
@@ -26,7 +31,7 @@ def read_catalogue_csv(spark: SparkSession, path: str, schema=RAW_CATALOGUE) ->
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
         df.schema  # resolve now so a missing path is detected here
     except Exception as e:  # noqa: BLE001 - the Spark error class differs by version
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+        if path_is_missing(e):
             return spark.createDataFrame([], schema)
         raise
     return null_markers(df)
