@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions.vectors import l2_normalize
-from lectern.operators.embed import MODEL_MAX_TOKENS, coverage_counts, coverage_gaps, fill_missing_vectors, hashed_vectors
+from lectern.operators.embed import MODEL_MAX_TOKENS, coverage_counts, coverage_gaps, embed_with, fill_missing_vectors, hashed_vectors
+from lectern.operators.origin import embed_with_origin, refresh_vectors
 from lectern.plans import sqltext as q
 from lectern.plans.registry import register
 from lectern.plans.standins import SQL_BOOKS, books_from_documents, spread, table, vectors_from_embeddings
-from lectern.session import scratch_path
+from lectern.session import materialize, scratch_path
 from lectern.sources.readers import read_vectors_text, wide_to_vectors
 from lectern.sources.writers import write_vectors_text
 
@@ -126,3 +127,44 @@ def q_truncated_vectors(spark, sf):
     """Vectors of each book's first 510 tokens, as a model with a bounded input sees them."""
     books = books_from_documents(spread(table(spark, sf, "documents")))
     return _long_form(hashed_vectors(books, dim=HASH_DIM, max_tokens=MODEL_MAX_TOKENS)).where(F.col("value") != 0)
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _letter_model():
+    """A caller's model: how often a text has each of the letters a to z (lower case only)."""
+    import numpy as np
+    return lambda texts: np.array([[t.count(c) for c in LETTERS] for t in texts], dtype=float).reshape(len(texts), len(LETTERS))
+
+
+def _by_letters(books):
+    return embed_with(books, _letter_model)
+
+
+SQL_LETTERS = f"""books AS ({SQL_BOOKS}), t AS (SELECT book_id, {q.compose()} AS txt FROM books),
+n AS (SELECT book_id, i - 1 AS dim_index, CAST(length(txt) - length(replace(txt, substr('{LETTERS}', i, 1), '')) AS DOUBLE) AS c
+      FROM t, range(1, {len(LETTERS) + 1}) r(i)),
+lv AS (SELECT book_id, CAST(dim_index AS BIGINT) AS dim_index, round(c / sqrt(sum(c * c) OVER (PARTITION BY book_id)), 6) AS value
+       FROM n QUALIFY sum(c) OVER (PARTITION BY book_id) > 0)"""
+
+
+@register("embedded_by_model", sql=f"WITH {SQL_LETTERS} SELECT * FROM lv WHERE value <> 0")
+def q_embedded_by_model(spark, sf):
+    """T7b + T9: vectors by a caller's model, loaded once per task."""
+    return _long_form(_by_letters(books_from_documents(spread(table(spark, sf, "documents"))))).where(F.col("value") != 0)
+
+
+@register("refreshed_vectors", sql=f"""WITH {SQL_LETTERS}
+SELECT book_id, dim_index, value, 'letters' AS embedder, md5(txt) AS text_md5, book_id % 3 <> 0 OR book_id % 4 = 0 AS computed
+FROM lv JOIN t USING (book_id) WHERE value <> 0""")
+def q_refreshed_vectors(spark, sf):
+    """M6 + D9 + D19: of the stored vectors, a third is of another embedder, a third of earlier texts, a quarter is missing and
+    some have no book; exactly those of the present text and embedder stay."""
+    books = books_from_documents(spread(table(spark, sf, "documents")))
+    k = F.col("book_id") % 3
+    earlier = books.withColumn("title", F.when(k == 1, F.concat_ws(" ", F.lit("earlier"), "title")).otherwise(F.col("title")))
+    stored = embed_with_origin(earlier, _by_letters, "letters").withColumn("embedder", F.when(k == 2, "others").otherwise(F.col("embedder")))
+    stored = stored.withColumn("book_id", F.when(F.col("book_id") % 4 == 0, -1 - F.col("book_id")).otherwise(F.col("book_id")))
+    out = materialize(refresh_vectors(books, materialize(stored, "stored-vectors"), _by_letters, "letters"), "refreshed-vectors")
+    return _long_form(out).where(F.col("value") != 0).join(out.select("book_id", "embedder", "text_md5", "computed"), "book_id")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lectern.functions.text import STOP_WORDS
 from lectern.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, measured_rows
 from lectern.operators.lemmas import apply_lemmas
+from lectern.operators.origin import ORIGIN, require_one_embedder
 from lectern.operators.present import result_page_columns
 from lectern.operators.retrieval import candidate_books, hydrate, query_tokens, score_candidates, top_n
 from lectern.sources.versioned import read_version
@@ -27,8 +28,12 @@ def hybrid_search(queries: DataFrame, postings: DataFrame, vectors: DataFrame, b
 
     ``queries``: (query_id, text); ``postings``: (token, book_id); ``vectors``: (book_id, embedding);
     ``query_vectors``: (query_id, embedding); ``books``: (book_id, ...). A query with no indexed token
-    returns no rows (D5). Output: query_id, rank, book_id, similarity and ``book_cols``.
+    returns no rows (D5). Where both vector tables carry an ``embedder``, it must be one and the same (D19). Output:
+    query_id, rank, book_id, similarity and ``book_cols``.
     """
+    if "embedder" in vectors.columns and "embedder" in query_vectors.columns:
+        require_one_embedder(vectors, query_vectors)
+        vectors, query_vectors = vectors.drop(*ORIGIN), query_vectors.drop(*ORIGIN)
     qt = query_tokens(queries, text_col, stop_words=stop_words)
     if lemmas is not None:
         qt = apply_lemmas(qt, lemmas, "query_id")
