@@ -7,7 +7,8 @@ batch: a request without seq or with an unknown action, and a row with a bad id,
 
 - an add without an id gets the next id after the largest id before the batch (R6, D2);
 - an add with an id is an upsert (M2): it replaces the row and starts the id anew, so the fold runs inside
-  "runs" cut by a running count of upserts;
+  "runs" cut by a running count of upserts, which is made over ranges of (id, place in order): the changes of one
+  hot id are spread over tasks, and only one number per range and id is carried on;
 - within a run the first delete ends the id; later edits and deletes of it are rejected, as are edits and
   deletes of an id that does not exist (J7);
 - for each field the latest given value of the run's applied edits wins (P4).
@@ -20,11 +21,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators.catalog import BOOK_DEFAULTS, BOOK_TYPES
-from lectern.operators.ids import sequential_ids
+from lectern.operators.ids import running_count, sequential_ids
 from lectern.operators.lemmas import apply_lemmas
 from lectern.operators.postings import build_postings
 from lectern.schemas import BOOK_DATA, BOOK_FIELDS
@@ -145,8 +146,7 @@ def apply_changes(books: DataFrame, changes: DataFrame, postings: DataFrame | No
         # skew-split by AQE), with no per-id ordered pass.
         tgt = tgt.withColumn("run", F.lit(0).cast("long"))
     else:
-        w = Window.partitionBy("book_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-        tgt = tgt.withColumn("run", F.sum(F.when(F.col("action") == "upsert", 1).otherwise(0)).over(w).cast("long"))
+        tgt = running_count(tgt, "book_id", "ord", F.col("action") == "upsert", "run")
     tgt = tgt.join(book_ids.withColumn("_exists", F.lit(True)), "book_id", "left")
     runs = tgt.groupBy("book_id", "run").agg(
         F.min(F.when(F.col("action") == "delete", F.col("ord"))).alias("first_del"))

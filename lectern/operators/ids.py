@@ -1,4 +1,4 @@
-"""Id assignment (R5 sequential ids, R6 next ids) without funnelling rows through one task.
+"""Id assignment (R5 sequential ids, R6 next ids) and running counts per key without funnelling rows through one task.
 
 R5 sorts by ranges: rows are range-partitioned by the ordering columns, written once with their task's number, counted
 per task, and numbered inside their task; the running sum over the tasks' counts (one number per task, which the driver
@@ -7,7 +7,7 @@ tracks anyway) is added as a small literal table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.session import materialize
@@ -32,3 +32,22 @@ def next_ids(new_rows: DataFrame, existing: DataFrame, order, id_col: str = "boo
     top = existing.select(F.coalesce(F.max(id_col), F.lit(-1)).cast("long")).scalar()  # scalar subquery
     numbered = sequential_ids(new_rows, order, "_k")
     return numbered.withColumn(out, top + F.col("_k") + 1).drop("_k")
+
+
+def running_count(df: DataFrame, key: str, order: str, when: Column, out: str) -> DataFrame:
+    """``out``: how many of the key's rows up to this one (by ``order``, ties together) meet ``when``.
+
+    Rows are ranged over tasks by (key, order) and written once; each task counts inside its range, and a key that crosses
+    ranges adds the counts of its earlier ranges (one number per key and range). So no task holds a hot key. Rows of a null
+    key are counted as one key.
+    """
+    hit = F.coalesce(when, F.lit(False)).cast("long")
+    ranged = materialize(df.withColumn("_hit", hit).repartitionByRange(key, order).withColumn("_part", F.spark_partition_id()), "ranged")
+    sums = ranged.groupBy(key, "_part").agg(F.sum("_hit").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(F.col(key).alias("_key"), F.col("_part").alias("_at"), F.sum("_n").over(before).alias("_before"))
+    carried = carried.where(F.col("_before") > 0)  # only keys that cross ranges
+    inside = Window.partitionBy("_part", key).orderBy(order)
+    counted = ranged.withColumn("_in", F.sum("_hit").over(inside))
+    met = counted.join(carried, (F.col("_part") == F.col("_at")) & F.col(key).eqNullSafe(F.col("_key")), "left")
+    return met.withColumn(out, F.col("_in") + F.coalesce("_before", F.lit(0))).select(*df.columns, out)

@@ -135,11 +135,13 @@ def parse_search_requests(df: DataFrame, json_col: str = "json") -> DataFrame:
             .select("*", F.col("req.user_query").alias("user_query")).drop("req"))
 
 
-def read_timing_log(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines ``"threads, seconds"`` to two numbers."""
-    lines = spark.read.text(path)
-    parts = F.split(F.trim("value"), ", ")
-    # Lines that are not two numbers are left out.
-    return lines.select(F.get(parts, F.lit(0)).try_cast("double").try_cast("int").alias("threads"),
-                        F.get(parts, F.lit(1)).try_cast("double").alias("seconds")).where("threads is not null and seconds is not null")
+def timing_columns(line: Column) -> list[Column]:
+    """Threads and seconds of a line ``"threads, seconds"``; null where the text is no number."""
+    parts = F.split(F.trim(line), ", ")
+    return [F.get(parts, F.lit(0)).try_cast("double").try_cast("int").alias("threads"), F.get(parts, F.lit(1)).try_cast("double").alias("seconds")]
+
 
+def read_timing_log(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines ``"threads, seconds"`` to two numbers; lines that are not two numbers are left out
+    (``landed.landed_timings`` reports them)."""
+    return spark.read.text(path).select(*timing_columns(F.col("value"))).where("threads is not null and seconds is not null")

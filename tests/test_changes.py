@@ -273,3 +273,67 @@ def test_lemmas_equal_a_rebuild_after_every_batch(spark):
         want = build_index(spark, got["books"], scratch_path(spark, "lemma-rebuild"), dim=8, lemmatize=True)
         for n in ("postings", "vocabulary", "lemmas"):
             assert rows(got[n].select(*sorted(got[n].columns))) == rows(want[n].select(*sorted(want[n].columns))), n
+
+
+def _folded(books, bodies):
+    """The fold as a plain loop: final rows (title, author) by id and the rejects (seq, pos, reason)."""
+    live, rejected, dead = {b[0]: [b[1], b[2]] for b in books}, [], set()
+    for seq, body in enumerate(bodies):
+        for pos, i in enumerate(int(x) for x in body["book_ids"]):
+            data = body["book_data"][pos] if "book_data" in body else None
+            if body["action"] == "add_book":
+                live[i] = [data.get("title", ""), data.get("author", "")]
+                dead.discard(i)
+            elif i not in live:
+                rejected.append((seq, pos, "after delete" if i in dead else "unknown id"))
+            elif body["action"] == "delete_book":
+                del live[i]
+                dead.add(i)
+            else:
+                live[i] = [data.get("title", live[i][0]), data.get("author", live[i][1])]
+    return live, sorted(rejected)
+
+
+def test_a_hot_id_is_folded_over_many_tasks(spark, charts):
+    """A third of all changes are of one id, with upserts, edits and deletes in any order."""
+    import random
+    rng, bodies = random.Random(11), []
+    for n in range(1500):
+        i = "9" if n % 3 == 0 else str(rng.choice([4, 5, 12, 40, 41, 42]))
+        kind = rng.choices(["add", "edit", "drop"], [1, 6, 2])[0]
+        data = {k: f"{k} {n}" for k in ("title", "author") if rng.random() < 0.6}
+        bodies.append(drop(i) if kind == "drop" else edit([i], data) if kind == "edit" else add(data, ids=[i]))
+    out = apply_requests(charts, reqs(spark, *bodies))
+    live, rejected = _folded(CHARTS, bodies)
+    assert {k: [r["title"], r["author"]] for k, r in by_id(out.books).items()} == live
+    assert rows(out.rejected, "seq", "pos", "reason") == rejected and len(rejected) > 100
+
+
+def test_running_count_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+    from lectern.operators.ids import running_count
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.lit(7)).when(F.col("id") % 6 == 0, F.col("id")).alias("k"), (F.col("id") / 2).cast("long").alias("at"),
+                                  F.when(F.col("id") % 5 > 0, F.col("id") % 4 == 1).alias("hit"))
+    got = running_count(df, "k", "at", F.col("hit"), "n").collect()
+    seen, want = {}, []
+    for r in sorted(df.collect(), key=lambda r: r["at"]):
+        seen.setdefault(r["k"], []).append(r)
+    for k, rs in seen.items():
+        want += [(k or -1, r["at"], sum(bool(x["hit"]) for x in rs if x["at"] <= r["at"])) for r in rs] if k != 7 else []
+    assert sorted((r["k"] or -1, r["at"], r["n"]) for r in got if r["k"] != 7) == sorted(want)
+    total, hot = 0, sorted((r for r in got if r["k"] == 7), key=lambda r: r["at"])
+    by_at = {}
+    for r in seen[7]:
+        by_at[r["at"]] = by_at.get(r["at"], 0) + bool(r["hit"])
+    running = {}
+    for at in sorted(by_at):
+        total += by_at[at]
+        running[at] = total
+    assert len(hot) == 4000 and all(r["n"] == running[r["at"]] for r in hot)
+    # The hot key's rows lie in several ranges, so no window holds them all.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = df.repartitionByRange("k", "at").where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 2000
