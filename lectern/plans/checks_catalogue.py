@@ -11,7 +11,9 @@ from lectern.operators.postings import build_postings
 from lectern.plans import sqltext as q
 from lectern.plans.registry import register
 from lectern.plans.standins import SQL_BOOKS, SQL_RAW_CATALOGUE, books_from_documents, raw_catalogue_from_part, table
+from lectern.schemas import RAW_CATALOGUE
 from lectern.session import materialize, scratch_path
+from lectern.sources.landed import all_counts, landed_catalogue, landed_changes, landed_responses, landed_searches, landed_timings
 from lectern.sources.readers import (books_from_search_responses, enrich_descriptions, read_catalogue_csv,
                                      union_ingests)
 from lectern.sources.writers import load_or_build, write_csv
@@ -175,3 +177,46 @@ def q_load_or_build(spark, sf):
 
     load_or_build(spark, path, build)
     return load_or_build(spark, path, lambda: (_ for _ in ()).throw(RuntimeError("must not rebuild")))
+
+
+#: Landed lines of every reader, made of the tables; some records of each are broken, by rules on their columns.
+SQL_LANDED = """
+WITH c AS (SELECT CASE doc_id % 7 WHEN 0 THEN 'no json' WHEN 1 THEN 'no action' WHEN 2 THEN 'no list' WHEN 3 THEN 'no object' ELSE 'read' END AS reason FROM documents),
+s AS (SELECT CASE WHEN coalesce(role, '') <> 'user' THEN 'no search' WHEN text IS NULL THEN 'no query' ELSE 'read' END AS reason FROM conversations),
+r AS (SELECT CASE WHEN item_id IS NULL OR length(text) % 5 = 0 THEN 'no docs' ELSE 'read' END AS reason FROM benchmark WHERE text IS NOT NULL),
+t AS (SELECT CASE WHEN value IS NULL THEN 'no two numbers' ELSE 'read' END AS reason FROM events),
+p AS (SELECT CASE WHEN p_partkey % 9 = 0 THEN 'malformed record' ELSE 'read' END AS reason FROM part)
+SELECT reader, reason, count(*) AS n FROM (SELECT 'changes' AS reader, reason FROM c UNION ALL SELECT 'searches', reason FROM s
+  UNION ALL SELECT 'responses', reason FROM r UNION ALL SELECT 'timings', reason FROM t UNION ALL SELECT 'catalogue', reason FROM p) GROUP BY reader, reason"""
+
+
+@register("landed_rejects", sql=SQL_LANDED)
+def q_landed_rejects(spark, sf):
+    """Files with broken records, landed by Spark from the tables and read back; records and rejects by reason."""
+    def land(name, df):
+        path = scratch_path(spark, f"landing-{name}")
+        df.write.text(path)
+        return path
+
+    n, text = F.pmod("doc_id", F.lit(7)), F.coalesce("text", F.lit(""))
+    request = F.to_json(F.struct(F.lit("add_book").alias("action"), F.array(F.struct(text.alias("title"))).alias("book_data")))
+    changes = (F.when(n == 0, F.substring(request, 1, 25)).when(n == 1, F.to_json(F.struct(text.alias("title"))))
+               .when(n == 2, F.to_json(F.struct(F.lit("edit_book").alias("action"), text.alias("book_ids"))))
+               .when(n == 3, F.to_json(F.array(text))).otherwise(request))
+    asked = F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(F.array("text"))
+    search = F.to_json(F.struct(F.when(F.col("role") == "user", "search").otherwise(F.col("role")).alias("action"), asked.alias("user_query")))
+    docs = F.array(F.struct(F.col("text").alias("title")))
+    broken = F.col("item_id").isNull() | (F.length("text") % 5 == 0)
+    response = F.to_json(F.struct(F.col("item_id").alias("q"), F.when(~broken, docs).alias("docs")))
+    timing = F.concat_ws(", ", F.coalesce(F.col("user_id").cast("int").cast("string"), F.lit("0")), F.col("value").cast("string"))
+    part, half = table(spark, sf, "part"), F.col("p_partkey") % 9 == 0
+    csv = scratch_path(spark, "landing-catalogue")
+    book = [F.col("p_name"), F.col("p_brand"), F.col("p_size"), F.col("p_partkey"), F.col("p_partkey"), F.col("p_type"), F.col("p_name")]
+    part.where(~half).select(*[c.cast("string").alias(f) for c, f in zip(book, RAW_CATALOGUE.fieldNames())]).write.option("header", True).csv(csv)
+    part.where(half).select(F.col("p_name").alias("title"), F.col("p_brand").alias("author")).write.mode("append").option("header", True).csv(csv)
+    return all_counts(
+        landed_changes(spark, land("changes", table(spark, sf, "documents").select(changes))),
+        landed_searches(spark, land("searches", table(spark, sf, "conversations").select(search))),
+        landed_responses(spark, land("responses", table(spark, sf, "benchmark").where("text is not null").select(response))),
+        landed_timings(spark, land("timings", table(spark, sf, "events").select(timing))),
+        landed_catalogue(spark, csv))
