@@ -4,11 +4,12 @@ Law ``bytes``: new shards get nearly equal bytes. A document weighs its UTF-8 by
 per old and per new shard (a few dozen, the shard counts are parameters); keeping bytes in their shard costs 0, moving a
 byte costs 1. Its solution says how many bytes go from which old to which new shard.
 
-Inside an old shard documents stand in the order (bucket, slice, text hash, doc_id), so equal texts are neighbours and stay
-together wherever no cut falls between them; buckets are hash ranges of texts, and a bucket far above the usual size (one
-text with very many copies) is cut into slices by doc_id. Bytes before a document are those of the units (bucket,
-slice) before it plus those before it in its unit, so no task ever holds a shard. The flow becomes cuts of that
-byte order; a document goes where its middle byte falls, so a cut is exact to half a document.
+Inside an old shard documents stand in the order (bucket, slice, text hash, doc_id); buckets are hash ranges of texts, and a
+bucket far above the usual size is cut into slices. Bytes before a document are those of the units (bucket, slice) before it
+plus those before it in its unit, so no task ever holds a shard. The flow becomes cuts of that byte order. A group of equal
+texts goes where its middle byte falls, whole, so a cut is exact to half a group; only a group larger than both the largest
+document and a hundredth of a new shard (at most 100 per new shard) may be cut: its documents are sliced by doc_id and go where their own middle bytes fall.
+Its copies that share one doc_id, or have none, are one slice.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import aside, table, written
+from lectern.llm.common import aside, bounded, table, written
 from lectern.session import scratch_path
 
 NEW_SHARDS, OLD_SHARDS = 24, 16
@@ -93,7 +94,8 @@ def reshard(docs: DataFrame, old: Column, path: str, capacities=None, new_shards
     key = docs.withColumn("_old", F.coalesce(old.cast("int"), F.lit(0))).withColumn("_hash", F.xxhash64("text"))
     key = key.withColumn("_size", size_of(F.col("text"))).drop("shard", "slot")
     narrow = written(key.select("_old", "_hash", "doc_id", "_size"), "reshard-sizes")
-    totals = {r[0]: int(r[1]) for r in narrow.groupBy("_old").agg(F.sum("_size")).collect()}
+    per_old = narrow.groupBy("_old").agg(F.sum("_size"), F.max("_size")).collect()
+    totals = {r[0]: int(r[1]) for r in per_old}
     total = sum(totals.values())
     n_old = max(totals, default=-1) + 1
     caps = list(capacities) if capacities else equal_capacities(total, new_shards)
@@ -106,12 +108,15 @@ def reshard(docs: DataFrame, old: Column, path: str, capacities=None, new_shards
     buckets = max(1, math.ceil(total / max(1, n_old) / unit))
     bucket = F.pmod("_hash", F.lit(buckets)).cast("int")
     hot = narrow.withColumn("_bucket", bucket).groupBy("_old", "_bucket").agg(F.sum("_size").alias("_n")).filter(F.col("_n") > 4 * unit)
-    # At most total / (4 * unit) rows, so at most a few hundred thousand however the data look.
-    hot = F.broadcast(written(hot.select("_old", "_bucket", F.ceil(F.col("_n") / unit).cast("long").alias("_m")), "reshard-hot"))
+    hot = bounded(written(hot.select("_old", "_bucket", F.ceil(F.col("_n") / unit).cast("long").alias("_m")), "reshard-hot"))
+    whole = max([total // n_new // 100, *(int(r[2]) for r in per_old)])
+    large = narrow.groupBy("_old", "_hash").agg(F.sum("_size").alias("_n")).filter(F.col("_n") > whole)
+    large = bounded(written(large.select("_old", "_hash", F.lit(True).alias("_large")), "reshard-large"))
 
     def sliced(df: DataFrame) -> DataFrame:
-        df = df.withColumn("_bucket", bucket).join(hot, ["_old", "_bucket"], "left")
-        return df.withColumn("_slice", F.when(F.col("_m").isNotNull(), F.pmod(F.xxhash64("doc_id"), "_m")).otherwise(0).cast("int")).drop("_m")
+        df = df.withColumn("_bucket", bucket).join(hot, ["_old", "_bucket"], "left").join(large, ["_old", "_hash"], "left")
+        at = F.when(F.col("_large"), F.xxhash64("doc_id")).otherwise(F.xxhash64("_hash"))
+        return df.withColumn("_slice", F.when(F.col("_m").isNotNull(), F.pmod(at, "_m")).otherwise(0).cast("int")).drop("_m")
 
     units = sliced(narrow).groupBy(*_UNIT).agg(F.sum("_size").alias("_bytes"))
     units = units.withColumn("_before", F.sum("_bytes").over(W.partitionBy("_old").orderBy("_bucket", "_slice")) - F.col("_bytes"))
@@ -134,14 +139,19 @@ def reshard(docs: DataFrame, old: Column, path: str, capacities=None, new_shards
     order = [F.col("_hash"), F.col("doc_id")]
 
     def placed(df: DataFrame, moved: Column) -> DataFrame:
-        df = sliced(df.filter(moved)).join(F.broadcast(units), _UNIT).repartition("_task")
-        inside = F.sum("_size").over(W.partitionBy("_task", *_UNIT).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
-        return df.join(cuts, "_old").withColumn("shard", target(F.col("_before") + F.coalesce(inside, F.lit(0)) + F.floor(F.col("_size") / 2)))
+        df = sliced(df.filter(moved)).join(bounded(units), _UNIT).repartition("_task")
+        unit = W.partitionBy("_task", *_UNIT)
+        df = df.withColumn("_to_here", F.sum("_size").over(unit.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
+        copies = F.sum("_size").over(W.partitionBy("_task", *_UNIT, "_hash"))
+        upto = F.sum("_size").over(unit.orderBy("_hash").rangeBetween(W.unboundedPreceding, W.currentRow))
+        df = df.withColumn("_copies", copies).withColumn("_to_group", upto)
+        middle = F.when(F.col("_large"), F.col("_to_here") - F.ceil(F.col("_size") / 2)).otherwise(F.col("_to_group") - F.ceil(F.col("_copies") / 2))
+        return df.join(cuts, "_old").withColumn("shard", target(F.col("_before") + middle))
 
     moved = ~F.col("_old").isin(*same) if same and old_files else F.lit(True)
     counts = placed(narrow, moved).groupBy("shard", *_UNIT).agg(F.count(F.lit(1)).alias("_rows"))
     first = F.sum("_rows").over(W.partitionBy("shard").orderBy(*_UNIT)) - F.col("_rows")
-    counts = F.broadcast(written(counts.select("shard", *_UNIT, first.alias("_slot")), "reshard-slots"))
+    counts = bounded(written(counts.select("shard", *_UNIT, first.alias("_slot")), "reshard-slots"))
     rows = placed(key, moved)
     rank = F.row_number().over(W.partitionBy("_task", *_UNIT, "shard").orderBy(*order)) - 1
     rows = rows.withColumn("_rank", rank).join(counts, ["shard", *_UNIT]).withColumn("slot", F.col("_slot") + F.col("_rank"))

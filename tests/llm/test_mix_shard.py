@@ -118,6 +118,32 @@ def test_rows_of_unaffected_shards_are_returned(spark):
         assert all(old[r.doc_id] == r.shard for r in got if r.shard < 16 and old.count(r.shard) == n // 24)
 
 
+def test_equal_texts_stay_together(spark):
+    """Groups of copies up to the largest document or a hundredth of a shard are in one shard; flows hold to half a group."""
+    rng = random.Random(8)
+    texts = [prose(100 + i, rng.randint(1, 80)) for i in range(500)]
+    picks = [t for t in texts for _ in range(rng.choice([1, 1, 2, 3]))] + ["many copies of this text"] * 700
+    rows = [(i, t, "en", "s") for i, t in enumerate(picks)]
+    size = lambda t: len(t.encode()) + 8
+    path, old = scratch_path(spark, "test-groups"), F.pmod(F.crc32("text"), F.lit(16))
+    docs = make(spark, rows)
+    flow = flow_reshard.reshard(docs, old, path, old_files=False)
+    got = flow_reshard.read_shards(spark, docs, path).collect()
+    total = sum(size(t) for t in picks)
+    whole = max(max(size(t) for t in texts), total // 24 // 100)
+    groups, moved, numbers = {}, {}, {}
+    for r in got:
+        groups.setdefault(r.text, []).append(r.shard)
+        key = (zlib.crc32(r.text.encode()) % 16, r.shard)
+        moved[key] = moved.get(key, 0) + size(r.text)
+        numbers.setdefault(r.shard, []).append(r.slot)
+    assert sorted(r.doc_id for r in got) == list(range(len(rows)))
+    assert all(len(set(v)) == 1 for t, v in groups.items() if size(t) * len(v) <= whole)
+    assert len(set(groups["many copies of this text"])) > 1
+    assert all(abs(moved.get(k, 0) - flow.get(k, 0)) <= whole for k in {*moved, *flow})
+    assert all(sorted(v) == list(range(len(v))) for v in numbers.values())
+
+
 def test_reshard_edge_rows(spark, edge, empty):
     assert flow_reshard.resharded(spark, edge).count() == edge.count()
     assert flow_reshard.resharded(spark, empty).count() == 0
