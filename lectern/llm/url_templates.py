@@ -8,8 +8,8 @@ stand in the order of their share of bad pages; neighbours whose shares do not d
 branch with the wildcard, else the one with most pages, is ``*``; another branch is named by its segment, or ``{a|b}`` if it has several. Templates whose labelled share of bad pages, smoothed towards
 the host's and that towards the corpus's, reaches ``BLOCK_AT`` are rejected; one without labels never is.
 
-The tree goes on while a node has ``MIN_PAGES`` pages with a further segment; below that all segments are variable. Wildcards
-that end a template count as one from level ``MAX_DEPTH`` on.
+The tree goes on while a node has ``MIN_PAGES`` pages with a further segment; below that all segments are variable. A template
+has a place for every segment, so paths of different depth never share one.
 
 Levels only aggregate over pages; the literal branches are a small table per level that is joined to the rows, so a host
 with a third of all pages is neither gathered nor shuffled, and the test of its rare segments needs only the two sums.
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from lectern.llm.common import az_lower, bounded, table, written
 
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
-#: From this level on, the wildcards that end a template are one (the SQL has no deeper levels).
-MAX_DEPTH = 8
+#: Levels between two written copies of the rows, and levels of the SQL.
+LEVELS = 8
 MIN_PAGES, MIN_SHARE, Z = 10, 0.05, 3.0
 #: Labelled pages that a segment below ``MIN_SHARE`` needs to be tested.
 MIN_LABELLED = 10
@@ -62,17 +62,13 @@ def _step(rows: DataFrame, level: int, named: DataFrame) -> DataFrame:
     rows = rows.join(named, (rows["host"] == F.col("_host")) & (rows["template"] == F.col("_tpl")) & (seg == F.col("_seg")), "left")
     more = F.when(seg.isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("_name", F.lit("*"))))
     rows = rows.withColumn("template", F.concat("template", more)).drop("_host", "_tpl", "_seg", "_name")
-    return written(rows, "deeper-paths") if (level + 1) % MAX_DEPTH == 0 else rows  # so that a plan has few joins
+    return written(rows, "deeper-paths") if (level + 1) % LEVELS == 0 else rows  # so that a plan has few joins
 
 
 def _ended(rows: DataFrame, level: int) -> DataFrame:
     """Complete ``template`` by wildcards for the segments from ``level`` on, which have no branches."""
-    more = F.repeat(F.lit("/*"), F.least(F.greatest(F.size("_segs") - level, F.lit(0)), F.lit(MAX_DEPTH)))
-    rows = rows.withColumn("_all", F.concat("template", more)).withColumn("_named", F.regexp_replace("_all", r"(?:/\*)+\z", ""))
-    named = F.length("_named") - F.length(F.replace("_named", F.lit("/"), F.lit("")))  # names have no slash
-    wild = ((F.length("_all") - F.length("_named")) / 2).cast("int")
-    last = F.least(wild, F.greatest(MAX_DEPTH - named, F.lit(1)))
-    return rows.withColumn("template", F.concat("_named", F.repeat(F.lit("/*"), last))).drop("_all", "_named")
+    more = F.repeat(F.lit("/*"), F.greatest(F.size("_segs") - level, F.lit(0)))
+    return rows.withColumn("template", F.concat("template", more))
 
 
 def _apart(bad: Column, lab: Column, bad0: Column, lab0: Column) -> Column:
@@ -169,7 +165,7 @@ def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """The same tree, unrolled over ``MAX_DEPTH`` levels and without the rare segments that stay apart: the test tables have
+    """The same tree, unrolled over ``LEVELS`` levels and without the rare segments that stay apart: the test tables have
     neither deeper paths nor such segments."""
     fits = lambda r: f"(host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}')"
     by_len = sorted(RULES, key=lambda r: -len(r[0]))
@@ -181,9 +177,9 @@ h AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)',
 g AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM h),
 l AS (SELECT doc_id, max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
 """
-         f"r0 AS (SELECT g.page_id, host, path, bad, '' AS tpl, CASE WHEN len(s) > {MAX_DEPTH} THEN list_concat(list_slice(s, 1, {MAX_DEPTH - 1}), "
-         f"[array_to_string(list_slice(s, {MAX_DEPTH}, len(s)), '/')]) ELSE s END AS s FROM g LEFT JOIN l ON l.doc_id = g.page_id)"]
-    for k in range(MAX_DEPTH):
+         f"r0 AS (SELECT g.page_id, host, path, bad, '' AS tpl, CASE WHEN len(s) > {LEVELS} THEN list_concat(list_slice(s, 1, {LEVELS - 1}), "
+         f"[array_to_string(list_slice(s, {LEVELS}, len(s)), '/')]) ELSE s END AS s FROM g LEFT JOIN l ON l.doc_id = g.page_id)"]
+    for k in range(LEVELS):
         q.append(f"""n{k} AS (SELECT host, tpl, count(*) AS n, count(bad) AS lab, coalesce(sum(bad), 0) AS bad FROM r{k} WHERE len(s) > {k} GROUP BY ALL),
 f{k} AS (SELECT c.* FROM (SELECT host, tpl, s[{k + 1}] AS seg, count(*) AS n, count(bad) AS lab, coalesce(sum(bad), 0) AS bad
   FROM r{k} WHERE len(s) > {k} GROUP BY ALL) c JOIN n{k} n ON c.host = n.host AND c.tpl = n.tpl WHERE c.n >= {MIN_PAGES} AND c.n >= n.n * {MIN_SHARE}),
@@ -201,13 +197,13 @@ k{k} AS (SELECT e.host, e.tpl, e.seg, CASE WHEN many > 1 THEN '{{' || names || '
   FROM e{k} e JOIN m{k} m ON e.host = m.host AND e.tpl = m.tpl AND e.class = m.class WHERE top > 1),
 r{k + 1} AS (SELECT page_id, r.host, path, bad, CASE WHEN len(s) > {k} THEN r.tpl || '/' || coalesce(k.name, '*') ELSE r.tpl END AS tpl, s
   FROM r{k} r LEFT JOIN k{k} k ON r.host = k.host AND r.tpl = k.tpl AND r.s[{k + 1}] = k.seg)""")
-    q.append(f"""t AS (SELECT host, tpl, count(bad) AS lab, coalesce(sum(bad), 0) AS bad FROM r{MAX_DEPTH} GROUP BY ALL),
+    q.append(f"""t AS (SELECT host, tpl, count(bad) AS lab, coalesce(sum(bad), 0) AS bad FROM r{LEVELS} GROUP BY ALL),
 b AS (SELECT coalesce(sum(bad) / sum(lab)::DOUBLE, 0) AS base FROM t),
 hr AS (SELECT host, (sum(bad) + {PRIOR} * (SELECT base FROM b)) / (sum(lab) + {PRIOR}) AS rate FROM t GROUP BY host),
 x AS (SELECT t.host, t.tpl, (t.bad + {PRIOR} * rate) / (t.lab + {PRIOR}) >= {BLOCK_AT} AND t.lab > 0 AS blocked FROM t JOIN hr ON t.host = hr.host)
 SELECT page_id, r.host, path, {rule.replace('host', 'r.host')} AS rule,
   coalesce({said.replace('host', 'r.host')}, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict, r.tpl AS template
-FROM r{MAX_DEPTH} r JOIN x ON r.host = x.host AND r.tpl = x.tpl""")
+FROM r{LEVELS} r JOIN x ON r.host = x.host AND r.tpl = x.tpl""")
     return ",\n".join(q)
 
 

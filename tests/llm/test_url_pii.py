@@ -43,21 +43,29 @@ def test_bad_branch_is_kept_apart_and_rejected(site):
     by = {r.page_id: r for r in got}
     assert {by[i].template for i in range(400)} == {"/casino/*/*", "/*/*/*"}
     assert all(by[i].verdict == ("block" if i % 4 == 0 else "allow") and by[i].rule is None for i in range(400))
-    assert (by[900].host, by[900].template, by[900].verdict) == ("", "", "allow") and by[902].template == "/*" * 8
+    assert (by[900].host, by[900].template, by[900].verdict) == ("", "", "allow") and by[902].template == "/*" * 11
 
 
 def test_branches_below_the_eighth_level(spark):
-    """Bad and good subtrees part at level 9 and at level 18; paths that differ nowhere else share a template."""
+    """Bad and good subtrees part at level 9 and at level 18; paths of one depth that differ nowhere else share a template."""
     rows, bad = [], []
     for i in range(360):
         depth, kind = (8, 17)[i % 2], "bad" if i % 3 == 0 else "good"
         rows.append((i, f"https://d{depth}.test/" + "/".join(f"s{k}" for k in range(depth)) + f"/{kind}/{i}" + "/x" * (i % 5)))
         bad += [(i, int(kind == "bad"))] if i % 4 < 2 else []
     got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(bad, "page_id long, bad int")).collect()
-    want = {i: (("/*" * (8, 17)[i % 2] + "/bad/*", "block") if i % 3 == 0 else ("/*" * 8, "allow")) for i in range(360)}
+    want = {i: ("/*" * (8, 17)[i % 2] + ("/bad" if i % 3 == 0 else "/*") + "/*" * (1 + i % 5), "block" if i % 3 == 0 else "allow") for i in range(360)}
     assert len(got) == 360 and {r.page_id: (r.template, r.verdict) for r in got} == want
 
 
+def test_depths_are_judged_apart(spark):
+    """Variable segments only: good paths have nine, bad ones twelve."""
+    rows = [(i, "https://deep.test/" + "/".join(f"v{i}x{k}" for k in range(9 if i < 200 else 12))) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i >= 200)) for i in range(400)], "page_id long, bad int")
+    got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
+    assert {(r.page_id >= 200, r.template, r.verdict) for r in got} == {(False, "/*" * 9, "allow"), (True, "/*" * 12, "block")}
+
+
 def test_no_labels_and_no_pages(site):
     pages, labels = site
     assert {r.verdict for r in urls.filter_urls(pages, labels.limit(0)).collect()} == {"allow"}
