@@ -5,14 +5,16 @@ corpus (coreference). Distinctness is checked over the table of distinct entitie
 one surrogate, or a surrogate is itself an entity of the corpus, all but the first draw again, until none is left. Only
 those few entities are handed to the rewriting pass, per document; all others follow from the key alone.
 
-Types: e-mail addresses, telephone numbers, IPv4 addresses, payment cards (Luhn), secrets (assigned tokens), names after a
-title. Formats are kept: digits stay digits and separators stay where they are, a card keeps its first digit, its length and
-a right check digit, a telephone its country code, an address four numbers below 256, letters their case and script, a name
-the gender its title tells.
+Types: e-mail addresses, telephone numbers (international, and the usual national forms), IPv4 addresses, payment cards (Luhn),
+IBANs (check number), secrets (assigned tokens), names after a title and all mentions of these names in the same document as
+capitalised words by themselves. Formats are kept: digits stay digits and separators stay where they are, a card keeps its first digit, its length
+and a right check digit, an IBAN its country and a right check number, a telephone its country code or leading zero, an address four
+numbers below 256, letters their case and script, a name the gender its title tells.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
@@ -32,6 +34,8 @@ TITLES = {"Mr": "m", "Herr": "m", "Herrn": "m", "Monsieur": "m", "Sr": "m", "Se
           "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Mme": "f", "Madame": "f", "Mlle": "f", "Sra": "f", "Señora": "f",
           "г-жа": "f", "Κα": "f", "Dr": "n", "Prof": "n"}
 _WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
+#: A name word by itself, and the ending of an owner.
+_ALONE, _OWNER = re.compile(r"(?<!\w)" + _WORD + r"(?!\w)"), re.compile("['’]s$")
 _PATTERNS = [  # (cheap test, pattern); earlier ones win where two meet
     (lambda t: "@" in t, re.compile(
         r"(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9]))")),
@@ -40,6 +44,10 @@ _PATTERNS = [  # (cheap test, pattern); earlier ones win where two meet
     (re.compile(r"\d").search, re.compile(
         r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d))"
         r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,}(?!\w))|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)(?![A-Za-z]))")),
+    (re.compile(r"\d{3}").search, re.compile(
+        r"(?P<national>(?<![\w+.(-])(?:\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}(?P<sep>[.-])\d{3}(?P=sep)\d{4}|0\d{2,4}[ -]\d{3,4}[ -]?\d{3,4})(?!\w|[ .-]\d))")),
+    (re.compile(r"[A-Z]{2}\d\d").search, re.compile(
+        r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))")),
     (lambda t: any(x in t for x in TITLES), re.compile(
         r"\b(?P<title>" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[ \u00a0](?P<name>" + _WORD + "(?: " + _WORD + ")?)")),
 ]
@@ -53,6 +61,21 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _remainder(iban: str) -> int:
+    """The remainder by 97 of an IBAN, of which country and check number count last and letters as 10 to 35; 1 is right."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def _iban(m: re.Match) -> list[tuple[int, int, str, str]]:
+    """The longest IBAN that a match begins with; groups behind it may be words in capitals."""
+    text = m.group("iban")
+    for end in [len(text), *(i for i in range(len(text) - 1, 14, -1) if text[i] == " ")]:
+        bare = text[:end].replace(" ", "")
+        if 15 <= len(bare) <= 34 and _remainder(bare) == 1:
+            return [(m.start("iban"), m.start("iban") + end, "iban", bare)]
+    return []
+
+
 def _is_card(d: str) -> bool:
     two, four = int(d[:2]), int(d[:4])
     known = (d[0] == "4" and len(d) in (13, 16, 19)) or (len(d) == 16 and (51 <= two <= 55 or 2221 <= four <= 2720 or four == 6011 or two == 65)) or (len(d) == 15 and two in (34, 37))
@@ -62,24 +85,29 @@ def _is_card(d: str) -> bool:
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, type, normal form) of every entity, in order. A candidate that fails its type's test (check digit,
     numbers above 255, a name in lower case) is ordinary text. Given and family names are entities of their own, so a
-    person keeps the family name whether or not the given name is there; a name by itself after a title is a family name."""
+    person keeps the family name whether or not the given name is there; a name by itself after a title is a family name.
+    A name found so is an entity wherever else it stands in the text as a capitalised word, with the type it was first found with."""
     out = []
     for may, pattern in _PATTERNS if text else ():
         for m in pattern.finditer(text) if may(text) else ():
-            kind = m.lastgroup
+            kind = "national" if m.groupdict().get("national") else m.lastgroup
             if kind in ("email", "secret"):
                 out.append((m.start(kind), m.end(kind), kind, m.group(kind).lower() if kind == "email" else m.group(kind)))
             elif kind == "phone":
                 out.append((m.start(), m.end(), kind, re.sub(r"\D", "", m.group())))
+            elif kind == "national":
+                out.append((m.start(), m.end(), "phone", re.sub(r"\D", "", m.group())))
+            elif kind == "iban":
+                out += _iban(m)
             elif kind == "ip" and all(int(x) < 256 for x in m.group().split(".")):
                 out.append((m.start(), m.end(), kind, ".".join(str(int(x)) for x in m.group().split("."))))
             elif kind == "card":
                 out += _cards(m)
             elif kind == "name":
-                words = m.group("name").split(" ")
+                words = [_OWNER.sub("", w) for w in m.group("name").split(" ")]
                 at, gender = m.start("name"), TITLES[m.group("title")]
                 if words[0][:1].isupper():
-                    if len(words) == 2 and words[1][:1].isupper():
+                    if len(words) == 2 and words[1][:1].isupper() and " " == text[at + len(words[0])]:
                         out.append((at, at + len(words[0]), "given", gender + ":" + words[0].casefold()))
                         at, words = at + len(words[0]) + 1, words[1:]
                     out.append((at, at + len(words[0]), "family", words[0].casefold()))
@@ -88,7 +116,25 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
         if e[0] >= end:
             kept.append(e)
             end = e[1]
-    return kept
+    names = {}
+    for _, _, kind, normal in kept:
+        if kind in ("given", "family"):
+            names.setdefault(normal.rpartition(":")[2], (kind, normal))
+    return _with_mentions(text, kept, names) if names else kept
+
+
+def _with_mentions(text: str, kept: list, names: dict) -> list[tuple[int, int, str, str]]:
+    """The entities and, between them, every other capitalised word that is one of the names."""
+    starts, out = [e[0] for e in kept], []
+    for m in _ALONE.finditer(text):
+        word = _OWNER.sub("", m.group())
+        if not word[:1].isupper() or word.casefold() not in names:
+            continue
+        at = bisect.bisect_right(starts, m.start())
+        end = m.start() + len(word)
+        if (at == 0 or kept[at - 1][1] <= m.start()) and (at == len(kept) or end <= starts[at]):
+            out.append((m.start(), end, *names[word.casefold()]))
+    return sorted([*kept, *out])
 
 
 def _cards(m: re.Match) -> list[tuple[int, int, str, str]]:
@@ -137,8 +183,12 @@ def surrogate(kind: str, normal: str, attempt: int, key: str) -> str:
         body = normal[0] + "".join(str(next(draw) % 10) for _ in range(len(normal) - 2 + more))
         return next(body + c for c in "0123456789" if luhn(body + c))
     if kind == "phone":
-        head = normal[:len(normal) - 10] if len(normal) > 10 else ""
+        head = normal[:len(normal) - 10] if len(normal) > 10 else "0" if normal[0] == "0" else ""
         return head + "".join(str(next(draw) % (8 if k == 0 else 10) + (2 if k == 0 else 0)) for k in range(len(normal) - len(head) + more))
+    if kind == "iban":
+        body = "".join(str(next(draw) % 10) if c.isdigit() else chr(65 + next(draw) % 26) for c in normal[4:])
+        body += "".join(str(next(draw) % 10) for _ in range(min(more, 34 - len(normal))))
+        return normal[:2] + f"{98 - _remainder(normal[:2] + '00' + body):02d}" + body
     if kind == "ip" and more:
         return "2001:db8::" + ":".join(f"{next(draw) % 65535 + 1:x}" for _ in range(4))
     if kind == "ip":
@@ -165,9 +215,9 @@ def surrogate(kind: str, normal: str, attempt: int, key: str) -> str:
 
 def dressed(kind: str, old: str, new: str) -> str:
     """The replacement in the clothes of the text it replaces: separators, and upper or lower case."""
-    if kind in ("card", "phone"):
+    if kind in ("card", "phone", "iban"):
         it = iter(new)
-        return "".join(next(it) if c.isdigit() else c for c in old) + "".join(it)
+        return "".join(next(it) if c.isalnum() else c for c in old) + "".join(it)
     if kind in ("given", "family"):
         word = new.rpartition(":")[2]
         return word.upper() if old.isupper() and len(old) > 1 else word[:1].upper() + word[1:]

@@ -99,6 +99,42 @@ SAMPLES = {
 }
 
 
+def test_mentions_of_names_and_national_formats():
+    new, n = pii.replace_entities("Smith wrote. Mr. John Smith came. Smith's son and JOHN left; smith, Smithson and x.smith@a.org stay", "k", {})
+    assert n == 6 and not re.search(r"\bSmith\b|John|JOHN|x\.smith", new) and "smith, Smithson and" in new
+    w = re.findall(r"[A-Z]\w+", new)
+    assert w[0] == w[3] == w[4] and new.split("'s son")[0].endswith(w[0]) and w[5] == w[2].upper()
+    for text in ("(743) 555-3824", "020 7946 0958", "743-555-3824", "743.555.3824", "030 123 4567", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"):
+        new, n = pii.replace_entities(f"call {text}, THAT is all", "k", {})
+        got = new[len("call "):-len(", THAT is all")]
+        assert n == 1 and got != text and shape(got) == shape(text) and pii.replace_entities(f"call {got}, THAT", "k", {})[1] == 1
+    iban = pii.entities("DE89 3704 0044 0532 0130 00 THAT WAS")
+    assert [(e[1], e[2]) for e in iban] == [(27, "iban")] and pii._remainder(pii.surrogate("iban", iban[0][3], 0, "k")) == 1
+    for text in ("DE88 3704 0044 0532 0130 00", "2024-01-01 10:30", "1743-555-3824", "743-555-38245", "743-555-3824-1", "12 345 6789", "0.5 123 4567", "v743.555.3824"):
+        assert pii.replace_entities(text, "k", {}) == (text, 0), text
+
+
+def test_rewrite_equals_a_plain_loop(spark):
+    """The whole operator against a loop over all texts: entities of the corpus first, then collisions, then texts."""
+    from tests.llm.conftest import make
+    texts = [f"Mr. Al Bo{chr(97 + i % 7)} wrote to {chr(97 + i % 20)}@{chr(97 + i % 9)}.de, Bo{chr(97 + i % 7)} called 743-555-{1000 + i}" for i in range(300)] + [None, ""]
+    found = sorted({(k, v) for t in texts for _, _, k, v in pii.entities(t)})
+    settled, todo, attempt = {}, found, 0
+    while todo:
+        used = {(k, s) for (k, _), (s, _) in settled.items()} | set(found)
+        best = {}
+        for k, v in todo:
+            s = pii.surrogate(k, v, attempt, "key")
+            if (k, s) not in used:
+                best[k, s] = min(v, best.get((k, s), v))
+        settled |= {(k, v): (s, attempt) for (k, s), v in best.items()}
+        todo, attempt = [e for e in todo if e not in settled], attempt + 1
+    redrawn = {e: a for e, (_, a) in settled.items() if a}
+    assert redrawn and len({(k, s) for (k, _), (s, _) in settled.items()}) == len(found)
+    got = {r.doc_id: (r.text, r.n_entities) for r in pii.pseudonymise(make(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), "key").collect()}
+    assert got == {i: pii.replace_entities(t, "key", redrawn) for i, t in enumerate(texts)}
+
+
 def shape(text):
     return re.sub(r"[^\W\d_]", lambda m: "A" if m.group().isupper() else "a", re.sub(r"\d", "9", text))
 
