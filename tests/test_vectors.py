@@ -32,3 +32,19 @@ def test_coverage_gaps(spark):
     books = spark.createDataFrame([(1,), (2,)], "book_id long")
     vecs = spark.createDataFrame([(2, [1.0]), (3, [1.0])], "book_id long, embedding array<double>")
     assert sorted(tuple(r) for r in coverage_gaps(books, vecs).collect()) == [("missing", 1), ("orphan", 3)]
+
+
+def test_hashed_vectors_of_null_empty_and_many_rows(spark):
+    """Batches longer than a counting slice, null and empty texts, against a plain count."""
+    import hashlib
+    from pyspark.sql import functions as F
+    from lectern.operators.embed import COUNT_ROWS, hashed_vectors
+    texts = {i: None if i % 7 == 0 else "" if i % 7 == 1 else " ".join(["turtle", "abcde"[i % 5] * 3, "car", "turtle"]) for i in range(2 * COUNT_ROWS + 3)}
+    df = spark.createDataFrame(list(texts.items()), "book_id long, t string").coalesce(1)
+    got = {r.book_id: list(r.embedding) for r in hashed_vectors(df, text=F.col("t"), dim=4, unit=False).collect()}
+    for i, t in texts.items():
+        want = [0.0] * 4
+        for w in (t or "").split():
+            h = int(hashlib.md5(w.encode()).hexdigest()[:8], 16)
+            want[h % 4] += 1.0 if h // 4 % 2 == 0 else -1.0
+        assert got[i] == want
