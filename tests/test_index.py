@@ -39,3 +39,11 @@ def test_prune_to_live_books(spark):
     p = build_postings(_books(spark))
     live = spark.createDataFrame([(1,)], "book_id long")
     assert {b for _, b in rows(prune_postings(p, live))} == {1}
+
+
+def test_parse_postings_keeps_order_and_leaves_out_what_is_no_id(spark):
+    df = spark.createDataFrame([("a", " 3, 1,x,3,,1.5,\t2"), ("b", None), ("c", "x,"), ("d", "99999999999999999999,4")], "token string, doc_ids string")
+    got = [tuple(r) for r in parse_postings(df).collect()]
+    assert got == [("a", 3), ("a", 1), ("a", 2), ("b", None), ("c", None), ("d", 4)]
+    plan = parse_postings(df)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan  # the parts are cast in compiled code, not in a function per part
