@@ -48,3 +48,27 @@ def test_hashed_vectors_of_null_empty_and_many_rows(spark):
             h = int(hashlib.md5(w.encode()).hexdigest()[:8], 16)
             want[h % 4] += 1.0 if h // 4 % 2 == 0 else -1.0
         assert got[i] == want
+
+
+def test_pair_score_is_the_column_form_on_odd_pairs(spark):
+    """Cosine and Euclid on Arrow batches against the forms per element: nulls, unequal lengths, zero and empty vectors."""
+    from lectern.functions.vectors import cosine_unit, norm, pair_score
+    odd = [([1.0, 2.0], [3.0, -4.0]), ([0.0, 0.0], [1.0, 1.0]), ([1.0], [1.0, 2.0]), ([1.0, 2.0], [5.0]), (None, [1.0]), ([1.0], None),
+           ([], []), ([1.0, None], [2.0, 3.0]), ([1.0, 2.0], [None, 3.0])]
+    even = [([float(i), 1.0, -2.0], [0.5, float(i % 7), 3.0]) for i in range(2500)]
+    for pairs in (odd, even):
+        df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a array<double>, b array<double>").coalesce(1)
+        df = df.withColumn("an", norm("a")).withColumn("bn", norm("b"))
+        got = df.select(cosine_unit("a", "b", "an", "bn").alias("c"), pair_score("a", "b", "an", "bn").alias("c2"),
+                        euclidean("a", "b").alias("e"), pair_score("a", "b", "an", "bn", "euclidean").alias("e2")).collect()
+        for r in got:
+            for x, y in ((r.c, r.c2), (r.e, r.e2)):
+                assert (x is None) == (y is None) and (x is None or math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-12)), r
+
+
+def test_short_vectors_are_scored_on_arrow_batches(spark):
+    from lectern.operators.retrieval import score_candidates
+    pairs = spark.createDataFrame([(0, 1)], "query_id long, book_id long")
+    v = spark.createDataFrame([(1, [3.0, 4.0])], "book_id long, embedding array<double>")
+    got = score_candidates(pairs, v, spark.createDataFrame([(0, [3.0, 4.0])], "query_id long, embedding array<double>"))
+    assert "zip_with" not in got._jdf.queryExecution().executedPlan().toString() and math.isclose(got.first().similarity, 1.0)
