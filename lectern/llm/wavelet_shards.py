@@ -46,9 +46,9 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, width: int) -> WaveletMatrix:
-        planes, zeros, ranks, cur = [], [], [], np.asarray(ids)
+        planes, zeros, ranks, cur = [], [], [], np.asarray(ids, np.uint16 if width <= 16 else np.uint32)
         for level in range(width - 1, -1, -1):
-            bit = (cur >> level & 1).astype(bool)
+            bit = (cur & cur.dtype.type(1 << level)) != 0
             packed = np.packbits(bit, bitorder="little")
             padded = np.zeros(-(-max(1, len(packed)) // (SUPER // 8)) * (SUPER // 8), np.uint8)
             padded[:len(packed)] = _POP[packed]
@@ -56,7 +56,7 @@ class WaveletMatrix:
             planes.append(packed.tobytes())
             ranks.append(np.concatenate([[0], np.cumsum(sums)]).astype("<u4").tobytes())
             zeros.append(len(cur) - int(sums.sum()))
-            cur = np.concatenate([cur[~bit], cur[bit]])
+            cur = np.concatenate([cur.take(np.flatnonzero(~bit)), cur.take(np.flatnonzero(bit))])  # a mask of random bits is slower
         return cls(len(ids), planes, zeros, ranks)
 
     def rank1(self, level: int, i):
@@ -131,8 +131,8 @@ class WaveletMatrix:
         for level in range(len(self.planes) - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
             prev = np.empty_like(cur)
-            prev[~bit] = cur[:self.zeros[level]]
-            prev[bit] = cur[self.zeros[level]:] | np.uint32(1 << (len(self.planes) - 1 - level))
+            prev[np.flatnonzero(~bit)] = cur[:self.zeros[level]]
+            prev[np.flatnonzero(bit)] = cur[self.zeros[level]:] | np.uint32(1 << (len(self.planes) - 1 - level))
             cur = prev
         return cur
 

@@ -102,3 +102,17 @@ def test_chat_round_trip(spark):
     assert "".join(p.text for p in made[1].pieces) == made[1].formatted
     assert made[1].formatted.count("<|im_end|>") == 2 and "[INST]" not in made[1].formatted and "</s>" not in made[2].formatted
     assert chat_format.digests(chat_format.format_conversations(turns.limit(0))).count() == 0
+
+
+def test_planes_of_narrow_and_wide_ids_against_a_plain_partition():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    for width, top in ((1, 2), (16, 1 << 16), (17, 1 << 17), (20, 1 << 20)):
+        for n in (0, 1, 511, 512, 513, 5000):
+            ids = rng.integers(0, top, n).astype(np.uint32)
+            m, cur = WaveletMatrix.build(ids, width), ids.tolist()
+            for k, level in enumerate(range(width - 1, -1, -1)):
+                bits = [x >> level & 1 for x in cur]
+                assert np.unpackbits(m.planes[k], count=n, bitorder="little").tolist() == bits and m.zeros[k] == bits.count(0)
+                cur = [x for x, b in zip(cur, bits) if not b] + [x for x, b in zip(cur, bits) if b]
+            assert m.decode().tolist() == ids.tolist()
