@@ -9,14 +9,17 @@ one block and one document whatever the shard's size. From the file alone, token
 
 from __future__ import annotations
 
+import re
+import string
 import unicodedata
 import zlib
 from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -138,49 +141,80 @@ class WaveletMatrix:
 
 
 class _Pieces(dict):
-    """Number of each piece of text seen so far; ``ids`` holds their token ids in a row. A piece that ends in full stops or
-    commas after letters only is its word and its tail; a word of letters goes to the tokenizer's model in lower case, as
-    byte-level characters; anything else is encoded in full. ``plain`` says whether these short ways hold for the
-    tokenizer."""
+    """Number of each piece of text seen so far; ``ids`` holds their token ids in a row. A word of letters goes to the tokenizer's
+    model in lower case, as byte-level characters; a word that punctuation follows is the word and its tail; other printable ASCII is
+    cut into its runs; anything else is encoded in full. ``plain`` says whether these short ways hold for the tokenizer."""
 
     # Byte-level characters: printable bytes stand for themselves, the others for code points from 256 on.
     BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(range(33, 127)) | set(range(161, 173)) | set(range(174, 256)))}
+    RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+    PROBES = ["Hello", "aBC", "word,", "na\u00efve...", "\u00c9t\u00e9.", "z.,", "whe$$$", "\u00f6\u00f6%%!", "(743)", "555-3824", "don't", "x-'s",
+              "'Re,'", "a1B2", "HTTP://x.org/A?b=1", "#*_~", "7", "'ll"]
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.plain = tokenizer, tokenizer.model, False
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.empty()
-        probes = ["Hello", "aBC", "word,", "na\u00efve...", "\u00c9t\u00e9.", "z.,"]
-        full = [tokenizer.encode(w, add_special_tokens=False).ids for w in probes]
+        full = [tokenizer.encode(w, add_special_tokens=False).ids for w in self.PROBES]
         self.plain = True
-        self.plain = [self.of(self[w]) for w in probes] == full
+        self.plain = [self.of(self[w]).tolist() for w in self.PROBES] == full
         self.empty()
 
     def empty(self):
         self.clear()
         self.ids, self.first, self.length = array("I"), array("q"), array("q")
 
-    def of(self, k: int) -> list[int]:
-        return self.ids[self.first[k]:self.first[k] + self.length[k]].tolist()
+    def of(self, k: int) -> array:
+        return self.ids[self.first[k]:self.first[k] + self.length[k]]
+
+    def _model(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(self.BYTES))]
+
+    def _encoded(self, piece: str):
+        """Ids of a piece that is no plain word."""
+        if self.plain:
+            core = piece.rstrip(string.punctuation)
+            if core and len(core) < len(piece) and core.isalpha() and (core.isascii() or unicodedata.normalize("NFC", core).lower().isalpha()):
+                return self.of(self[core]) + self.of(self[piece[len(core):]])
+            if piece.isascii() and piece.isprintable() and not any(x in piece for x in self.added):
+                runs = self.RUNS.findall(piece.lower())
+                if len(runs) == 1:
+                    return self._model(runs[0])
+                return [i for run in runs for i in self.of(self[run])]
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
     def __missing__(self, piece: str) -> int:
-        core = piece.rstrip(".,") if self.plain else ""
-        if len(core) < len(piece) and core.isalpha() and (core.isascii() or unicodedata.normalize("NFC", core).lower().isalpha()):
-            ids = self.of(self[core]) + self.of(self[piece[len(core):]])
-        elif core.isalpha() and (core.isascii() or unicodedata.is_normalized("NFC", core) and not any(x in core for x in "\u03a3\u0130")):
+        if self.plain and piece.isalpha() and (piece.isascii() or unicodedata.is_normalized("NFC", piece) and "\u03a3" not in piece and "\u0130" not in piece):
             low = piece.lower()
             if low != piece and low.isalpha():
                 k = self[piece] = self[low]
                 return k
-            ids = [t.id for t in self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(self.BYTES))]
+            ids = self._model(low)
         else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            ids = self._encoded(piece)
         k = self[piece] = len(self.first)
         self.first.append(len(self.ids))
         self.length.append(len(ids))
         self.ids.extend(ids)
         return k
 
+    def parted(self, pieces: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Each piece as a word and the punctuation after it, where the two are encoded apart: the word ends in a letter or digit, or is empty."""
+        core = pc.ascii_rtrim(pieces, characters=string.punctuation)
+        apart = pc.or_(pc.match_substring_regex(core, "[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]$"), pc.equal(pc.binary_length(core), 0))
+        for x in self.added:
+            apart = pc.and_not(apart, pc.match_substring(pieces, x))
+        core = pc.if_else(apart if self.plain else False, core, pieces)
+        more = pc.subtract(pc.binary_length(pieces), pc.binary_length(core)).to_numpy()  # ASCII, so as many characters
+        return core, pa.array([p[-k:] if k else "" for p, k in zip(pieces.to_numpy(zero_copy_only=False), more)], pieces.type)
+
+    def codes(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each piece; each distinct one is looked up once."""
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        return np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+
 
 class Encoder:
     """A tokenizer whose text is cut at blanks and line feeds first; each distinct piece is encoded once per worker, of
@@ -197,9 +231,11 @@ class Encoder:
         known = self.pieces
         if len(known) > MEMO_WORDS:
             known.empty()
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        sizes = np.array([len(p) for p in cut], np.int64)
-        codes = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        pieces = cut.flatten().dictionary_encode()
+        sides = [known.codes(x) for x in known.parted(pieces.dictionary)]
+        sizes = len(sides) * pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+        codes = np.stack(sides, axis=1)[pieces.indices.to_numpy()].ravel()
         ids, first, length = np.array(known.ids, np.uint32), np.array(known.first, np.int64), np.array(known.length, np.int64)
         lens = length[codes]
         ends = np.cumsum(lens)

@@ -116,3 +116,16 @@ def test_planes_of_narrow_and_wide_ids_against_a_plain_partition():
                 assert np.unpackbits(m.planes[k], count=n, bitorder="little").tolist() == bits and m.zeros[k] == bits.count(0)
                 cur = [x for x, b in zip(cur, bits) if not b] + [x for x, b in zip(cur, bits) if b]
             assert m.decode().tolist() == ids.tolist()
+
+
+def test_a_word_is_looked_up_once_whatever_punctuation_follows_it():
+    from tokenizers import Tokenizer
+    t, e, rng = Tokenizer.from_file(PATH), wavelet_shards.Encoder(PATH), random.Random(11)
+    letters = "aBc \n.,'$stremvld019_-<|>\t\r\x01\x1c\x85\xa0İΣéÉ中٠ßﬁÅẞ"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 12))) + rng.choice(["", "<|endoftext|>", " don't'S"]) for _ in range(5000)]
+    ids, counts = e.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    e = wavelet_shards.Encoder(PATH)
+    tails = [a + b for a in ".,!?$" for b in ["", *".,!?$"]]
+    e.encode([" ".join(f"word{x} héll{x}" for x in tails)])
+    assert len(e.pieces) <= len(tails) + 4
