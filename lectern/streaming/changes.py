@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators.changes import REJECTED, apply_changes, route_requests
 from lectern.operators.embed import hashed_vectors
+from lectern.operators.joins import broadcast_if_bounded
 from lectern.operators.lemmas import apply_lemmas, candidates, lemma_map, tokens_near
 from lectern.operators.postings import build_postings, merge_vocabulary, vocabulary, vocabulary_delta
 from lectern.schemas import BOOK_FIELDS
@@ -36,12 +37,34 @@ def publish_initial(spark: SparkSession, root: str, books: DataFrame, postings:
     new.commit(stored.agg(F.max("book_id")).first()[0])
 
 
+def _without(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of other books than ``ids`` (a written table). A batch's ids are few beside the catalogue: within the bound they are broadcast,
+    and the stored rows are not shuffled to find them."""
+    return table.join(broadcast_if_bounded(ids)[0], "book_id", "left_anti")
+
+
+def _without_pairs(read, gone: DataFrame) -> DataFrame:
+    """A postings table without the pairs ``gone``. Only the books that lose a pair are compared pair by pair; all others are told apart by
+    their id."""
+    ids = materialize(gone.select("book_id").distinct(), "books-losing-tokens")
+    some, bounded, _ = broadcast_if_bounded(ids)
+    if not bounded:
+        return read().join(gone, ["token", "book_id"], "left_anti")
+    theirs = read().join(some, "book_id", "left_semi").join(gone, ["token", "book_id"], "left_anti")
+    return read().join(some, "book_id", "left_anti").unionByName(theirs)
+
+
 def _move(new: VersionWriter, name: str, removed: DataFrame, added: DataFrame) -> None:
     """Take ``removed`` (token, book_id) pairs out of a postings table and put ``added`` in; pairs in both stay where they are."""
     pair = ["token", "book_id"]
-    gone, come = (materialize(x.join(y, pair, "left_anti"), f"{name}-change") for x, y in ((removed, added), (added, removed)))
-    touched = new.tables[name].of_keys(gone.unionByName(come), name)
-    new.replace(name, touched, new.read(name, touched).join(gone, pair, "left_anti").select(*pair).unionByName(come))
+    sides = removed.select(*pair, F.lit(1).alias("r"), F.lit(0).alias("a")).unionByName(added.select(*pair, F.lit(0).alias("r"), F.lit(1).alias("a")))
+    counts = sides.groupBy(*pair).agg(F.sum("r").cast("int").alias("r"), F.sum("a").cast("int").alias("a"))
+    # Pairs of a null id are not told to be the same, so they go and come.
+    change = materialize(counts.where((F.col("r") == 0) | (F.col("a") == 0) | F.col("book_id").isNull()), f"{name}-change")
+    gone, come = (change.select(*pair, F.explode(F.array_repeat(F.lit(0), F.col(x))).alias("_")).select(*pair) for x in "ra")
+    touched = new.tables[name].of_keys(change, name)
+    kept = _without_pairs(lambda: new.read(name, touched), gone).select(*pair)
+    new.replace(name, touched, kept.unionByName(come))
     words = {"postings": "vocabulary", "surface_postings": "surface_vocabulary"}[name]
     if words in new.tables:
         delta = materialize(vocabulary_delta(gone, come), f"{words}-delta")
@@ -108,7 +131,7 @@ def apply_to_catalogue(spark: SparkSession, root: str, requests: DataFrame, stre
     touched = materialize(out.touched.distinct(), "touched-ids")
     old_rows = materialize(part.join(touched, "book_id", "left_semi").select("book_id", *BOOK_FIELDS), "books-before")
     ids = at.of_keys(touched, "books")
-    stay = before.read("books", ids).join(touched, "book_id", "left_anti").select("book_id", *BOOK_FIELDS)
+    stay = _without(before.read("books", ids), touched).select("book_id", *BOOK_FIELDS)
     new.replace("books", ids, stay.unionByName(out.changed))
     if "postings" in new.tables:
         if "lemmas" in new.tables:
@@ -121,7 +144,7 @@ def apply_to_catalogue(spark: SparkSession, root: str, requests: DataFrame, stre
             dim = before.read("vectors").select(F.size("embedding")).first()
             embed = lambda df: hashed_vectors(df, dim=dim[0]) if dim else hashed_vectors(df)
         ids = new.tables["vectors"].of_keys(touched, "vectors")
-        kept = before.read("vectors", ids).join(touched, "book_id", "left_anti")
+        kept = _without(before.read("vectors", ids), touched)
         new.replace("vectors", ids, kept.unionByName(embed(out.changed), allowMissingColumns=True))
     rejects = rejected.select(*REJECTED).unionByName(out.rejected.select(*REJECTED))
     new.log("rejected", rejects.withColumn("batch_id", F.lit(batch_id).cast("long")))

@@ -337,3 +337,25 @@ def test_running_count_spreads_a_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(parts) >= 4 and max(r["count"] for r in parts) < 2000
+
+
+def test_stored_rows_are_not_shuffled_to_find_the_touched_books(spark, charts, tmp_path, monkeypatch):
+    from lectern.plans.index_build import build_index
+    from lectern.sources.versioned import VersionWriter
+    from lectern.streaming.changes import apply_to_catalogue
+    build_index(spark, charts, str(tmp_path / "cat"), dim=4)
+    plans, replace, auto = {}, VersionWriter.replace, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def seen(self, name, buckets, df):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return replace(self, name, buckets, df)
+    monkeypatch.setattr(VersionWriter, "replace", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the batch were above it
+    try:
+        some = charts.first()["book_id"]
+        apply_to_catalogue(spark, str(tmp_path / "cat"), reqs(spark, edit([some], {"title": "quite another"})))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    assert {"books", "postings", "vectors"} <= set(plans)
+    for name in ("books", "postings", "vectors"):
+        assert "BroadcastHashJoin" in plans[name] and "LeftAnti" in plans[name], name
