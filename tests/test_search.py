@@ -110,3 +110,55 @@ def test_session_search_runs_every_session_on_all_books(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {(r.query_id, r.book_id) for r in q_session_search(spark, str(tmp_path)).collect()}
     assert got == {(f"{c}:{t}", b) for c in (0, 1, 20, 39, 40) for t in (0, 2) for b in (1, 20, 33)}
+
+
+def _many(spark, queries=60, seed=5):
+    """Books with copies of vectors, a repeated id, null ids and books without a vector; queries with zero vectors, rare words and no word."""
+    import random
+    r = random.Random(seed)
+    words = [f"w{chr(97 + k)}" for k in range(12)] + ["rare"]
+    books = [(b, " ".join(r.sample(words[:12], 3)) + (" rare" if b in (7, 90) else "")) for b in range(120)] + [(5, "wa wb"), (None, "wa")]
+    post = [(w, b) for b, t in books for w in t.split()] + [("wa", 500), (None, 3)]
+    vec = [(b, [float(r.randint(-2, 2)) for _ in range(4)]) for b, _ in books[:-1]] + [(b + 200, [1.0, 1.0, 0.0, 0.0]) for b in range(60)]
+    post += [("wb", b + 200) for b in range(59, -1, -1)]
+    vec += [(300, [1.0, 1.0, 0.0, 1e-9]), (301, [2.0, 2.0, 0.0, 0.0]), (None, [1.0] * 4)]
+    post += [("wb", 300), ("wb", 301)]
+    asked = [(f"q{i}", " ".join(r.sample(words[:12], 2))) for i in range(queries)] + [("zero", "wa wb"), ("rare", "rare"), ("none", "unknown"), ("empty", None), ("like", "wb"), (None, "wa")]
+    qvec = [(q, [0.0] * 4 if q == "zero" else [1.0, 1.0, 0.0, 0.0] if q == "like" else [float(r.randint(-2, 2)) for _ in range(4)]) for q, _ in asked] + [("q1", [1.0, 0.0, 0.0, 0.0])]
+    make = spark.createDataFrame
+    return (make(asked, "query_id string, text string"), make(post, "token string, book_id long"), make(vec, "book_id long, embedding array<double>"),
+            make([(b, f"t{b}") for b in {b for b, _ in vec if b is not None}], "book_id long, title string"), make(qvec, "query_id string, embedding array<double>"))
+
+
+def test_search_by_blocks_gives_the_hits_of_the_search_by_pairs(spark):
+    q, post, vec, books, qvec = _many(spark)
+    for n, decimals in ((4, 12), (3, 2)):
+        how = dict(top_n_rows=n, score_decimals=decimals)
+        pairs, blocks = (hybrid_search(q, post, vec, books, qvec, **how, blocks_from=k) for k in (10 ** 9, 0))
+        assert blocks.columns == pairs.columns and blocks.schema["query_id"].dataType == pairs.schema["query_id"].dataType
+        assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, pairs.collect())) != []
+
+
+def test_blocks_hand_on_few_pairs_whichever_way_they_meet(spark, monkeypatch):
+    from lectern.operators import nearest
+    from lectern.operators.retrieval import candidate_books, query_tokens
+    q, post, vec, _, qvec = _many(spark)
+    qt = query_tokens(q)
+    every = {tuple(r) for r in candidate_books(qt, post).join(vec, "book_id").select("query_id", "book_id").collect()}
+    found = []
+    for most, size in ((0, 7), (10 ** 9, 4096)):   # pairs of partitions and blocks of few rows, then broadcast and of many
+        monkeypatch.setattr(nearest, "BOOK_BLOCK", 16 * size), monkeypatch.setattr(nearest, "QUERY_BLOCK", size)
+        monkeypatch.setattr(nearest, "CHUNK", 3 if size == 7 else 512), monkeypatch.setattr(nearest, "BIT_BYTES", 100 if size == 7 else 2 ** 26)
+        got = {tuple(r) for r in nearest.nearest_candidates(qt, post, vec, qvec, 3, 4, 12, most).collect()}
+        assert got <= every and len(got) * 3 < len(every)
+        assert {x for x in got if x[0] == "rare"} == {("rare", 7), ("rare", 90)}
+        found.append({x for x in got if x[0] == "like"})
+    assert all(("like", b) in f for f in found for b in (200, 201, 202))   # of books with the same vector, the first ids
+
+
+def test_odd_vectors_are_told_from_even_ones(spark):
+    from lectern.operators.nearest import even_length
+    make = lambda *rows: spark.createDataFrame([(list(x) if x is not None else None,) for x in rows], "embedding array<double>")
+    assert even_length(make((1.0, 2.0)), make((0.0, 0.0), (3.0, -1.0))) == 2
+    for odd in ((1.0,), None, (1.0, None), (math.nan, 1.0), (math.inf, 1.0)):
+        assert even_length(make((1.0, 2.0)), make((0.0, 0.0), odd)) is None
